@@ -101,8 +101,8 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
     s_null = s.where(F.col("s__k").isNull() & F.col("s__delta"))
     s = s.where(F.col("s__k").isNotNull())
     if check_unique:
-        n = F.count(F.lit(1)).over(Window.partitionBy("s__k"))
-        s = s.where(F.assert_true(n <= 1, F.lit(f"duplicate {key} in snapshot")).isNull())
+        s = s.withColumn("s__n", F.count(F.lit(1)).over(Window.partitionBy("s__k")))
+        s = s.where(F.assert_true(F.col("s__n") <= 1, F.lit(f"duplicate {key} in snapshot")).isNull())
 
     j = heads.join(s, F.col(key) == F.col("s__k"), "full_outer")
     has_h, has_s = F.col(key).isNotNull(), F.col("s__k").isNotNull()

@@ -114,7 +114,7 @@ def scd2_step_sql(hist: str, snap: str, *, key: str, attrs: list[str], batch_dt:
     differ = " or ".join(f"s.{a} is distinct from h.{a}" for a in attrs)
     if compare_start:
         differ += f" or cast(s.{start_col} as timestamp) is distinct from h.effective_from"
-    delta = f"(select * from {snap} where update_dt > {since})" if since else snap
+    delta = f"(select * from {snap} where update_dt > {since})" if since else f"(select * from {snap})"
     present = delta if delete_scope == "delta" else snap
     start = f"cast(s.{start_col} as timestamp)" if start_col else "cast(s.update_dt as timestamp)"
     live = f"h.effective_to = {OPEN} and h.deleted_flg = 'N'"
