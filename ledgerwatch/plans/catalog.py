@@ -15,6 +15,7 @@ from ledgerwatch.operators import fraud as fr
 from ledgerwatch.operators import scd2
 from ledgerwatch.operators.temporal import valid_at_join
 from ledgerwatch.plans import fixtures as fx
+from ledgerwatch.plans import load_queries
 from ledgerwatch.plans import oracle as orc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -278,4 +279,8 @@ def oracle_sql() -> dict[str, str]:
     out = {}
     out.update(_sql_fraud())
     out.update(_sql_scd2())
+    out.update(load_queries.SQL)
     return out
+
+
+QUERIES.update(load_queries.QUERIES)
