@@ -114,7 +114,8 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     above = true_or_false(least_ignore_nulls([r[f"a{k}"] for k in range(attempts)]) > F.col("amt"))
     guess = inside[attempts - 1] & ~bad & above
 
-    out = t.where(~F.col(CONTEXT) & F.col("__ok"))
+    # candidates: successful, with a time (a null time has no report day)
+    out = t.where(~F.col(CONTEXT) & F.col("__ok") & F.col("trans_date").isNotNull())
     out = out.select("trans_id", "trans_date", "card_num", "amt",
                      F.to_date("trans_date").alias("report_dt"),
                      (F.col("__valid") & city_hop).alias("city_hop"),
