@@ -108,7 +108,7 @@ def read_workbooks(spark: SparkSession, path: str, *, glob: str, sheet: str | No
 def cell_date(c: str | Column) -> Column:
     """A date cell: Excel serial number, or ISO ``yyyy-MM-dd[ HH:mm:ss]`` text."""
     x = F.trim(F.col(c) if isinstance(c, str) else c)
-    serial = F.try_cast(x, "double")
+    serial = x.try_cast("double")
     from_serial = F.date_add(F.lit(_EXCEL_EPOCH).cast("date"), F.floor(serial).cast("int"))
     return F.when(serial.isNotNull(), from_serial).otherwise(F.try_to_date(F.substring(x, 1, 10), "yyyy-MM-dd"))
 
