@@ -66,16 +66,17 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     if report_to is not None:
         t = t.where(F.col("trans_date") < _day_start(report_to) + F.expr("INTERVAL 1 DAY"))
     ok = true_or_false(F.col("oper_result") == SUCCESS)
-    t = t.withColumn("__sec", epoch_seconds("trans_date")).withColumn("__ok", ok)
+    t = t.select("*", epoch_seconds("trans_date").alias("__sec"), ok.alias("__ok"))
     if terminals is not None:
         t = valid_at_join(t, terminals, fact_key="terminal", dim_key="terminal_id",
                           at="trans_date", select={"terminal_city": "__city_raw"})
-        t = t.withColumn("__city", F.when(F.col("__ok"), F.col("__city_raw"))).drop("__city_raw")
+        city = F.when(F.col("__ok"), F.col("__city_raw"))
     else:
-        t = t.withColumn("__city", F.lit(None).cast("string"))
+        city = F.lit(None).cast("string")
     valid = F.col("card_num").isNotNull() & F.col("__sec").isNotNull()
-    t = lookback_buckets(t.withColumn("__valid", valid), key="card_num", seconds="__sec",
-                         lookback=lookback, bucket=bucket, valid=F.col("__valid"))
+    t = t.select(*[c for c in t.columns if c != "__city_raw"], city.alias("__city"), valid.alias("__valid"))
+    t = lookback_buckets(t, key="card_num", seconds="__sec", lookback=lookback, bucket=bucket,
+                         valid=F.col("__valid"))
 
     part = Window.partitionBy("card_num", BUCKET)
     w = part.orderBy("__sec", "trans_id")
@@ -84,23 +85,21 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     before = part.orderBy("__sec").rangeBetween(Window.unboundedPreceding, -1)
     sec, city = F.col("__sec"), F.col("__city")
 
-    # rule 3: latest earlier row with a different city, carried forward
-    t = (t.withColumn("__pcity", F.last(city, ignorenulls=True).over(prior))
-          .withColumn("__psec", F.last(F.when(city.isNotNull(), sec), ignorenulls=True).over(prior)))
-    change = F.when(city.isNotNull() & F.col("__pcity").isNotNull() & (city != F.col("__pcity")),
-                    F.col("__psec"))
-    t = t.withColumn("__diff", F.last(change, ignorenulls=True).over(upto))
-
     # rule 4: each row with its row predecessors 1..attempts
     fields = [sec.alias("s0"), F.col("trans_id").alias("id"), F.col("amt").alias("a0"),
               F.col("oper_result").alias("o0")]
     for k in range(1, attempts + 1):
         fields += [F.lag(sec, k).over(w).alias(f"s{k}"), F.lag("amt", k).over(w).alias(f"a{k}"),
                    F.lag("oper_result", k).over(w).alias(f"o{k}")]
-    t = t.withColumn("__row", F.struct(*fields))
-
-    t = (t.withColumn("__hop_since", F.max("__diff").over(before))
-          .withColumn("__last", F.max("__row").over(before)))
+    # rule 3: latest earlier row with a different city, carried forward
+    t = t.withColumns({
+        "__pcity": F.last(city, ignorenulls=True).over(prior),
+        "__psec": F.last(F.when(city.isNotNull(), sec), ignorenulls=True).over(prior),
+        "__row": F.struct(*fields)})
+    change = F.when(city.isNotNull() & F.col("__pcity").isNotNull() & (city != F.col("__pcity")),
+                    F.col("__psec"))
+    t = t.withColumn("__diff", F.last(change, ignorenulls=True).over(upto))
+    t = t.withColumns({"__hop_since": F.max("__diff").over(before), "__last": F.max("__row").over(before)})
 
     city_hop = true_or_false(F.col("__hop_since") >= sec - F.lit(city_window))
     if terminals is None:

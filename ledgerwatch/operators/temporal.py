@@ -41,7 +41,7 @@ def valid_at_join(facts: DataFrame, dim: DataFrame, *, fact_key: str | Column, d
     d = d.select(F.col(dim_key).alias("__vk"), F.col("effective_from").alias("__vf"),
                  F.col("effective_to").alias("__vt"),
                  *[F.col(src).alias(dst) for src, dst in select.items()])
-    f = facts.withColumn("__fk", col(fact_key)).withColumn("__at", col(at))
+    f = facts.select("*", col(fact_key).alias("__fk"), col(at).alias("__at"))
     cond = (F.col("__fk") == F.col("__vk")) & F.col("__at").between(F.col("__vf"), F.col("__vt"))
     return f.join(d, cond, how).drop("__fk", "__at", "__vk", "__vf", "__vt")
 

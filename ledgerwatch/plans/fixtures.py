@@ -23,8 +23,17 @@ BASE_DAY = dt.date(2024, 1, 1)                  # day 0 of the date offsets
 BATCH_DAYS = (dt.date(2024, 1, 1), dt.date(2024, 1, 2), dt.date(2024, 1, 3))
 
 
+_READS: dict[tuple, DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The driver's read-only table; one reader per session and path (saves
+    the file listing and footer read when a plan uses a table many times)."""
+    key = (id(spark), sf_dir, name)
+    df = _READS.get(key)
+    if df is None:
+        df = _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return df
 
 
 def _plus_days(n_col) -> F.Column:
@@ -41,17 +50,16 @@ def _version(deleted=None):
 
 def transactions(spark, sf_dir, card_mod: int | None = None,
                  success_types=SUCCESS_TYPES) -> DataFrame:
-    e = table(spark, sf_dir, "events")
-    card = F.col("user_id") if card_mod is None else F.col("user_id") % card_mod
-    return e.select(
-        F.col("event_id").cast("string").alias("trans_id"),
-        F.date_trunc("second", F.col("ts")).cast("timestamp_ntz").alias("trans_date"),
-        card.cast("string").alias("card_num"),
-        F.col("event_type").alias("oper_type"),
-        F.col("value").cast("decimal(12,2)").alias("amt"),
-        F.when(F.col("event_type").isin(*success_types), F.lit("SUCCESS")).otherwise(F.lit("REJECT"))
-         .alias("oper_result"),
-        (F.col("event_id") % TERMINAL_MOD).cast("string").alias("terminal"))
+    card = "user_id" if card_mod is None else f"user_id % {card_mod}"
+    types = ", ".join(f"'{t}'" for t in success_types)
+    return table(spark, sf_dir, "events").selectExpr(
+        "cast(event_id as string) as trans_id",
+        "cast(date_trunc('second', ts) as timestamp_ntz) as trans_date",
+        f"cast({card} as string) as card_num",
+        "event_type as oper_type",
+        "cast(value as decimal(12,2)) as amt",
+        f"case when event_type in ({types}) then 'SUCCESS' else 'REJECT' end as oper_result",
+        f"cast(event_id % {TERMINAL_MOD} as string) as terminal")
 
 
 def transactions_sql(card_mod: int | None = None, success_types=SUCCESS_TYPES) -> str:
@@ -68,12 +76,16 @@ def transactions_sql(card_mod: int | None = None, success_types=SUCCESS_TYPES) -
 
 # ---- static dimensions (one version per key) -------------------------------
 
+_VERSION_EXPR = ["timestamp_ntz '2000-01-01 00:00:00' as effective_from",
+                 "timestamp_ntz '9999-12-31 00:00:00' as effective_to"]
+
+
 def terminals_static(spark, sf_dir) -> DataFrame:
     s, n = table(spark, sf_dir, "supplier"), table(spark, sf_dir, "nation")
-    return s.join(n, s.s_nationkey == n.n_nationkey).select(
-        F.col("s_suppkey").cast("string").alias("terminal_id"),
-        F.when(F.col("s_suppkey") % 3 == 0, "ATM").otherwise("POS").alias("terminal_type"),
-        F.col("n_name").alias("terminal_city"), F.col("s_name").alias("terminal_address"), *_version())
+    return s.join(n, s.s_nationkey == n.n_nationkey).selectExpr(
+        "cast(s_suppkey as string) as terminal_id",
+        "case when s_suppkey % 3 = 0 then 'ATM' else 'POS' end as terminal_type",
+        "n_name as terminal_city", "s_name as terminal_address", *_VERSION_EXPR, "'N' as deleted_flg")
 
 
 STATIC_VERSION_SQL = ("timestamp '2000-01-01 00:00:00' as effective_from, "
@@ -86,10 +98,9 @@ TERMINALS_STATIC_SQL = f"""select cast(s_suppkey as varchar) as terminal_id,
 
 
 def cards_static(spark, sf_dir) -> DataFrame:
-    c = table(spark, sf_dir, "customer")
-    return c.where(F.col("c_custkey") % 13 != 0).select(
-        F.col("c_custkey").cast("string").alias("card_num"),
-        (F.col("c_custkey") + ACCOUNT_OFFSET).cast("string").alias("account_num"), *_version())
+    return table(spark, sf_dir, "customer").where("c_custkey % 13 <> 0").selectExpr(
+        "cast(c_custkey as string) as card_num",
+        f"cast(c_custkey + {ACCOUNT_OFFSET} as string) as account_num", *_VERSION_EXPR, "'N' as deleted_flg")
 
 
 CARDS_STATIC_SQL = f"""select cast(c_custkey as varchar) as card_num,
@@ -98,12 +109,12 @@ CARDS_STATIC_SQL = f"""select cast(c_custkey as varchar) as card_num,
 
 
 def accounts_static(spark, sf_dir) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        (k + ACCOUNT_OFFSET).cast("string").alias("account_num"),
-        F.when(k % 5 == 0, F.lit(None).cast("date")).otherwise(_plus_days(k % 45)).alias("valid_to"),
-        k.cast("string").alias("client"),
-        *_version(F.when(k % 17 == 0, "Y").otherwise(LIVE)))
+    return table(spark, sf_dir, "customer").selectExpr(
+        f"cast(c_custkey + {ACCOUNT_OFFSET} as string) as account_num",
+        "case when c_custkey % 5 = 0 then null "
+        "else date_add(date '2024-01-01', cast(c_custkey % 45 as int)) end as valid_to",
+        "cast(c_custkey as string) as client", *_VERSION_EXPR,
+        "case when c_custkey % 17 = 0 then 'Y' else 'N' end as deleted_flg")
 
 
 ACCOUNTS_STATIC_SQL = f"""select cast(c_custkey + {ACCOUNT_OFFSET} as varchar) as account_num,
@@ -115,15 +126,14 @@ ACCOUNTS_STATIC_SQL = f"""select cast(c_custkey + {ACCOUNT_OFFSET} as varchar) a
 
 
 def clients_static(spark, sf_dir) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").select(
-        k.cast("string").alias("client_id"), F.col("c_mktsegment").alias("last_name"),
-        F.col("c_name").alias("first_name"),
-        F.when(k % 3 == 0, F.lit(None).cast("string")).otherwise(F.lit("X")).alias("patronymic"),
-        F.date_add(F.lit(dt.date(1970, 1, 1)), (k % 10000).cast("int")).alias("date_of_birth"),
-        F.concat(F.lit("P"), k.cast("string")).alias("passport_num"),
-        F.when(k % 4 == 0, F.lit(None).cast("date")).otherwise(_plus_days(k % 40)).alias("passport_valid_to"),
-        F.concat(F.lit("+7"), F.lpad(k.cast("string"), 10, "0")).alias("phone"), *_version())
+    return table(spark, sf_dir, "customer").selectExpr(
+        "cast(c_custkey as string) as client_id", "c_mktsegment as last_name", "c_name as first_name",
+        "case when c_custkey % 3 = 0 then null else 'X' end as patronymic",
+        "date_add(date '1970-01-01', cast(c_custkey % 10000 as int)) as date_of_birth",
+        "concat('P', cast(c_custkey as string)) as passport_num",
+        "case when c_custkey % 4 = 0 then null "
+        "else date_add(date '2024-01-01', cast(c_custkey % 40 as int)) end as passport_valid_to",
+        "concat('+7', lpad(cast(c_custkey as string), 10, '0')) as phone", *_VERSION_EXPR, "'N' as deleted_flg")
 
 
 CLIENTS_STATIC_SQL = f"""select cast(c_custkey as varchar) as client_id, c_mktsegment as last_name,
@@ -137,10 +147,9 @@ CLIENTS_STATIC_SQL = f"""select cast(c_custkey as varchar) as client_id, c_mktse
 
 
 def blacklist_static(spark, sf_dir) -> DataFrame:
-    k = F.col("c_custkey")
-    return table(spark, sf_dir, "customer").where(F.col("c_acctbal") < 0).select(
-        F.concat(F.lit("P"), k.cast("string")).alias("passport_num"),
-        _plus_days(k % 30).alias("entry_dt"))
+    return table(spark, sf_dir, "customer").where("c_acctbal < 0").selectExpr(
+        "concat('P', cast(c_custkey as string)) as passport_num",
+        "date_add(date '2024-01-01', cast(c_custkey % 30 as int)) as entry_dt")
 
 
 BLACKLIST_STATIC_SQL = """select 'P' || cast(c_custkey as varchar) as passport_num,
@@ -148,10 +157,24 @@ BLACKLIST_STATIC_SQL = """select 'P' || cast(c_custkey as varchar) as passport_n
       from customer where c_acctbal < 0"""
 
 
+_STATIC = {"terminals": terminals_static, "cards": cards_static, "accounts": accounts_static,
+           "clients": clients_static, "blacklist": blacklist_static}
+
+
+class _LazyDims(dict):
+    """Static dimensions, built on first use (a query builds only what it uses)."""
+
+    def __init__(self, spark, sf_dir):
+        super().__init__()
+        self._args = (spark, sf_dir)
+
+    def __missing__(self, name):
+        df = self[name] = _STATIC[name](*self._args)
+        return df
+
+
 def static_dims(spark, sf_dir) -> dict[str, DataFrame]:
-    return {"terminals": terminals_static(spark, sf_dir), "cards": cards_static(spark, sf_dir),
-            "accounts": accounts_static(spark, sf_dir), "clients": clients_static(spark, sf_dir),
-            "blacklist": blacklist_static(spark, sf_dir)}
+    return _LazyDims(spark, sf_dir)
 
 
 STATIC_CTES = {"terminals": TERMINALS_STATIC_SQL, "cards": CARDS_STATIC_SQL,
