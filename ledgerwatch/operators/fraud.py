@@ -32,11 +32,13 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import (SUCCESS, epoch_seconds, full_name,
                                            least_ignore_nulls, true_or_false)
-from ledgerwatch.operators.temporal import BUCKET, CONTEXT, lookback_buckets, valid_at_join
+from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, hot_key_widths, lookback_buckets,
+                                            min_width, valid_at_join)
 
 CITY_WINDOW = 3600      # rule 3 look-back, seconds
 GUESS_WINDOW = 1200     # rule 4 look-back, seconds
 GUESS_ATTEMPTS = 3      # rule 4 number of declined attempts
+HOT_ROWS = 2_000_000    # rows per (card, time bucket) window partition before a card is split finer
 
 REPORT_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
@@ -48,13 +50,16 @@ def _day_start(d) -> Column:
 def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
                       city_window: int = CITY_WINDOW, guess_window: int = GUESS_WINDOW,
                       attempts: int = GUESS_ATTEMPTS, bucket: int | None = None,
+                      hot_rows: int | None = HOT_ROWS,
                       report_from: dt.date | str | None = None,
                       report_to: dt.date | str | None = None) -> DataFrame:
     """Successful transactions of the report days with rule 3/4 flags.
 
     Output: trans_id, trans_date, card_num, amt, report_dt, city_hop, amount_guess.
     ``terminals`` (SCD2 history) is needed for rule 3; without it city_hop is
-    false. ``report_from``/``report_to`` (inclusive days) bound the scan to the
+    false. Window partitions are (card, time bucket); cards dense enough to
+    put more than ``hot_rows`` rows into one bucket get narrower buckets
+    (``None`` turns the per-card statistics pass off). ``report_from``/``report_to`` (inclusive days) bound the scan to the
     report days plus the look-back, so a partitioned fact table is pruned.
     """
     lookback = max(city_window if terminals is not None else 0, guess_window)
@@ -67,16 +72,21 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
         t = t.where(F.col("trans_date") < _day_start(report_to) + F.expr("INTERVAL 1 DAY"))
     ok = true_or_false(F.col("oper_result") == SUCCESS)
     t = t.select("*", epoch_seconds("trans_date").alias("__sec"), ok.alias("__ok"))
+    valid = F.col("card_num").isNotNull() & F.col("__sec").isNotNull()
+    widths = None
+    if hot_rows:
+        # per-card density from the card/time columns only, before the terminal join
+        widths = hot_key_widths(t.select("card_num", "__sec"), key="card_num", seconds="__sec",
+                                bucket=bucket, hot_rows=hot_rows, min_width=min_width(lookback), valid=valid)
     if terminals is not None:
         t = valid_at_join(t, terminals, fact_key="terminal", dim_key="terminal_id",
                           at="trans_date", select={"terminal_city": "__city_raw"})
         city = F.when(F.col("__ok"), F.col("__city_raw"))
     else:
         city = F.lit(None).cast("string")
-    valid = F.col("card_num").isNotNull() & F.col("__sec").isNotNull()
     t = t.select(*[c for c in t.columns if c != "__city_raw"], city.alias("__city"), valid.alias("__valid"))
     t = lookback_buckets(t, key="card_num", seconds="__sec", lookback=lookback, bucket=bucket,
-                         valid=F.col("__valid"))
+                         valid=F.col("__valid"), widths=widths)
 
     part = Window.partitionBy("card_num", BUCKET)
     w = part.orderBy("__sec", "trans_id")

@@ -48,12 +48,43 @@ def valid_at_join(facts: DataFrame, dim: DataFrame, *, fact_key: str | Column, d
 
 BUCKET = "__bucket"
 CONTEXT = "__ctx"
+WIDTH = "__width"
+
+
+def hot_key_widths(df: DataFrame, *, key: str, seconds: str, bucket: int, hot_rows: int,
+                   min_width: int, valid: Column) -> DataFrame:
+    """Bucket width for keys whose default bucket would exceed ``hot_rows``.
+
+    Exact per-key statistics (a partial aggregation, so a hot key is
+    pre-aggregated map-side). Only keys with more than ``hot_rows`` rows in
+    total can qualify, so the result has at most ``rows / hot_rows`` entries:
+    a proven bound for broadcasting it.
+    """
+    sec = F.col(seconds)
+    stats = df.where(valid).groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.min(sec).alias("__lo"),
+                                             F.max(sec).alias("__hi"))
+    per_sec = F.col("__n") / (F.col("__hi") - F.col("__lo") + F.lit(1))
+    width = F.greatest(F.lit(min_width), F.floor(F.lit(hot_rows) / per_sec)).cast("long")
+    return (stats.where((F.col("__n") > F.lit(hot_rows)) & (per_sec * F.lit(bucket) > F.lit(hot_rows)))
+                 .select(key, F.least(width, F.lit(bucket)).alias(WIDTH)))
+
+
+def min_width(lookback: int, max_copies: int = 32) -> int:
+    return max(1, -(-lookback // max_copies))
 
 
 def lookback_buckets(df: DataFrame, *, key: str, seconds: str, lookback: int, bucket: int,
-                     valid: Column | None = None, spread: int = 4096) -> DataFrame:
+                     valid: Column | None = None, spread: int = 4096, hot_rows: int | None = None,
+                     widths: DataFrame | None = None, max_copies: int = 32) -> DataFrame:
     """Assign ``(key, __bucket)`` window partitions with look-back context copies.
 
+    A row lives in bucket ``floor(t / width)`` and is copied (``__ctx``) into
+    each later bucket whose start lies less than ``lookback`` after it, so
+    every frame is complete inside its bucket. ``width`` is ``bucket``, or,
+    with ``hot_rows``, narrower for keys dense enough to exceed ``hot_rows``
+    rows per bucket (down to ``lookback / max_copies``). ``widths`` may hold
+    those per-key widths precomputed (``hot_key_widths``) from a cheaper input.
+
     Rows with ``valid`` false (null key or time) cannot see other rows: they are
     spread over ``spread`` negative buckets by hash so they never pile up in one
     partition, and callers must mask their results.
@@ -61,12 +92,23 @@ def lookback_buckets(df: DataFrame, *, key: str, seconds: str, lookback: int, bu
     if bucket < lookback:
         raise ValueError("bucket width must be at least the look-back")
     sec = F.col(seconds)
-    own = F.floor(sec / F.lit(bucket))
     if valid is None:
         valid = F.col(key).isNotNull() & sec.isNotNull()
     salt = F.lit(-1) - F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    home = F.struct(F.when(valid, own).otherwise(salt).alias(BUCKET), F.lit(False).alias(CONTEXT))
-    nxt = F.struct((own + 1).alias(BUCKET), F.lit(True).alias(CONTEXT))
-    copies = F.when(valid & (sec >= (own + 1) * F.lit(bucket) - F.lit(lookback)),
-                    F.array(home, nxt)).otherwise(F.array(home))
-    return df.select("*", F.inline(copies))
+    if hot_rows and widths is None:
+        widths = hot_key_widths(df, key=key, seconds=seconds, bucket=bucket, hot_rows=hot_rows,
+                                min_width=min_width(lookback, max_copies), valid=valid)
+    if widths is not None:
+        # at most rows / hot_rows entries (see hot_key_widths): a bounded broadcast
+        df = df.join(F.broadcast(widths), key, "left")
+        width = F.coalesce(F.col(WIDTH), F.lit(bucket).cast("long"))
+    else:
+        width = F.lit(bucket).cast("long")
+    own = F.floor(sec / width)
+    copies = F.ceil(F.lit(lookback) / width).cast("int")
+    entries = F.transform(F.sequence(F.lit(0), copies),
+                          lambda j: F.struct((own + j).alias(BUCKET), (j > 0).alias(CONTEXT)))
+    keep = F.filter(entries, lambda e: ~e[CONTEXT] | (sec >= e[BUCKET] * width - F.lit(lookback)))
+    spread_row = F.array(F.struct(salt.alias(BUCKET), F.lit(False).alias(CONTEXT)))
+    out = df.select("*", F.inline(F.when(valid, keep).otherwise(spread_row)))
+    return out.drop(WIDTH) if widths is not None else out

@@ -126,6 +126,17 @@ def test_rules_match_literal_self_join(spark, seed, bucket):
     assert out == sorted(r[0] for r in rows if r[4] == S and r[1] is not None)
 
 
+@pytest.mark.parametrize("seed,hot_rows", [(21, 5), (22, 20), (23, 1)])
+def test_hot_cards_split_finer(spark, seed, hot_rows):
+    # tiny hot_rows: every card is "hot" and gets buckets narrower than the
+    # look-back, so rows are copied into several following buckets
+    rows = random_rows(seed, n=250, cards=3)
+    r3, r4, out = spark_flags(spark, rows, hot_rows=hot_rows, bucket=7200)
+    d3, d4 = duck_flags(rows)
+    assert (r3, r4) == (d3, d4)
+    assert out == sorted(r[0] for r in rows if r[4] == S and r[1] is not None)
+
+
 @pytest.mark.parametrize("seed", [11, 12])
 def test_rule4_wide_window(spark, seed):
     rows = random_rows(seed, n=300, cards=2)
