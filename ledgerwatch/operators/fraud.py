@@ -184,17 +184,37 @@ def amount_guess_rule(cands: DataFrame) -> DataFrame:
     return _report(cands.where(F.col("amount_guess")), 4)
 
 
+def blacklist_entries(blacklist: DataFrame) -> DataFrame:
+    """Blacklist pre-aggregated to distinct (passport, entry_dt) with their row
+    count, and whether the entry date is the passport's first. Duplicates
+    collapse map-side, so a passport has at most one row per entry date."""
+    agg = blacklist.groupBy("passport_num", "entry_dt").agg(F.count(F.lit(1)).alias("__n"))
+    first = F.min("entry_dt").over(Window.partitionBy("passport_num"))
+    return agg.select(F.col("passport_num").alias("__bl"), F.col("entry_dt").alias("__entry"), "__n",
+                      (F.col("entry_dt") == first).alias("__first"))
+
+
 def fraud_report(cands: DataFrame, blacklist: DataFrame) -> DataFrame:
-    """All four rules. Rules 2-4 fire at most once per candidate and come out
-    of one pass (explode of the firing rule numbers); rule 1 needs the
-    blacklist join. Both branches share the candidate plan (exchange reuse)."""
-    expired = F.coalesce(F.col("acc_valid_to"), F.col("report_dt")) < F.col("report_dt")
-    fired = F.array_compact(F.array(
-        F.when(true_or_false(expired | (F.col("acc_deleted_flg") == "Y")), F.lit(2)),
-        F.when(F.col("city_hop"), F.lit(3)),
-        F.when(F.col("amount_guess"), F.lit(4))))
-    rest = _report(cands.select("*", F.explode(fired).alias("__rule")), F.col("__rule"))
-    return passport_rule(cands, blacklist).unionByName(rest)
+    """All four rules in one pass over the candidates.
+
+    Rule 1 fires once per matching blacklist row (duplicates multiply, as in
+    the original) or once for an expired passport without a match; rules 2-4
+    fire at most once per candidate and are emitted with the candidate's first
+    matching entry date (or its only row when nothing matches).
+    """
+    bl = blacklist_entries(blacklist)
+    j = cands.join(bl, (F.col("passport") == F.col("__bl")) & (F.col("__entry") <= F.col("report_dt")), "left")
+    matched = F.col("__bl").isNotNull()
+    expired = F.coalesce(F.col("passport_valid_to"), F.col("report_dt")) < F.col("report_dt")
+    rule1 = F.when(matched, F.array_repeat(F.lit(1), F.col("__n").cast("int"))) \
+        .when(expired, F.array(F.lit(1))).otherwise(F.array().cast("array<int>"))
+    acc_bad = F.coalesce(F.col("acc_valid_to"), F.col("report_dt")) < F.col("report_dt")
+    once = ~matched | F.col("__first")
+    rest = F.array_compact(F.array(
+        F.when(once & true_or_false(acc_bad | (F.col("acc_deleted_flg") == "Y")), F.lit(2)),
+        F.when(once & F.col("city_hop"), F.lit(3)),
+        F.when(once & F.col("amount_guess"), F.lit(4))))
+    return _report(j.select("*", F.explode(F.concat(rule1, rest)).alias("__rule")), F.col("__rule"))
 
 
 def build_report(tx: DataFrame, terminals: DataFrame, cards: DataFrame, accounts: DataFrame,

@@ -84,10 +84,13 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
     batch = F.lit(batch_dt).cast("date")
     if hist is None:
         hist = empty_history(None, snapshot, key, attrs)
-    h = hist.select(*out_cols)
     is_head = true_or_false(F.col("effective_to") == open_end())
-    passthrough = h.where(~is_head | F.col(key).isNull())
-    heads = h.where(is_head & F.col(key).isNotNull())
+    # Join key (key, salt): salt 0 for head versions with a key; closed versions
+    # and null keys, which can never match, get a row hash so they spread over
+    # all partitions instead of piling up in one.
+    h = hist.select(*out_cols, is_head.alias("h__head"))
+    h = h.withColumn("h__salt", F.when(F.col("h__head") & F.col(key).isNotNull(), F.lit(0))
+                     .otherwise(F.xxhash64(*out_cols)))
 
     start = start_col or update_col
     if isinstance(since, DataFrame):
@@ -98,20 +101,24 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
                         at_midnight(update_col).alias("s__upd"),
                         F.col(start).cast("timestamp_ntz").alias("s__start"),
                         delta_flag(update_col, since).alias("s__delta"))
-    s_null = s.where(F.col("s__k").isNull() & F.col("s__delta"))
-    s = s.where(F.col("s__k").isNotNull())
+    s = s.withColumn("s__salt", F.when(F.col("s__k").isNotNull(), F.lit(0))
+                     .otherwise(F.xxhash64(*s.columns)))
     if check_unique:
-        s = s.withColumn("s__n", F.count(F.lit(1)).over(Window.partitionBy("s__k")))
-        s = s.where(F.assert_true(F.col("s__n") <= 1, F.lit(f"duplicate {key} in snapshot")).isNull())
-
-    j = heads.join(s, F.col(key) == F.col("s__k"), "full_outer")
-    has_h, has_s = F.col(key).isNotNull(), F.col("s__k").isNotNull()
-    live = F.col("deleted_flg") == LIVE
-    present = has_s if delete_scope == "snapshot" else (has_s & F.col("s__delta"))
+        # partitioned like the join below, so the join reuses this shuffle
+        s = s.withColumn("s__n", F.count(F.lit(1)).over(Window.partitionBy("s__k", "s__salt")))
+        s = s.where(F.assert_true((F.col("s__n") <= 1) | F.col("s__k").isNull(),
+                                  F.lit(f"duplicate {key} in snapshot")).isNull())
+
+    cond = (F.col(key) == F.col("s__k")) & (F.col("h__salt") == F.col("s__salt")) & F.col("h__head")
+    j = h.join(s, cond, "full_outer")
+    has_h = F.col("h__head").isNotNull()
+    matched_head = F.col("h__head") & F.col("s__delta").isNotNull()
+    live = true_or_false(F.col("deleted_flg") == LIVE) & F.col("h__head") & F.col(key).isNotNull()
+    present = matched_head if delete_scope == "snapshot" else (matched_head & F.col("s__delta"))
     pairs = [(a, f"s__{a}") for a in attrs]
     if compare_start:
         pairs.append(("effective_from", "s__start"))
-    changed = has_s & F.col("s__delta") & any_differs(pairs)
+    changed = matched_head & F.col("s__delta") & any_differs(pairs)
 
     def row(k, attr_cols, ef, et, flg):
         return F.struct(k.alias(key), *[c.alias(a) for c, a in zip(attr_cols, attrs)],
@@ -133,15 +140,10 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
              .when(live & ~present, F.array(closed_del, tomb))
              .when(live & changed, F.array(closed_chg, succ)))
     if revive_deleted:
-        rows = rows.when(~live & has_s & F.col("s__delta"), F.array(closed_chg, succ))
+        rows = rows.when(F.col("h__head") & (F.col("deleted_flg") == DELETED) & matched_head
+                         & F.col("s__delta"), F.array(closed_chg, succ))
     rows = rows.otherwise(F.array(keep))
-
-    applied = j.select(F.inline(rows))
-    # null keys never match history: every one is inserted, as in the original
-    new_null = s_null.select(F.col("s__k").alias(key), *[F.col(f"s__{a}").alias(a) for a in attrs],
-                             F.col("s__start").alias("effective_from"), open_end().alias("effective_to"),
-                             F.lit(LIVE).alias("deleted_flg"))
-    return passthrough.unionByName(applied).unionByName(new_null)
+    return j.select(F.inline(rows))
 
 
 def version_stats(hist: DataFrame) -> DataFrame:

@@ -144,16 +144,35 @@ def q_scd2_three_batches(spark, sf):
     return h
 
 
+def preset_history(spark, sf, name: str, source) -> DataFrame:
+    """Two batches of a dimension source through its SCD2 preset."""
+    s1 = scd2.prepare_source(name, source(spark, sf, 1), fx.BATCH_DAYS[0])
+    h1 = scd2.apply_preset(name, None, s1, batch_dt=fx.BATCH_DAYS[0])
+    s2 = scd2.prepare_source(name, source(spark, sf, 2), fx.BATCH_DAYS[1])
+    since = scd2.delta_watermark(s1)
+    return scd2.apply_preset(name, h1, s2, batch_dt=fx.BATCH_DAYS[1], since=since)
+
+
 def _preset_two_batches(name: str, source) -> Query:
     def q(spark, sf):
-        s1 = scd2.prepare_source(name, source(spark, sf, 1), fx.BATCH_DAYS[0])
-        h1 = scd2.apply_preset(name, None, s1, batch_dt=fx.BATCH_DAYS[0])
-        s2 = scd2.prepare_source(name, source(spark, sf, 2), fx.BATCH_DAYS[1])
-        since = scd2.delta_watermark(s1)
-        return scd2.apply_preset(name, h1, s2, batch_dt=fx.BATCH_DAYS[1], since=since)
+        return preset_history(spark, sf, name, source)
     return q
 
 
+SOURCES = {"terminals": fx.terminal_source, "cards": fx.card_source, "accounts": fx.account_source,
+           "clients": fx.client_source}
+SOURCES_SQL = {"terminals": fx.terminal_source_sql, "cards": fx.card_source_sql,
+               "accounts": fx.account_source_sql, "clients": fx.client_source_sql}
+
+
+def q_report_history(spark, sf):
+    """Whole report over dimensions built by the SCD2 presets (several versions
+    per key, the uncovered day after a close, tombstones)."""
+    d = {n: preset_history(spark, sf, n, src) for n, src in SOURCES.items()}
+    return fr.build_report(fx.transactions(spark, sf), d["terminals"], d["cards"], d["accounts"],
+                           d["clients"], fx.blacklist_static(spark, sf))
+
+
 QUERIES: dict[str, Query] = {
     "tx_typed": q_tx_typed,
     "valid_at_cards": q_valid_at_cards,
@@ -176,6 +195,7 @@ QUERIES: dict[str, Query] = {
     "scd2_cards": _preset_two_batches("cards", fx.card_source),
     "scd2_accounts": _preset_two_batches("accounts", fx.account_source),
     "scd2_clients": _preset_two_batches("clients", fx.client_source),
+    "fraud_report_history": q_report_history,
 }
 
 
@@ -233,9 +253,17 @@ def _sql_scd2():
     chain["h3"] = "select * from " + step("h2", "snap3", 3)
     out["scd2_three_batches"] = orc.with_ctes(chain, "select * from h3")
 
-    for name, src in (("terminals", fx.terminal_source_sql), ("cards", fx.card_source_sql),
-                      ("accounts", fx.account_source_sql), ("clients", fx.client_source_sql)):
-        out[f"scd2_{name}"] = _sql_preset_two_batches(name, src, d)
+    hist_ctes = {}
+    for name, src in SOURCES_SQL.items():
+        ctes = _sql_preset_ctes(name, src, d)
+        out[f"scd2_{name}"] = orc.with_ctes(ctes, f"select * from {name}_h2")
+        hist_ctes.update(ctes)
+    rep = orc.fraud_ctes()
+    for name in SOURCES_SQL:
+        rep[name] = f"select * from {name}_h2"
+    rep["cand"] = orc.CANDIDATES_SQL
+    body = "\nunion all\n".join(orc.rule_sql(n) for n in (1, 2, 3, 4))
+    out["fraud_report_history"] = orc.with_ctes({**hist_ctes, **rep}, body)
     d_ = d
     ctes = orc.fraud_ctes()
     ctes["src1"] = fx.terminal_source_sql(1)
@@ -255,24 +283,26 @@ def _sql_scd2():
     return out
 
 
-def _sql_preset_two_batches(name, src_sql, d):
+def _sql_preset_ctes(name, src_sql, d) -> dict[str, str]:
+    """CTEs ``<name>_raw1.. <name>_h2``: two batches of a preset in SQL."""
     p = scd2.PRESETS[name]
     key, attrs = p["key"], p["attrs"]
     ctes = {}
     for day in (1, 2):
-        ctes[f"raw{day}"] = src_sql(day)
+        ctes[f"{name}_raw{day}"] = src_sql(day)
         trim = f"trim({key}) as {key}" if p.get("trim_key") else key
         others = ", ".join(c for c in [*attrs, *([p["start_col"]] if p["start_col"] else [])])
-        ctes[f"src{day}"] = (f"select {trim}, {others}, coalesce(update_dt, date '{d[day - 1]}') as update_dt "
-                             f"from raw{day}")
+        ctes[f"{name}_src{day}"] = (f"select {trim}, {others}, coalesce(update_dt, date '{d[day - 1]}') "
+                                    f"as update_dt from {name}_raw{day}")
     kw = dict(key=key, attrs=attrs, start_col=p["start_col"], delete_scope=p["delete_scope"],
               compare_start=p["compare_start"])
-    ctes["h1"] = "select * from " + orc.scd2_step_sql(orc.empty_hist_sql("src1", key, attrs), "src1",
-                                                        batch_dt=d[0], since="date '1900-01-01'", **kw)
+    ctes[f"{name}_h1"] = "select * from " + orc.scd2_step_sql(
+        orc.empty_hist_sql(f"{name}_src1", key, attrs), f"{name}_src1", batch_dt=d[0],
+        since="date '1900-01-01'", **kw)
     # watermark after batch 1: max update_dt of its delta (all rows of batch 1)
-    ctes["h2"] = "select * from " + orc.scd2_step_sql("h1", "src2", batch_dt=d[1],
-                                                        since="(select max(update_dt) from src1)", **kw)
-    return orc.with_ctes(ctes, "select * from h2")
+    ctes[f"{name}_h2"] = "select * from " + orc.scd2_step_sql(
+        f"{name}_h1", f"{name}_src2", batch_dt=d[1], since=f"(select max(update_dt) from {name}_src1)", **kw)
+    return ctes
 
 
 def oracle_sql() -> dict[str, str]:
