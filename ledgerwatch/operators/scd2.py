@@ -67,6 +67,13 @@ def present_keys(snapshot: DataFrame, key: str, *, since=None, update_col: str =
     return s.select(key)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+OPEN_SQL = "TIMESTAMP_NTZ '9999-12-31 00:00:00'"
+
+
 def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs: list[str],
                batch_dt: dt.date | str, start_col: str | None = None, update_col: str = "update_dt",
                since=None, delete_scope: str = "snapshot", compare_start: bool = False,
@@ -79,71 +86,73 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
     ``update_col > since`` form the delta (all rows when ``since`` is None).
     New keys start at ``start_col`` (or at ``update_col`` when None); changed
     keys start a new version at ``update_col``.
+
+    The per-row logic is one SQL expression (a ``CASE`` producing 0, 1 or 2
+    version structs, expanded with ``inline``), so plan building stays cheap.
     """
+    if delete_scope not in ("snapshot", "delta"):
+        raise ValueError(delete_scope)
     out_cols = [key, *attrs, *VERSION]
-    batch = F.lit(batch_dt).cast("date")
+    k, oc = _q(key), ", ".join(_q(c) for c in out_cols)
+    batch = f"DATE '{dt.date.fromisoformat(str(batch_dt)).isoformat()}'"
     if hist is None:
         hist = empty_history(None, snapshot, key, attrs)
-    is_head = true_or_false(F.col("effective_to") == open_end())
     # Join key (key, salt): salt 0 for head versions with a key; closed versions
     # and null keys, which can never match, get a row hash so they spread over
     # all partitions instead of piling up in one.
-    h = hist.select(*out_cols, is_head.alias("h__head"))
-    h = h.withColumn("h__salt", F.when(F.col("h__head") & F.col(key).isNotNull(), F.lit(0))
-                     .otherwise(F.xxhash64(*out_cols)))
+    head = f"coalesce(effective_to = {OPEN_SQL}, false)"
+    h = hist.selectExpr(*[_q(c) for c in out_cols], f"{head} AS h__head",
+                        f"CASE WHEN {head} AND {k} IS NOT NULL THEN 0L ELSE xxhash64({oc}) END AS h__salt")
 
-    start = start_col or update_col
     if isinstance(since, DataFrame):
         # scalar watermark from a one-row aggregate: broadcast is size-bounded
         snapshot = snapshot.crossJoin(F.broadcast(since.select(F.col(since.columns[0]).alias("__since"))))
         since = F.col("__since")
+    start = _q(start_col or update_col)
     s = snapshot.select(F.col(key).alias("s__k"), *[F.col(a).alias(f"s__{a}") for a in attrs],
-                        at_midnight(update_col).alias("s__upd"),
-                        F.col(start).cast("timestamp_ntz").alias("s__start"),
+                        F.col(update_col).cast("date").cast("timestamp_ntz").alias("s__upd"),
+                        F.expr(f"CAST({start} AS TIMESTAMP_NTZ)").alias("s__start"),
                         delta_flag(update_col, since).alias("s__delta"))
-    s = s.withColumn("s__salt", F.when(F.col("s__k").isNotNull(), F.lit(0))
-                     .otherwise(F.xxhash64(*s.columns)))
+    s = s.selectExpr("*", "CASE WHEN s__k IS NOT NULL THEN 0L ELSE xxhash64(*) END AS s__salt")
     if check_unique:
         # partitioned like the join below, so the join reuses this shuffle
         s = s.withColumn("s__n", F.count(F.lit(1)).over(Window.partitionBy("s__k", "s__salt")))
         s = s.where(F.assert_true((F.col("s__n") <= 1) | F.col("s__k").isNull(),
                                   F.lit(f"duplicate {key} in snapshot")).isNull())
 
-    cond = (F.col(key) == F.col("s__k")) & (F.col("h__salt") == F.col("s__salt")) & F.col("h__head")
-    j = h.join(s, cond, "full_outer")
-    has_h = F.col("h__head").isNotNull()
-    matched_head = F.col("h__head") & F.col("s__delta").isNotNull()
-    live = true_or_false(F.col("deleted_flg") == LIVE) & F.col("h__head") & F.col(key).isNotNull()
-    present = matched_head if delete_scope == "snapshot" else (matched_head & F.col("s__delta"))
-    pairs = [(a, f"s__{a}") for a in attrs]
+    j = h.join(s, F.expr(f"{k} = s__k AND h__salt = s__salt AND h__head"), "full_outer")
+
+    matched = "(h__head AND s__delta IS NOT NULL)"
+    live = f"(h__head AND {k} IS NOT NULL AND coalesce(deleted_flg = '{LIVE}', false))"
+    present = matched if delete_scope == "snapshot" else f"({matched} AND s__delta)"
+    pairs = [(_q(a), _q(f"s__{a}")) for a in attrs]
     if compare_start:
         pairs.append(("effective_from", "s__start"))
-    changed = matched_head & F.col("s__delta") & any_differs(pairs)
-
-    def row(k, attr_cols, ef, et, flg):
-        return F.struct(k.alias(key), *[c.alias(a) for c, a in zip(attr_cols, attrs)],
-                        ef.alias("effective_from"), et.alias("effective_to"), flg.alias("deleted_flg"))
-
-    h_attrs = [F.col(a) for a in attrs]
-    s_attrs = [F.col(f"s__{a}") for a in attrs]
-    keep = row(F.col(key), h_attrs, F.col("effective_from"), F.col("effective_to"), F.col("deleted_flg"))
-    closed_chg = row(F.col(key), h_attrs, F.col("effective_from"),
-                     days_before("s__upd", close_offset_days), F.col("deleted_flg"))
-    closed_del = row(F.col(key), h_attrs, F.col("effective_from"),
-                     days_before(batch, close_offset_days), F.col("deleted_flg"))
-    tomb = row(F.col(key), h_attrs, at_midnight(batch), open_end(), F.lit(DELETED))
-    succ = row(F.col("s__k"), s_attrs, F.col("s__upd"), open_end(), F.lit(LIVE))
-    first = row(F.col("s__k"), s_attrs, F.col("s__start"), open_end(), F.lit(LIVE))
-
-    empty = F.filter(F.array(keep), lambda _: F.lit(False))   # typed empty array
-    rows = (F.when(~has_h, F.when(F.col("s__delta"), F.array(first)).otherwise(empty))
-             .when(live & ~present, F.array(closed_del, tomb))
-             .when(live & changed, F.array(closed_chg, succ)))
-    if revive_deleted:
-        rows = rows.when(F.col("h__head") & (F.col("deleted_flg") == DELETED) & matched_head
-                         & F.col("s__delta"), F.array(closed_chg, succ))
-    rows = rows.otherwise(F.array(keep))
-    return j.select(F.inline(rows))
+    changed = f"({matched} AND s__delta AND (" + " OR ".join(f"NOT ({x} <=> {y})" for x, y in pairs) + "))"
+
+    def row(kx, ax, ef, et, flg):
+        fields = [f"'{key}', {kx}", *[f"'{a}', {e}" for a, e in zip(attrs, ax)],
+                  f"'effective_from', {ef}", f"'effective_to', {et}", f"'deleted_flg', {flg}"]
+        return "named_struct(" + ", ".join(fields) + ")"
+
+    ha = [_q(a) for a in attrs]
+    sa = [_q(f"s__{a}") for a in attrs]
+    keep = row(k, ha, "effective_from", "effective_to", "deleted_flg")
+    closed_chg = row(k, ha, "effective_from",
+                     f"CAST(date_sub(CAST(s__upd AS DATE), {close_offset_days}) AS TIMESTAMP_NTZ)", "deleted_flg")
+    closed_del = row(k, ha, "effective_from",
+                     f"CAST(date_sub({batch}, {close_offset_days}) AS TIMESTAMP_NTZ)", "deleted_flg")
+    tomb = row(k, ha, f"CAST({batch} AS TIMESTAMP_NTZ)", OPEN_SQL, f"'{DELETED}'")
+    succ = row("s__k", sa, "s__upd", OPEN_SQL, f"'{LIVE}'")
+    first = row("s__k", sa, "s__start", OPEN_SQL, f"'{LIVE}'")
+    revive = (f"WHEN h__head AND deleted_flg = '{DELETED}' AND {matched} AND s__delta "
+              f"THEN array({closed_chg}, {succ}) ") if revive_deleted else ""
+    rows = (f"CASE WHEN h__head IS NULL THEN (CASE WHEN s__delta THEN array({first}) "
+            f"ELSE filter(array({keep}), x -> false) END) "
+            f"WHEN {live} AND NOT {present} THEN array({closed_del}, {tomb}) "
+            f"WHEN {live} AND {changed} THEN array({closed_chg}, {succ}) "
+            f"{revive}ELSE array({keep}) END")
+    return j.selectExpr(f"inline({rows})")
 
 
 def version_stats(hist: DataFrame) -> DataFrame:

@@ -35,14 +35,14 @@ def valid_at_join(facts: DataFrame, dim: DataFrame, *, fact_key: str | Column, d
     last day uncovered), optionally only non-deleted versions. ``select`` maps
     dimension columns to output names; a left join never drops a fact row.
     """
-    d = dim
-    if live_only:
-        d = d.where(F.col("deleted_flg") == LIVE)
-    d = d.select(F.col(dim_key).alias("__vk"), F.col("effective_from").alias("__vf"),
-                 F.col("effective_to").alias("__vt"),
-                 *[F.col(src).alias(dst) for src, dst in select.items()])
-    f = facts.select("*", col(fact_key).alias("__fk"), col(at).alias("__at"))
-    cond = (F.col("__fk") == F.col("__vk")) & F.col("__at").between(F.col("__vf"), F.col("__vt"))
+    live = f"deleted_flg = '{LIVE}'" if live_only else "true"
+    d = dim.where(live).selectExpr(f"`{dim_key}` AS __vk", "effective_from AS __vf", "effective_to AS __vt",
+                                   *[f"`{src}` AS `{dst}`" for src, dst in select.items()])
+    if isinstance(fact_key, str) and isinstance(at, str):
+        f = facts.selectExpr("*", f"`{fact_key}` AS __fk", f"`{at}` AS __at")
+    else:
+        f = facts.select("*", col(fact_key).alias("__fk"), col(at).alias("__at"))
+    cond = F.expr("__fk = __vk AND __at BETWEEN __vf AND __vt")
     return f.join(d, cond, how).drop("__fk", "__at", "__vk", "__vf", "__vt")
 
 

@@ -72,6 +72,29 @@ def q_report_rules34(spark, sf):
     return fr.build_report(tx, d["terminals"], d["cards"], d["accounts"], d["clients"], d["blacklist"])
 
 
+def blacklist_with_repeats(spark, sf) -> DataFrame:
+    """The static blacklist plus repeated entries: every third passport again
+    with the same date, every fourth again five days later (Q12)."""
+    bl = fx.blacklist_static(spark, sf)
+    k = F.substring("passport_num", 2, 20).cast("bigint")
+    again = bl.where(k % 3 == 0)
+    later = bl.where(k % 4 == 0).select("passport_num", F.date_add("entry_dt", 5).alias("entry_dt"))
+    return bl.unionByName(again).unionByName(later)
+
+
+BLACKLIST_REPEATS_SQL = f"""select * from ({fx.BLACKLIST_STATIC_SQL})
+      union all select * from ({fx.BLACKLIST_STATIC_SQL}) where cast(substring(passport_num, 2, 20) as bigint) % 3 = 0
+      union all select passport_num, entry_dt + 5 from ({fx.BLACKLIST_STATIC_SQL})
+        where cast(substring(passport_num, 2, 20) as bigint) % 4 = 0"""
+
+
+def q_report_blacklist_repeats(spark, sf):
+    tx = fx.transactions(spark, sf)
+    d = fx.static_dims(spark, sf)
+    return fr.build_report(tx, d["terminals"], d["cards"], d["accounts"], d["clients"],
+                           blacklist_with_repeats(spark, sf))
+
+
 def q_tx_typed(spark, sf):
     return fx.transactions(spark, sf)
 
@@ -196,6 +219,7 @@ QUERIES: dict[str, Query] = {
     "scd2_accounts": _preset_two_batches("accounts", fx.account_source),
     "scd2_clients": _preset_two_batches("clients", fx.client_source),
     "fraud_report_history": q_report_history,
+    "fraud_report_blacklist_repeats": q_report_blacklist_repeats,
 }
 
 
@@ -214,6 +238,7 @@ def _sql_fraud():
         "rule4_amount_guess_native": orc.fraud_query_sql(orc.rule_sql(4), card_mod=1),
         "fraud_report": orc.report_sql(),
         "fraud_report_rules34": orc.report_sql(card_mod=CARD_MOD_RULES34),
+        "fraud_report_blacklist_repeats": orc.report_sql(blacklist_sql=BLACKLIST_REPEATS_SQL),
         "tx_typed": fx.transactions_sql(),
     }
     ctes = orc.fraud_ctes()

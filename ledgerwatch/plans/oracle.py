@@ -17,11 +17,12 @@ def with_ctes(ctes: dict[str, str], body: str) -> str:
     return "with " + ",\n".join(f"{k} as ({v})" for k, v in ctes.items()) + "\n" + body
 
 
-def fraud_ctes(card_mod=None, success_types=fx.SUCCESS_TYPES, terminals_sql=None) -> dict[str, str]:
+def fraud_ctes(card_mod=None, success_types=fx.SUCCESS_TYPES, terminals_sql=None,
+               blacklist_sql=None) -> dict[str, str]:
     c = {"tx": fx.transactions_sql(card_mod, success_types)}
     c.update({"terminals": terminals_sql or fx.TERMINALS_STATIC_SQL, "cards": fx.CARDS_STATIC_SQL,
               "accounts": fx.ACCOUNTS_STATIC_SQL, "clients": fx.CLIENTS_STATIC_SQL,
-              "blacklist": fx.BLACKLIST_STATIC_SQL})
+              "blacklist": blacklist_sql or fx.BLACKLIST_STATIC_SQL})
     return c
 
 
