@@ -78,7 +78,7 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
                batch_dt: dt.date | str, start_col: str | None = None, update_col: str = "update_dt",
                since=None, delete_scope: str = "snapshot", compare_start: bool = False,
                close_offset_days: int = 1, revive_deleted: bool = False,
-               check_unique: bool = True) -> DataFrame:
+               check_unique: bool = True, stamp_col: str | None = None) -> DataFrame:
     """Apply one batch (a full snapshot) to SCD2 history; returns the new history.
 
     ``snapshot`` holds key, attrs, ``update_col`` (date, already defaulted to
@@ -87,6 +87,9 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
     New keys start at ``start_col`` (or at ``update_col`` when None); changed
     keys start a new version at ``update_col``.
 
+    With ``stamp_col`` (e.g. ``processed_dt``) every inserted or closed
+    version gets the current time there and untouched versions keep theirs.
+
     The per-row logic is one SQL expression (a ``CASE`` producing 0, 1 or 2
     version structs, expanded with ``inline``), so plan building stays cheap.
     """
@@ -97,6 +100,10 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
     batch = f"DATE '{dt.date.fromisoformat(str(batch_dt)).isoformat()}'"
     if hist is None:
         hist = empty_history(None, snapshot, key, attrs)
+    if stamp_col:
+        if stamp_col not in hist.columns:
+            hist = hist.withColumn(stamp_col, F.lit(None).cast("timestamp"))
+        out_cols = [*out_cols, stamp_col]
     # Join key (key, salt): salt 0 for head versions with a key; closed versions
     # and null keys, which can never match, get a row hash so they spread over
     # all partitions instead of piling up in one.
@@ -130,14 +137,16 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
         pairs.append(("effective_from", "s__start"))
     changed = f"({matched} AND s__delta AND (" + " OR ".join(f"NOT ({x} <=> {y})" for x, y in pairs) + "))"
 
-    def row(kx, ax, ef, et, flg):
+    def row(kx, ax, ef, et, flg, stamp="current_timestamp()"):
         fields = [f"'{key}', {kx}", *[f"'{a}', {e}" for a, e in zip(attrs, ax)],
                   f"'effective_from', {ef}", f"'effective_to', {et}", f"'deleted_flg', {flg}"]
+        if stamp_col:
+            fields.append(f"'{stamp_col}', {stamp}")
         return "named_struct(" + ", ".join(fields) + ")"
 
     ha = [_q(a) for a in attrs]
     sa = [_q(f"s__{a}") for a in attrs]
-    keep = row(k, ha, "effective_from", "effective_to", "deleted_flg")
+    keep = row(k, ha, "effective_from", "effective_to", "deleted_flg", _q(stamp_col or ""))
     closed_chg = row(k, ha, "effective_from",
                      f"CAST(date_sub(CAST(s__upd AS DATE), {close_offset_days}) AS TIMESTAMP_NTZ)", "deleted_flg")
     closed_del = row(k, ha, "effective_from",

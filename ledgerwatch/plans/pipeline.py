@@ -143,11 +143,12 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
 
 def _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty):
     since = _wm(state, name)
-    heads = wh.dim(name, state[name][1], as_of, heads_only=True)
+    heads = wh.dim(name, state[name][1], as_of, heads_only=True, keep_stamp=True)
     present = scd2.present_keys(src, scd2.PRESETS[name]["key"], since=F.lit(since), delete_scope=delete_scope)
     if not allow_empty and present.isEmpty() and heads is not None:
         raise EmptySnapshotError(f"{name}: no present keys in batch {batch}; refusing to tombstone everything")
-    hist = scd2.apply_preset(name, heads, src, batch_dt=batch, since=F.lit(since), delete_scope=delete_scope)
+    hist = scd2.apply_preset(name, heads, src, batch_dt=batch, since=F.lit(since), delete_scope=delete_scope,
+                             stamp_col="processed_dt")
     wh.write_dim(name, hist, batch)
     delta = src.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(since))
     _advance(state, name, delta, batch)

@@ -67,9 +67,10 @@ class Warehouse:
         if not self._partitions(self.path("facts", name), "load_dt"):
             return None
         df = self.spark.read.parquet(self.path("facts", name))
-        return df.where(F.col("load_dt") <= F.lit(as_of)).drop("load_dt")
+        return df.where(F.col("load_dt") <= F.lit(as_of)).drop("load_dt", "processed_dt")
 
-    def dim(self, name: str, heads_at: dt.date | None, as_of: dt.date, heads_only: bool = False) -> DataFrame | None:
+    def dim(self, name: str, heads_at: dt.date | None, as_of: dt.date, heads_only: bool = False,
+            keep_stamp: bool = False) -> DataFrame | None:
         """History as of batch ``as_of``: closed versions up to it plus the
         heads written by batch ``heads_at`` (the dimension's last load)."""
         if heads_at is None:
@@ -77,11 +78,12 @@ class Warehouse:
         df = self.spark.read.parquet(self.path("dims", name))
         heads = (F.col("part") == "heads") & (F.col("load_dt") == F.lit(heads_at))
         cond = heads if heads_only else (heads | ((F.col("part") == "closed") & (F.col("load_dt") <= F.lit(as_of))))
-        return df.where(cond).drop("part", "load_dt")
+        out = df.where(cond).drop("part", "load_dt")
+        return out if keep_stamp else out.drop("processed_dt")
 
     # ---- writes (dynamic partition overwrite: a re-run replaces its own partitions) ----
     def write_facts(self, name: str, rows: DataFrame, batch: dt.date, sort_by: str | None = None):
-        out = rows.withColumn("load_dt", F.lit(batch))
+        out = rows.withColumns({"processed_dt": F.current_timestamp(), "load_dt": F.lit(batch)})
         if sort_by:
             out = out.sortWithinPartitions(sort_by)
         out.write.mode("overwrite").partitionBy("load_dt").parquet(self.path("facts", name))
@@ -92,14 +94,15 @@ class Warehouse:
         out.write.mode("overwrite").partitionBy("part", "load_dt").parquet(self.path("dims", name))
 
     def write_report(self, report: DataFrame):
-        report.write.mode("overwrite").partitionBy("report_dt").parquet(self.path("report"))
+        (report.withColumn("processed_dt", F.current_timestamp())
+               .write.mode("overwrite").partitionBy("report_dt").parquet(self.path("report")))
 
     def commit(self, meta: DataFrame, batch: dt.date):
         (meta.select(*META_STATE.names).coalesce(1).write.mode("overwrite")
              .parquet(self.path("meta", f"load_dt={batch.isoformat()}")))
 
     def report(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("report"))
+        return self.spark.read.parquet(self.path("report")).drop("processed_dt")
 
     # ---- file archiving ----
     def archive(self, src: str, archive_dir: str, suffix: str = ".backup"):

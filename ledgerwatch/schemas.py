@@ -70,3 +70,42 @@ def ddl(schema: T.StructType) -> str:
         typ = f"VARCHAR({lim})" if lim else f.dataType.simpleString()
         out.append(f"{f.name} {typ}")
     return ", ".join(out)
+
+
+# ---- catalog tables with defaults (A12) ----------------------------------------
+_OPEN_DEFAULT = "TIMESTAMP_NTZ '9999-12-31 00:00:00'"
+_DIM_COLUMNS = {
+    "terminals": "terminal_id VARCHAR(6), terminal_type VARCHAR(3), terminal_city VARCHAR(50), "
+                 "terminal_address VARCHAR(200)",
+    "cards": "card_num VARCHAR(20), account_num VARCHAR(20)",
+    "accounts": "account_num VARCHAR(20), valid_to DATE, client VARCHAR(10)",
+    "clients": "client_id VARCHAR(10), last_name VARCHAR(20), first_name VARCHAR(20), patronymic VARCHAR(20), "
+               "date_of_birth DATE, passport_num VARCHAR(15), passport_valid_to DATE, phone VARCHAR(16)",
+}
+
+
+def table_ddl(database: str) -> dict[str, str]:
+    """``CREATE TABLE IF NOT EXISTS`` statements of the warehouse tables, with
+    the original's VARCHAR limits (writes over the limit fail) and defaults
+    (``effective_to = 9999-12-31``, ``deleted_flg = 'N'``)."""
+    out = {
+        "fact_transactions": f"{ddl(TRANSACTIONS)}, processed_dt TIMESTAMP, load_dt DATE",
+        "fact_passport_blacklist": f"{ddl(BLACKLIST)}, processed_dt TIMESTAMP, load_dt DATE",
+        "rep_fraud": f"{ddl(REPORT)}, processed_dt TIMESTAMP",
+        "meta_loads": "table_name VARCHAR(50), max_update_dt TIMESTAMP_NTZ, last_load_dt DATE, "
+                      "processed_dt TIMESTAMP",
+    }
+    for name, cols in _DIM_COLUMNS.items():
+        out[f"dim_{name}_hist"] = (f"{cols}, effective_from TIMESTAMP_NTZ, "
+                                   f"effective_to TIMESTAMP_NTZ DEFAULT {_OPEN_DEFAULT}, "
+                                   f"deleted_flg CHAR(1) DEFAULT 'N', processed_dt TIMESTAMP")
+    return {t: f"CREATE TABLE IF NOT EXISTS {database}.{t} ({cols}) USING parquet" for t, cols in out.items()}
+
+
+def create_tables(spark, database: str, location: str | None = None) -> list[str]:
+    loc = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{loc}")
+    stmts = table_ddl(database)
+    for s in stmts.values():
+        spark.sql(s)
+    return list(stmts)

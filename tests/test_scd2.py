@@ -158,3 +158,16 @@ def test_scd2_matches_six_statements(spark, seed, scope, cmp, since_mode):
     got = rows_of(h)
     exp = duck_chain(snaps, since_mode, delete_scope=scope, compare_start=cmp)
     assert got == exp
+
+
+def test_stamp_kept_on_untouched_versions(spark):
+    h1 = apply(None, snap(spark, [r("1", "x", 1, upd=D[0]), r("2", "y", 2, upd=D[0])]), 0,
+               stamp_col="processed_dt")
+    h1 = spark.createDataFrame(h1.collect(), h1.schema)         # as stored after batch 1
+    first = {x.k: x.processed_dt for x in h1.collect()}
+    h2 = apply(h1, snap(spark, [r("1", "x", 1, upd=D[1]), r("2", "y", 3, upd=D[1])]), 1,
+               stamp_col="processed_dt").collect()
+    unchanged = [x for x in h2 if x.k == "1"]
+    assert len(unchanged) == 1 and unchanged[0].processed_dt == first["1"]
+    changed = [x for x in h2 if x.k == "2"]
+    assert len(changed) == 2 and all(x.processed_dt > first["2"] for x in changed)

@@ -92,3 +92,18 @@ def test_append_absent(spark):
     assert got == sorted([("3", 3), ("3", 4), (None, 5)], key=str)   # in-batch duplicates and null kept
     dd = facts.append_absent(target, batch, "id", dedupe_within_batch=True, first_by="v")
     assert sorted((tuple(r) for r in dd.collect()), key=str) == sorted([("3", 3), (None, 5)], key=str)
+
+
+def test_catalog_tables_with_defaults(spark, tmp_dir):
+    from ledgerwatch.schemas import create_tables
+    names = create_tables(spark, "lw_ddl_test", os.path.join(tmp_dir, "db"))
+    assert "dim_cards_hist" in names and "rep_fraud" in names
+    spark.sql("INSERT INTO lw_ddl_test.dim_cards_hist (card_num, account_num, effective_from) "
+              "VALUES ('1', 'A', TIMESTAMP_NTZ '2024-01-01 00:00:00')")
+    r = spark.sql("SELECT effective_to, deleted_flg FROM lw_ddl_test.dim_cards_hist").first()
+    assert (r.effective_to, r.deleted_flg) == (dt.datetime(9999, 12, 31), "N")
+    try:
+        spark.sql("INSERT INTO lw_ddl_test.dim_cards_hist (card_num) VALUES ('123456789012345678901')")
+        raise AssertionError("over-length value accepted")
+    except Exception as e:
+        assert "EXCEED_LIMIT_LENGTH" in str(e)
