@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.columns import (SUCCESS, epoch_seconds, full_name,
                                            least_ignore_nulls, true_or_false)
 from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, hot_key_widths, lookback_buckets,
-                                            min_width, valid_at_join)
+                                            min_width, salt_null_key, valid_at_join)
 
 CITY_WINDOW = 3600      # rule 3 look-back, seconds
 GUESS_WINDOW = 1200     # rule 4 look-back, seconds
@@ -164,8 +164,8 @@ def passport_rule(cands: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Rule 1. One row per matching blacklist entry (duplicates multiply, as
     in the original), or one row for an expired passport without entry."""
     bl = blacklist.select(F.col("passport_num").alias("__bl"), F.col("entry_dt").alias("__entry"))
-    j = cands.join(bl, (F.col("passport") == F.col("__bl")) & (F.col("__entry") <= F.col("report_dt")),
-                   "left")
+    c = cands.withColumn("__pk", salt_null_key(cands, "passport"))
+    j = c.join(bl, (F.col("__pk") == F.col("__bl")) & (F.col("__entry") <= F.col("report_dt")), "left")
     expired = F.coalesce(F.col("passport_valid_to"), F.col("report_dt")) < F.col("report_dt")
     return _report(j.where(F.col("__bl").isNotNull() | expired), 1)
 
@@ -203,7 +203,8 @@ def fraud_report(cands: DataFrame, blacklist: DataFrame) -> DataFrame:
     matching entry date (or its only row when nothing matches).
     """
     bl = blacklist_entries(blacklist)
-    j = cands.join(bl, (F.col("passport") == F.col("__bl")) & (F.col("__entry") <= F.col("report_dt")), "left")
+    c = cands.withColumn("__pk", salt_null_key(cands, "passport"))
+    j = c.join(bl, (F.col("__pk") == F.col("__bl")) & (F.col("__entry") <= F.col("report_dt")), "left")
     matched = F.col("__bl").isNotNull()
     expired = F.coalesce(F.col("passport_valid_to"), F.col("report_dt")) < F.col("report_dt")
     rule1 = F.when(matched, F.array_repeat(F.lit(1), F.col("__n").cast("int"))) \

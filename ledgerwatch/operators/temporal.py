@@ -42,10 +42,23 @@ def valid_at_join(facts: DataFrame, dim: DataFrame, *, fact_key: str | Column, d
         f = facts.selectExpr("*", f"`{fact_key}` AS __fk", f"`{at}` AS __at")
     else:
         f = facts.select("*", col(fact_key).alias("__fk"), col(at).alias("__at"))
+    f = f.withColumn("__fk", salt_null_key(f, "__fk"))
     cond = F.expr("__fk = __vk AND __at BETWEEN __vf AND __vt")
     return f.join(d, cond, how).drop("__fk", "__at", "__vk", "__vf", "__vt")
 
 
+NULL_KEY_PREFIX = "\u0000"   # never starts a real business key
+
+
+def salt_null_key(df: DataFrame, key: str) -> Column:
+    """A null string join key can never match; give each such row a distinct
+    non-matching key so a mass of nulls (unknown cards, no client) spreads over
+    all shuffle partitions instead of landing in one. Other types pass as is."""
+    if dict(df.dtypes).get(key) != "string":
+        return F.col(key)
+    return F.expr(f"coalesce(`{key}`, concat('{NULL_KEY_PREFIX}', cast(xxhash64(*) as string)))")
+
+
 BUCKET = "__bucket"
 CONTEXT = "__ctx"
 WIDTH = "__width"
