@@ -24,7 +24,9 @@ HEADLINE = [
     "fraud_report",               # all four rules, all days, card = user_id
     "fraud_report_rules34",       # all four rules, card = user_id % 10 (rules 3/4 fire widely)
     "fraud_report_day",           # one report day with the look-back across midnight
-    "rule3_city_hop",             # 1 h city hop (baseline probe: window 1.6 s, self-join 13.1 s)
+    "rule3_flagged",              # rule 3 flag pass only (baseline probe: window 1.6 s, self-join 13.1 s)
+    "rule4_flagged",              # rule 4 flag pass only, 7200 s (baseline probe: window 1.3 s, self-join 46.8 s)
+    "rule3_city_hop",             # 1 h city hop, report rows
     "rule4_amount_guess",         # 7200 s amount guessing
     "rule4_amount_guess_native",  # 1200 s, one card for all rows (hot key)
     "candidates",

@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import (SUCCESS, epoch_seconds, full_name,
                                            least_ignore_nulls, true_or_false)
-from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, hot_key_widths, lookback_buckets,
-                                            min_width, salt_null_key, valid_at_join)
+from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, DIM_BROADCAST_ROWS, hot_key_widths,
+                                            lookback_buckets, min_width, salt_null_key, valid_at_join)
 
 CITY_WINDOW = 3600      # rule 3 look-back, seconds
 GUESS_WINDOW = 1200     # rule 4 look-back, seconds
@@ -50,7 +50,7 @@ def _day_start(d) -> Column:
 def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
                       city_window: int = CITY_WINDOW, guess_window: int = GUESS_WINDOW,
                       attempts: int = GUESS_ATTEMPTS, bucket: int | None = None,
-                      hot_rows: int | None = HOT_ROWS,
+                      hot_rows: int | None = HOT_ROWS, rules: tuple[int, ...] = (3, 4),
                       report_from: dt.date | str | None = None,
                       report_to: dt.date | str | None = None) -> DataFrame:
     """Successful transactions of the report days with rule 3/4 flags.
@@ -62,7 +62,10 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     (``None`` turns the per-card statistics pass off). ``report_from``/``report_to`` (inclusive days) bound the scan to the
     report days plus the look-back, so a partitioned fact table is pruned.
     """
-    lookback = max(city_window if terminals is not None else 0, guess_window)
+    do3, do4 = 3 in rules and terminals is not None, 4 in rules
+    if not (do3 or do4):
+        return _candidates_only(tx, report_from, report_to)
+    lookback = max(city_window if do3 else 0, guess_window if do4 else 0)
     bucket = bucket or max(6 * lookback, 3600)
     t = tx.select("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal")
     if report_from is not None:
@@ -78,9 +81,12 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
         # per-card density from the card/time columns only, before the terminal join
         widths = hot_key_widths(t.select("card_num", "__sec"), key="card_num", seconds="__sec",
                                 bucket=bucket, hot_rows=hot_rows, min_width=min_width(lookback), valid=valid)
-    if terminals is not None:
+    if do3:
+        # every transaction looks up its terminal: broadcast the terminal history
+        # after a bounded size check rather than shuffling all transactions
         t = valid_at_join(t, terminals, fact_key="terminal", dim_key="terminal_id",
-                          at="trans_date", select={"terminal_city": "__city_raw"})
+                          at="trans_date", select={"terminal_city": "__city_raw"},
+                          broadcast_rows=DIM_BROADCAST_ROWS)
         city = F.when(F.col("__ok"), F.col("__city_raw"))
     else:
         city = F.lit(None).cast("string")
@@ -95,33 +101,38 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     before = part.orderBy("__sec").rangeBetween(Window.unboundedPreceding, -1)
     sec, city = F.col("__sec"), F.col("__city")
 
-    # rule 4: each row with its row predecessors 1..attempts
-    fields = [sec.alias("s0"), F.col("trans_id").alias("id"), F.col("amt").alias("a0"),
-              F.col("oper_result").alias("o0")]
-    for k in range(1, attempts + 1):
-        fields += [F.lag(sec, k).over(w).alias(f"s{k}"), F.lag("amt", k).over(w).alias(f"a{k}"),
-                   F.lag("oper_result", k).over(w).alias(f"o{k}")]
-    # rule 3: latest earlier row with a different city, carried forward
-    t = t.withColumns({
-        "__pcity": F.last(city, ignorenulls=True).over(prior),
-        "__psec": F.last(F.when(city.isNotNull(), sec), ignorenulls=True).over(prior),
-        "__row": F.struct(*fields)})
-    change = F.when(city.isNotNull() & F.col("__pcity").isNotNull() & (city != F.col("__pcity")),
-                    F.col("__psec"))
-    t = t.withColumn("__diff", F.last(change, ignorenulls=True).over(upto))
-    t = t.withColumns({"__hop_since": F.max("__diff").over(before), "__last": F.max("__row").over(before)})
-
-    city_hop = true_or_false(F.col("__hop_since") >= sec - F.lit(city_window))
-    if terminals is None:
-        city_hop = F.lit(False)
-    r, floor_sec = F.col("__last"), sec - F.lit(guess_window)
-    inside = [r[f"s{k}"].isNotNull() & (r[f"s{k}"] >= floor_sec) for k in range(attempts + 1)]
-    bad = F.lit(False)
-    for k in range(attempts):
-        prev = F.coalesce(F.when(inside[k + 1], r[f"a{k + 1}"]), r[f"a{k}"] + F.lit(1))
-        bad = bad | true_or_false(r[f"o{k}"] == SUCCESS) | true_or_false(prev - r[f"a{k}"] <= 0)
-    above = true_or_false(least_ignore_nulls([r[f"a{k}"] for k in range(attempts)]) > F.col("amt"))
-    guess = inside[attempts - 1] & ~bad & above
+    if do4:   # rule 4: each row with its row predecessors 1..attempts
+        fields = [sec.alias("s0"), F.col("trans_id").alias("id"), F.col("amt").alias("a0"),
+                  F.col("oper_result").alias("o0")]
+        for k in range(1, attempts + 1):
+            fields += [F.lag(sec, k).over(w).alias(f"s{k}"), F.lag("amt", k).over(w).alias(f"a{k}"),
+                       F.lag("oper_result", k).over(w).alias(f"o{k}")]
+        t = t.withColumn("__row", F.struct(*fields))
+    if do3:   # rule 3: latest earlier row with a different city, carried forward
+        t = t.withColumns({
+            "__pcity": F.last(city, ignorenulls=True).over(prior),
+            "__psec": F.last(F.when(city.isNotNull(), sec), ignorenulls=True).over(prior)})
+        change = F.when(city.isNotNull() & F.col("__pcity").isNotNull() & (city != F.col("__pcity")),
+                        F.col("__psec"))
+        t = t.withColumn("__diff", F.last(change, ignorenulls=True).over(upto))
+    after = {}
+    if do3:
+        after["__hop_since"] = F.max("__diff").over(before)
+    if do4:
+        after["__last"] = F.max("__row").over(before)
+    t = t.withColumns(after)
+
+    city_hop = true_or_false(F.col("__hop_since") >= sec - F.lit(city_window)) if do3 else F.lit(False)
+    guess = F.lit(False)
+    if do4:
+        r, floor_sec = F.col("__last"), sec - F.lit(guess_window)
+        inside = [r[f"s{k}"].isNotNull() & (r[f"s{k}"] >= floor_sec) for k in range(attempts + 1)]
+        bad = F.lit(False)
+        for k in range(attempts):
+            prev = F.coalesce(F.when(inside[k + 1], r[f"a{k + 1}"]), r[f"a{k}"] + F.lit(1))
+            bad = bad | true_or_false(r[f"o{k}"] == SUCCESS) | true_or_false(prev - r[f"a{k}"] <= 0)
+        above = true_or_false(least_ignore_nulls([r[f"a{k}"] for k in range(attempts)]) > F.col("amt"))
+        guess = inside[attempts - 1] & ~bad & above
 
     # candidates: successful, with a time (a null time has no report day)
     out = t.where(~F.col(CONTEXT) & F.col("__ok") & F.col("trans_date").isNotNull())
@@ -134,6 +145,18 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     return out
 
 
+def _candidates_only(tx: DataFrame, report_from, report_to) -> DataFrame:
+    """Successful transactions of the report days without rule 3/4 flags
+    (no window pass: rules 1 and 2 need only the candidates)."""
+    t = tx.where(true_or_false(F.col("oper_result") == SUCCESS) & F.col("trans_date").isNotNull())
+    if report_from is not None:
+        t = t.where(F.col("trans_date") >= _day_start(report_from))
+    if report_to is not None:
+        t = t.where(F.col("trans_date") < _day_start(report_to) + F.expr("INTERVAL 1 DAY"))
+    return t.select("trans_id", "trans_date", "card_num", "amt", F.to_date("trans_date").alias("report_dt"),
+                    F.lit(False).alias("city_hop"), F.lit(False).alias("amount_guess"))
+
+
 def enrich_candidates(flagged: DataFrame, cards: DataFrame, accounts: DataFrame,
                       clients: DataFrame) -> DataFrame:
     """Report candidates: each transaction with the card, account and client

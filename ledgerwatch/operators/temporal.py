@@ -25,15 +25,34 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.columns import LIVE, col
 
 
+DIM_BROADCAST_ROWS = 1_000_000   # dimension versions up to which a valid-at join broadcasts
+
+
+def checked_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+
+    The check is a bounded job (``limit(max_rows + 1).count()``, which stops
+    reading once the limit is passed); above the limit the join stays a
+    shuffle join (and AQE may still broadcast from runtime statistics).
+    """
+    if not max_rows:
+        return df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def valid_at_join(facts: DataFrame, dim: DataFrame, *, fact_key: str | Column, dim_key: str,
                   at: str | Column, select: dict[str, str], live_only: bool = True,
-                  how: str = "left") -> DataFrame:
+                  how: str = "left", broadcast_rows: int | None = None) -> DataFrame:
     """Join each fact row to the dimension version valid at time ``at``.
 
     ``at between effective_from and effective_to`` (closed on both ends, as in
     the original model, so a version closed at midnight leaves the rest of its
     last day uncovered), optionally only non-deleted versions. ``select`` maps
     dimension columns to output names; a left join never drops a fact row.
+    By default Catalyst decides the join strategy from its size estimate (the
+    file size of a stored dimension) and AQE from runtime statistics; with
+    ``broadcast_rows`` the dimension is broadcast after an explicit bounded
+    row count instead (for derived dimensions whose size Catalyst cannot estimate).
     """
     live = f"deleted_flg = '{LIVE}'" if live_only else "true"
     d = dim.where(live).selectExpr(f"`{dim_key}` AS __vk", "effective_from AS __vf", "effective_to AS __vt",
@@ -43,6 +62,7 @@ def valid_at_join(facts: DataFrame, dim: DataFrame, *, fact_key: str | Column, d
     else:
         f = facts.select("*", col(fact_key).alias("__fk"), col(at).alias("__at"))
     f = f.withColumn("__fk", salt_null_key(f, "__fk"))
+    d = checked_broadcast(d, broadcast_rows)
     cond = F.expr("__fk = __vk AND __at BETWEEN __vf AND __vt")
     return f.join(d, cond, how).drop("__fk", "__at", "__vk", "__vf", "__vt")
 

@@ -35,28 +35,42 @@ def _candidates(spark, sf, *, card_mod=None, success=fx.SUCCESS_TYPES, **rule_kw
 
 
 def q_candidates(spark, sf):
-    return _candidates(spark, sf).drop("city_hop", "amount_guess")
+    return _candidates(spark, sf, rules=()).drop("city_hop", "amount_guess")
 
 
 def q_rule1(spark, sf):
-    return fr.passport_rule(_candidates(spark, sf), fx.blacklist_static(spark, sf))
+    return fr.passport_rule(_candidates(spark, sf, rules=()), fx.blacklist_static(spark, sf))
 
 
 def q_rule2(spark, sf):
-    return fr.account_rule(_candidates(spark, sf))
+    return fr.account_rule(_candidates(spark, sf, rules=()))
 
 
 def q_rule3(spark, sf):
-    return fr.city_hop_rule(_candidates(spark, sf, card_mod=CARD_MOD_RULES34))
+    return fr.city_hop_rule(_candidates(spark, sf, card_mod=CARD_MOD_RULES34, rules=(3,)))
 
 
 def q_rule4(spark, sf):
     return fr.amount_guess_rule(_candidates(spark, sf, card_mod=CARD_MOD_RULES34, success=PURCHASE_ONLY,
-                                            guess_window=RULE4_WIDE_WINDOW))
+                                            guess_window=RULE4_WIDE_WINDOW, rules=(4,)))
 
 
 def q_rule4_native(spark, sf):
-    return fr.amount_guess_rule(_candidates(spark, sf, card_mod=1))
+    return fr.amount_guess_rule(_candidates(spark, sf, card_mod=1, rules=(4,)))
+
+
+def q_rule3_flagged(spark, sf):
+    """Ids of successful transactions flagged by rule 3 (the bare flag pass)."""
+    tx = fx.transactions(spark, sf, CARD_MOD_RULES34)
+    flagged = fr.flag_transactions(tx, fx.terminals_static(spark, sf), rules=(3,))
+    return flagged.where("city_hop").select("trans_id")
+
+
+def q_rule4_flagged(spark, sf):
+    """Ids of successful transactions flagged by rule 4, 7200 s, purchase only."""
+    tx = fx.transactions(spark, sf, CARD_MOD_RULES34, PURCHASE_ONLY)
+    flagged = fr.flag_transactions(tx, None, guess_window=RULE4_WIDE_WINDOW, rules=(4,))
+    return flagged.where("amount_guess").select("trans_id")
 
 
 def q_report(spark, sf):
@@ -208,6 +222,8 @@ QUERIES: dict[str, Query] = {
     "rule3_city_hop": q_rule3,
     "rule4_amount_guess": q_rule4,
     "rule4_amount_guess_native": q_rule4_native,
+    "rule3_flagged": q_rule3_flagged,
+    "rule4_flagged": q_rule4_flagged,
     "fraud_report": q_report,
     "fraud_report_rules34": q_report_rules34,
     "scd2_new": q_scd2_new,
@@ -236,6 +252,9 @@ def _sql_fraud():
         "rule4_amount_guess": orc.fraud_query_sql(orc.rule_sql(4, window=RULE4_WIDE_WINDOW),
                                                   card_mod=CARD_MOD_RULES34, success_types=PURCHASE_ONLY),
         "rule4_amount_guess_native": orc.fraud_query_sql(orc.rule_sql(4), card_mod=1),
+        "rule3_flagged": orc.with_ctes(orc.fraud_ctes(card_mod=CARD_MOD_RULES34), orc.rule3_flags_sql()),
+        "rule4_flagged": orc.with_ctes(orc.fraud_ctes(card_mod=CARD_MOD_RULES34, success_types=PURCHASE_ONLY),
+                                       orc.rule4_flags_sql(RULE4_WIDE_WINDOW)),
         "fraud_report": orc.report_sql(),
         "fraud_report_rules34": orc.report_sql(card_mod=CARD_MOD_RULES34),
         "fraud_report_blacklist_repeats": orc.report_sql(blacklist_sql=BLACKLIST_REPEATS_SQL),
