@@ -51,6 +51,7 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
                       city_window: int = CITY_WINDOW, guess_window: int = GUESS_WINDOW,
                       attempts: int = GUESS_ATTEMPTS, bucket: int | None = None,
                       hot_rows: int | None = HOT_ROWS, rules: tuple[int, ...] = (3, 4),
+                      include_current: bool = False,
                       report_from: dt.date | str | None = None,
                       report_to: dt.date | str | None = None) -> DataFrame:
     """Successful transactions of the report days with rule 3/4 flags.
@@ -59,7 +60,9 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     ``terminals`` (SCD2 history) is needed for rule 3; without it city_hop is
     false. Window partitions are (card, time bucket); cards dense enough to
     put more than ``hot_rows`` rows into one bucket get narrower buckets
-    (``None`` turns the per-card statistics pass off). ``report_from``/``report_to`` (inclusive days) bound the scan to the
+    (``None`` turns the per-card statistics pass off). ``include_current``
+    also counts the current operation's own city in rule 3 (the original
+    leaves it out; off by default for parity). ``report_from``/``report_to`` (inclusive days) bound the scan to the
     report days plus the look-back, so a partitioned fact table is pruned.
     """
     do3, do4 = 3 in rules and terminals is not None, 4 in rules
@@ -118,11 +121,22 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     after = {}
     if do3:
         after["__hop_since"] = F.max("__diff").over(before)
+    if do3 and include_current:
+        # latest earlier row with a known city, with its city and diff
+        after["__lastc"] = F.max(F.when(city.isNotNull(), F.struct(
+            sec.alias("s"), F.col("trans_id").alias("id"), city.alias("c"), F.col("__diff").alias("d")))).over(before)
     if do4:
         after["__last"] = F.max("__row").over(before)
     t = t.withColumns(after)
 
     city_hop = true_or_false(F.col("__hop_since") >= sec - F.lit(city_window)) if do3 else F.lit(False)
+    if do3 and include_current:
+        # a prior in the frame with a city other than the current one: the
+        # latest known-city prior r if its city differs, else the latest row
+        # before r with another city (diff(r))
+        lc, lo = F.col("__lastc"), sec - F.lit(city_window)
+        other = ((lc["c"] != city) & (lc["s"] >= lo)) | ((lc["c"] == city) & (lc["d"] >= lo))
+        city_hop = city_hop | (city.isNotNull() & true_or_false(other))
     guess = F.lit(False)
     if do4:
         r, floor_sec = F.col("__last"), sec - F.lit(guess_window)

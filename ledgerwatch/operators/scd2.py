@@ -34,8 +34,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import (DELETED, LIVE, any_differs, at_midnight,
-                                           days_before, open_end, true_or_false)
+from ledgerwatch.functions.columns import DELETED, LIVE, open_end, true_or_false
 
 VERSION = ["effective_from", "effective_to", "deleted_flg"]
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import DEFAULT_WATERMARK
-from ledgerwatch.operators import facts, fraud, incremental as inc, scd2
+from ledgerwatch.operators import facts, fraud, scd2
 from ledgerwatch.plans.storage import META_STATE, Warehouse
 from ledgerwatch.sources import delimited, discovery, snapshot as snap, workbook
 

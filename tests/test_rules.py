@@ -34,7 +34,7 @@ def spark_flags(spark, rows, **kw):
             sorted(r.trans_id for r in out))
 
 
-def duck_flags(rows, city_window=3600, guess_window=1200):
+def duck_flags(rows, city_window=3600, guess_window=1200, include_current=False):
     con = duckdb.connect()
     pdf = pd.DataFrame(rows, columns=["trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal"])
     pdf["amt"] = pdf["amt"].map(lambda v: None if v is None else float(v))
@@ -45,7 +45,7 @@ def duck_flags(rows, city_window=3600, guess_window=1200):
     con.sql(f"create view terminals as select terminal_id, terminal_city, "
             f"timestamp '2000-01-01' as effective_from, timestamp '9999-12-31' as effective_to, "
             f"'N' as deleted_flg from (values {vals}) v(terminal_id, terminal_city)")
-    r3 = {r[0] for r in con.sql(orc.rule3_flags_sql(city_window)).fetchall()}
+    r3 = {r[0] for r in con.sql(orc.rule3_flags_sql(city_window, include_current)).fetchall()}
     r4 = {r[0] for r in con.sql(orc.rule4_flags_sql(guess_window)).fetchall()}
     return r3, r4
 
@@ -153,3 +153,12 @@ def test_report_day_slice_crosses_midnight(spark):
     day = (T0 + dt.timedelta(hours=2)).date()
     out = fr.flag_transactions(tx, terms, guess_window=7200, report_from=day, report_to=day).collect()
     assert [(r.trans_id, r.amount_guess) for r in out] == [("x", True)]
+
+
+@pytest.mark.parametrize("seed,bucket", [(31, None), (32, 3600)])
+def test_rule3_include_current(spark, seed, bucket):
+    # Q9 fixed: the current operation's own city counts too
+    rows = random_rows(seed)
+    r3, _, _ = spark_flags(spark, rows, bucket=bucket, include_current=True)
+    assert r3 == duck_flags(rows, include_current=True)[0]
+    assert r3 >= spark_flags(spark, rows, bucket=bucket)[0]
