@@ -10,8 +10,10 @@ watermark is before that date:
   cards, accounts, clients   snapshot -> default update_dt -> SCD2 (parity presets)
   fraud report   the batch day, over the state after the loads above
 
-Outputs are written first, the metadata state last (commit point), and the
-processed files are archived after the commit. Errors propagate: a failed
+Each input is parsed or read once into a staging partition (the original's
+``*_tmp`` tables), so a live source is read exactly once per batch; outputs
+are written next, the metadata state last (commit point), and the processed
+files are archived after the commit. Errors propagate: a failed
 batch leaves the committed state untouched and can be re-run.
 
 The loop runs over batch *dates* (a handful of metadata rows on the driver);
@@ -60,6 +62,8 @@ def _wm(state, table) -> dt.datetime:
 
 
 def _advance(state, table, delta: DataFrame | None, batch: dt.date, to_batch: bool = False):
+    """New watermark: the delta's max update date, never backwards, unchanged
+    for an empty delta (one small aggregate over the staged batch)."""
     old = _wm(state, table)
     if to_batch:
         new = dt.datetime.combine(batch, dt.time())
@@ -92,7 +96,7 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
     # transactions (fact, append absent)
     p = file_path("transactions", "txt")
     if due["transactions"] and p:
-        tx = delimited.read_transactions(spark, p, glob="*")
+        tx = wh.stage("transactions", delimited.read_transactions(spark, p, glob="*"), batch)
         delta = tx.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(_wm(state, "transactions")))
         target = wh.facts("transactions", as_of)
         new = facts.append_absent(target, delta.drop("update_dt"), "trans_id")
@@ -103,7 +107,7 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
     # passport blacklist (fact, append absent)
     p = file_path("passport_blacklist", "xlsx")
     if due["passport_blacklist"] and p:
-        bl = workbook.read_blacklist(spark, p, glob="*")
+        bl = wh.stage("passport_blacklist", workbook.read_blacklist(spark, p, glob="*"), batch)
         delta = bl.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(_wm(state, "passport_blacklist")))
         target = wh.facts("passport_blacklist", as_of)
         new = facts.append_absent(target, delta.select("passport_num", "entry_dt"), "passport_num")
@@ -114,7 +118,7 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
     # terminals (SCD2 from the file)
     p = file_path("terminals", "xlsx")
     if due["terminals"] and p:
-        src = workbook.read_terminals(spark, p, glob="*")
+        src = wh.stage("terminals", workbook.read_terminals(spark, p, glob="*"), batch)
         _load_dim(wh, state, "terminals", src, batch, as_of, delete_scope, allow_empty_snapshot)
         ran.append("terminals"); files.append(p)
 
@@ -122,7 +126,8 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
     for name in SNAPSHOT_TARGETS:
         reader = snapshots.get(name)
         if due[name] and reader is not None:
-            src = scd2.prepare_source(name, snap.read_snapshot(reader(spark, batch), name), batch)
+            src = wh.stage(name, scd2.prepare_source(name, snap.read_snapshot(reader(spark, batch), name), batch),
+                           batch)
             _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty_snapshot)
             ran.append(name)
 

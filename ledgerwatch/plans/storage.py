@@ -5,6 +5,7 @@
     <root>/dims/<name>/part=heads/load_dt=<B>/   head version of every key after batch B
     <root>/report/report_dt=<D>/              fraud report of day D
     <root>/meta/load_dt=<B>/                  whole load-metadata state after batch B
+    <root>/staging/<name>/load_dt=<B>/        the batch's parsed input, read once from the source
 
 Write protocol (crash-safe without transactions): every output of batch B is
 written first with dynamic partition overwrite into partitions owned by B;
@@ -82,6 +83,15 @@ class Warehouse:
         return out if keep_stamp else out.drop("processed_dt")
 
     # ---- writes (dynamic partition overwrite: a re-run replaces its own partitions) ----
+    def stage(self, name: str, rows: DataFrame, batch: dt.date) -> DataFrame:
+        """Write a batch's parsed input once (CSV parse, workbook decode, JDBC
+        read) and return it read back from Parquet: later steps scan the staged
+        copy, the lineage is cut, and a live source is read exactly once, so
+        all steps see the same snapshot."""
+        path = self.path("staging", name, f"load_dt={batch.isoformat()}")
+        rows.write.mode("overwrite").parquet(path)
+        return self.spark.read.schema(rows.schema).parquet(path)
+
     def write_facts(self, name: str, rows: DataFrame, batch: dt.date, sort_by: str | None = None):
         out = rows.withColumns({"processed_dt": F.current_timestamp(), "load_dt": F.lit(batch)})
         if sort_by:
