@@ -29,7 +29,7 @@ _READS: dict[tuple, DataFrame] = {}
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The driver's read-only table; one reader per session and path (saves
     the file listing and footer read when a plan uses a table many times)."""
-    key = (id(spark), sf_dir, name)
+    key = (id(spark), spark.sparkContext.applicationId, sf_dir, name)
     df = _READS.get(key)
     if df is None:
         df = _READS[key] = spark.read.parquet(f"{sf_dir}/{name}.parquet")
