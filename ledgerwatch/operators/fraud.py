@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import (SUCCESS, epoch_seconds, full_name,
                                            least_ignore_nulls, true_or_false)
-from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, DIM_BROADCAST_ROWS, hot_key_widths,
-                                            lookback_buckets, min_width, salt_null_key, valid_at_join)
+from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, DIM_BROADCAST_ROWS, hot_bucket_splits,
+                                            lookback_buckets, max_splits, salt_null_key, valid_at_join)
 
 CITY_WINDOW = 3600      # rule 3 look-back, seconds
 GUESS_WINDOW = 1200     # rule 4 look-back, seconds
@@ -58,9 +58,9 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
 
     Output: trans_id, trans_date, card_num, amt, report_dt, city_hop, amount_guess.
     ``terminals`` (SCD2 history) is needed for rule 3; without it city_hop is
-    false. Window partitions are (card, time bucket); cards dense enough to
-    put more than ``hot_rows`` rows into one bucket get narrower buckets
-    (``None`` turns the per-card statistics pass off). ``include_current``
+    false. Window partitions are (card, time bucket); a bucket holding more
+    than ``hot_rows`` rows of one card is cut into sub-buckets (``None`` turns
+    the per-bucket statistics pass off). ``include_current``
     also counts the current operation's own city in rule 3 (the original
     leaves it out; off by default for parity). ``report_from``/``report_to`` (inclusive days) bound the scan to the
     report days plus the look-back, so a partitioned fact table is pruned.
@@ -79,11 +79,12 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     ok = true_or_false(F.col("oper_result") == SUCCESS)
     t = t.select("*", epoch_seconds("trans_date").alias("__sec"), ok.alias("__ok"))
     valid = F.col("card_num").isNotNull() & F.col("__sec").isNotNull()
-    widths = None
+    splits = None
     if hot_rows:
-        # per-card density from the card/time columns only, before the terminal join
-        widths = hot_key_widths(t.select("card_num", "__sec"), key="card_num", seconds="__sec",
-                                bucket=bucket, hot_rows=hot_rows, min_width=min_width(lookback), valid=valid)
+        # rows per (card, time bucket) from the card/time columns only, before the terminal join
+        splits = hot_bucket_splits(t.select("card_num", "__sec"), key="card_num", seconds="__sec",
+                                   bucket=bucket, hot_rows=hot_rows, max_splits=max_splits(lookback, bucket),
+                                   valid=valid)
     if do3:
         # every transaction looks up its terminal: broadcast the terminal history
         # after a bounded size check rather than shuffling all transactions
@@ -95,7 +96,7 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
         city = F.lit(None).cast("string")
     t = t.select(*[c for c in t.columns if c != "__city_raw"], city.alias("__city"), valid.alias("__valid"))
     t = lookback_buckets(t, key="card_num", seconds="__sec", lookback=lookback, bucket=bucket,
-                         valid=F.col("__valid"), widths=widths)
+                         valid=F.col("__valid"), splits=splits)
 
     part = Window.partitionBy("card_num", BUCKET)
     w = part.orderBy("__sec", "trans_id")

@@ -81,43 +81,47 @@ def salt_null_key(df: DataFrame, key: str) -> Column:
 
 BUCKET = "__bucket"
 CONTEXT = "__ctx"
-WIDTH = "__width"
 
 
-def hot_key_widths(df: DataFrame, *, key: str, seconds: str, bucket: int, hot_rows: int,
-                   min_width: int, valid: Column) -> DataFrame:
-    """Bucket width for keys whose default bucket would exceed ``hot_rows``.
+SUB = 1024   # bucket id = time bucket * SUB + sub-bucket
 
-    Exact per-key statistics (a partial aggregation, so a hot key is
-    pre-aggregated map-side). Only keys with more than ``hot_rows`` rows in
-    total can qualify, so the result has at most ``rows / hot_rows`` entries:
-    a proven bound for broadcasting it.
+
+def hot_bucket_splits(df: DataFrame, *, key: str, seconds: str, bucket: int, hot_rows: int,
+                      max_splits: int, valid: Column) -> DataFrame:
+    """Sub-bucket count for every (key, time bucket) holding more than
+    ``hot_rows`` rows: ``ceil(rows / hot_rows)``, at most ``max_splits``.
+
+    Exact counts (a partial aggregation, so a hot key is pre-aggregated
+    map-side). Every entry stands for more than ``hot_rows`` rows, so the
+    result has at most ``rows / hot_rows`` entries: a proven bound for
+    broadcasting it. Counting per bucket, not per key, also catches bursts.
     """
-    sec = F.col(seconds)
-    stats = df.where(valid).groupBy(key).agg(F.count(F.lit(1)).alias("__n"), F.min(sec).alias("__lo"),
-                                             F.max(sec).alias("__hi"))
-    per_sec = F.col("__n") / (F.col("__hi") - F.col("__lo") + F.lit(1))
-    width = F.greatest(F.lit(min_width), F.floor(F.lit(hot_rows) / per_sec)).cast("long")
-    return (stats.where((F.col("__n") > F.lit(hot_rows)) & (per_sec * F.lit(bucket) > F.lit(hot_rows)))
-                 .select(key, F.least(width, F.lit(bucket)).alias(WIDTH)))
+    b = F.floor(F.col(seconds) / F.lit(bucket))
+    stats = df.where(valid).groupBy(F.col(key), b.alias(BUCKET)).agg(F.count(F.lit(1)).alias("__n"))
+    splits = F.least(F.ceil(F.col("__n") / F.lit(hot_rows)), F.lit(max_splits)).cast("long")
+    return stats.where(F.col("__n") > F.lit(hot_rows)).select(key, BUCKET, splits.alias("__splits"))
 
 
-def min_width(lookback: int, max_copies: int = 32) -> int:
-    return max(1, -(-lookback // max_copies))
+def max_splits(lookback: int, bucket: int, max_copies: int = 32) -> int:
+    """Sub-buckets per bucket such that a sub-bucket stays at least
+    ``lookback / max_copies`` wide (bounding the context copies per row)."""
+    return max(1, min(SUB, bucket * max_copies // max(lookback, 1)))
 
 
 def lookback_buckets(df: DataFrame, *, key: str, seconds: str, lookback: int, bucket: int,
                      valid: Column | None = None, spread: int = 4096, hot_rows: int | None = None,
-                     widths: DataFrame | None = None, max_copies: int = 32) -> DataFrame:
+                     splits: DataFrame | None = None, max_copies: int = 32) -> DataFrame:
     """Assign ``(key, __bucket)`` window partitions with look-back context copies.
 
-    A row lives in bucket ``floor(t / width)`` and is copied (``__ctx``) into
-    each later bucket whose start lies less than ``lookback`` after it, so
-    every frame is complete inside its bucket. ``width`` is ``bucket``, or,
-    with ``hot_rows``, narrower for keys dense enough to exceed ``hot_rows``
-    rows per bucket (down to ``lookback / max_copies``). ``widths`` may hold
-    those per-key widths precomputed (``hot_key_widths``) from a cheaper input.
-
+    A row lives in time bucket ``b = floor(t / bucket)``; a bucket holding more
+    than ``hot_rows`` rows of one key is cut into ``s`` equal sub-buckets
+    (``splits`` may hold these counts precomputed by ``hot_bucket_splits``).
+    Each row is also copied (``__ctx``) into every later sub-bucket, of its own
+    bucket or of the next, that starts at most ``lookback`` seconds after it,
+    so every frame of ``lookback`` seconds is complete inside its sub-bucket.
+    Sub-bucket boundaries are integer: row t is in sub-bucket
+    ``floor((t - b*bucket) * s / bucket)``, which starts at
+    ``b*bucket + ceil(j * bucket / s)``.
     Rows with ``valid`` false (null key or time) cannot see other rows: they are
     spread over ``spread`` negative buckets by hash so they never pile up in one
     partition, and callers must mask their results.
@@ -128,20 +132,36 @@ def lookback_buckets(df: DataFrame, *, key: str, seconds: str, lookback: int, bu
     if valid is None:
         valid = F.col(key).isNotNull() & sec.isNotNull()
     salt = F.lit(-1) - F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    if hot_rows and widths is None:
-        widths = hot_key_widths(df, key=key, seconds=seconds, bucket=bucket, hot_rows=hot_rows,
-                                min_width=min_width(lookback, max_copies), valid=valid)
-    if widths is not None:
-        # at most rows / hot_rows entries (see hot_key_widths): a bounded broadcast
-        df = df.join(F.broadcast(widths), key, "left")
-        width = F.coalesce(F.col(WIDTH), F.lit(bucket).cast("long"))
+    if hot_rows and splits is None:
+        splits = hot_bucket_splits(df, key=key, seconds=seconds, bucket=bucket, hot_rows=hot_rows,
+                                   max_splits=max_splits(lookback, bucket, max_copies), valid=valid)
+    W, L, M = F.lit(bucket), F.lit(lookback), F.lit(SUB)
+    b = F.floor(sec / W)
+    if splits is not None:
+        # bounded broadcast (see hot_bucket_splits): split count of own and next bucket
+        own_s = splits.select(F.col(key).alias("__sk"), F.col(BUCKET).alias("__sb"), F.col("__splits").alias("__s0"))
+        nxt_s = splits.select(F.col(key).alias("__nk"), (F.col(BUCKET) - 1).alias("__nb"),
+                              F.col("__splits").alias("__s1"))
+        df = (df.join(F.broadcast(own_s), (F.col(key) == F.col("__sk")) & (b == F.col("__sb")), "left")
+                .join(F.broadcast(nxt_s), (F.col(key) == F.col("__nk")) & (b == F.col("__nb")), "left")
+                .drop("__sk", "__sb", "__nk", "__nb"))
+        s0, s1 = F.coalesce(F.col("__s0"), F.lit(1)), F.coalesce(F.col("__s1"), F.lit(1))
     else:
-        width = F.lit(bucket).cast("long")
-    own = F.floor(sec / width)
-    copies = F.ceil(F.lit(lookback) / width).cast("int")
-    entries = F.transform(F.sequence(F.lit(0), copies),
-                          lambda j: F.struct((own + j).alias(BUCKET), (j > 0).alias(CONTEXT)))
-    keep = F.filter(entries, lambda e: ~e[CONTEXT] | (sec >= e[BUCKET] * width - F.lit(lookback)))
+        s0 = s1 = F.lit(1)
+    off = sec - b * W
+    j = F.floor(off * s0 / W)
+    last_own = F.least(s0 - 1, F.floor((off + L) * s0 / W))
+    last_next = F.least(s1 - 1, F.floor((off + L - W) * s1 / W))
+
+    def entry(bb, jj, ctx):
+        return F.struct((bb * M + jj).alias(BUCKET), F.lit(ctx).alias(CONTEXT))
+
+    empty = F.array().cast(f"array<struct<{BUCKET}:bigint,{CONTEXT}:boolean>>")
+    later = F.when(last_own >= j + 1, F.transform(F.sequence(j + 1, last_own), lambda x: entry(b, x, True))
+                   ).otherwise(empty)
+    after = F.when(last_next >= 0, F.transform(F.sequence(F.lit(0).cast("long"), last_next),
+                                               lambda x: entry(b + 1, x, True))).otherwise(empty)
+    keep = F.concat(F.array(entry(b, j, False)), later, after)
     spread_row = F.array(F.struct(salt.alias(BUCKET), F.lit(False).alias(CONTEXT)))
     out = df.select("*", F.inline(F.when(valid, keep).otherwise(spread_row)))
-    return out.drop(WIDTH) if widths is not None else out
+    return out.drop("__s0", "__s1") if splits is not None else out
