@@ -58,12 +58,14 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
 
     Output: trans_id, trans_date, card_num, amt, report_dt, city_hop, amount_guess.
     ``terminals`` (SCD2 history) is needed for rule 3; without it city_hop is
-    false. Window partitions are (card, time bucket); a bucket holding more
+    false. ``rules`` selects the flags to compute (``()`` skips the window
+    pass). Window partitions are (card, time bucket); a bucket holding more
     than ``hot_rows`` rows of one card is cut into sub-buckets (``None`` turns
-    the per-bucket statistics pass off). ``include_current``
-    also counts the current operation's own city in rule 3 (the original
-    leaves it out; off by default for parity). ``report_from``/``report_to`` (inclusive days) bound the scan to the
-    report days plus the look-back, so a partitioned fact table is pruned.
+    the per-bucket statistics pass off). ``include_current`` also counts the
+    current operation's own city in rule 3 (the original leaves it out; off by
+    default for parity). ``report_from``/``report_to`` (inclusive days) bound
+    the scan to the report days plus the look-back, so a fact table stored by
+    time is pruned.
     """
     do3, do4 = 3 in rules and terminals is not None, 4 in rules
     if not (do3 or do4):

@@ -3,17 +3,22 @@
 The original applies six statements per batch (insert new keys, close
 changed versions, open their successors, insert tombstones for missing keys,
 close the deleted versions). Here the same result comes from one full outer
-join of the *head* versions (``effective_to = 9999-12-31``; exactly one per
-key, live or tombstone) with the snapshot, followed by a per-row expansion:
+join of the history with the snapshot, in which only the *head* versions
+(``effective_to = 9999-12-31``; exactly one per key, live or tombstone) can
+match, followed by a per-row expansion:
 
     keep -> the head as is
     chg  -> head closed at update_dt - 1 day  +  new version from update_dt
     del  -> head closed at batch_dt - 1 day   +  tombstone from batch_dt ('Y')
     new  -> first version from the start column (create_dt or batch date)
 
-Closed versions never change again and are passed through untouched (no
-shuffle). Snapshot keys are unique (checked in-plan), and heads are unique per
-key, so the join has no hot key; null keys, which never match, bypass the join.
+The join key is (key, salt): salt 0 for head versions and snapshot rows with
+a key, a row hash for closed versions and null keys, which never match and so
+spread evenly instead of piling up on one key. Snapshot keys are unique
+(checked in-plan, on the join's partitioning) and heads are unique per key, so
+the matching part has no hot key either. The warehouse passes only the head
+versions in (closed versions are stored append-only), so a batch shuffles
+one row per key plus the snapshot.
 
 Behaviour kept from the original on purpose (see README, decisions):
 * a key deleted earlier that comes back is ignored (``revive_deleted=False``),
