@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerwatch.functions.columns import open_end, true_or_false
+from ledgerwatch.schemas import REPORT
 
 META_STATE = T.StructType([T.StructField("table_name", T.StringType()),
                            T.StructField("max_update_dt", T.TimestampNTZType()),
@@ -112,7 +113,14 @@ class Warehouse:
              .parquet(self.path("meta", f"load_dt={batch.isoformat()}")))
 
     def report(self) -> DataFrame:
-        return self.spark.read.parquet(self.path("report")).drop("processed_dt")
+        """The stored report (empty, with its schema, before any row is written)."""
+        cols = [f for f in REPORT.fields if f.name != "report_dt"]
+        schema = T.StructType([*cols, T.StructField("processed_dt", T.TimestampType()),
+                               T.StructField("report_dt", T.DateType())])
+        p = self._Path(self.path("report"))
+        if not self._fs.exists(p):
+            return self.spark.createDataFrame([], schema).drop("processed_dt")
+        return self.spark.read.schema(schema).parquet(self.path("report")).drop("processed_dt")
 
     # ---- file archiving ----
     def archive(self, src: str, archive_dir: str, suffix: str = ".backup"):

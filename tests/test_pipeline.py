@@ -145,3 +145,31 @@ def test_streaming_ingest_available_now(spark, tmp_dir):
     assert {r.load_dt for r in facts.collect()} == set(DAYS)
     archived = [n for _, _, fs in os.walk(archive) for n in fs]
     assert "transactions_01012024.txt" in archived     # archiving lags one micro-batch
+
+
+def test_family_missing_on_a_date(spark, tmp_dir):
+    # day 2 has a transactions file only: terminals and blacklist keep their
+    # day-1 state, and the day-2 report still runs over it
+    landing, root = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "dwh")
+    os.makedirs(landing)
+    write_landing(spark, landing)
+    for d in DAYS[1:]:
+        os.remove(os.path.join(landing, f"terminals_{d:%d%m%Y}.xlsx"))
+        os.remove(os.path.join(landing, f"passport_blacklist_{d:%d%m%Y}.xlsx"))
+    os.remove(os.path.join(landing, f"transactions_{DAYS[2]:%d%m%Y}.txt"))
+    out = pipeline.run_pending(spark, landing, root, snapshots=readers(), archive=False)
+    assert [o["batch"] for o in out] == DAYS[:2]
+    assert len(out[0]["ran"]) == 7
+    assert set(out[1]["ran"]) == {"transactions", "cards", "accounts", "clients", "fraud_report"}
+    wh = Warehouse(spark, root)
+    state = {r.table_name: r for r in wh.meta().collect()}
+    assert state["terminals"].last_load_dt == DAYS[0]
+    assert state["fraud_report"].max_update_dt == dt.datetime(2024, 1, 2)   # Q23: moves to the day
+    # the day-2 report equals a recomputation over the stored state, with the
+    # terminal history still the one loaded on day 1
+    d = DAYS[1]
+    dims = {n: wh.dim(n, state[n].last_load_dt, d) for n in ("terminals", *SOURCES)}
+    exp = fraud.build_report(wh.facts("transactions", d), dims["terminals"], dims["cards"], dims["accounts"],
+                             dims["clients"], wh.facts("passport_blacklist", d), report_from=d, report_to=d)
+    got = wh.report().where(F.col("report_dt") == F.lit(d)).select(*fraud.REPORT_COLS)
+    assert rows(got) == rows(exp)
