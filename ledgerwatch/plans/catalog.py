@@ -181,13 +181,26 @@ def q_scd2_three_batches(spark, sf):
     return h
 
 
-def preset_history(spark, sf, name: str, source) -> DataFrame:
+def preset_history(spark, sf, name: str, source, **overrides) -> DataFrame:
     """Two batches of a dimension source through its SCD2 preset."""
     s1 = scd2.prepare_source(name, source(spark, sf, 1), fx.BATCH_DAYS[0])
-    h1 = scd2.apply_preset(name, None, s1, batch_dt=fx.BATCH_DAYS[0])
+    h1 = scd2.apply_preset(name, None, s1, batch_dt=fx.BATCH_DAYS[0], **overrides)
     s2 = scd2.prepare_source(name, source(spark, sf, 2), fx.BATCH_DAYS[1])
     since = scd2.delta_watermark(s1)
-    return scd2.apply_preset(name, h1, s2, batch_dt=fx.BATCH_DAYS[1], since=since)
+    return scd2.apply_preset(name, h1, s2, batch_dt=fx.BATCH_DAYS[1], since=since, **overrides)
+
+
+def q_scd2_cards_snapshot_scope(spark, sf):
+    """Cards preset with present keys from the whole snapshot (Q3 fixed): rows
+    with an old update_dt are no longer tombstoned."""
+    return preset_history(spark, sf, "cards", fx.card_source, delete_scope="snapshot")
+
+
+def q_rule3_flagged_with_current(spark, sf):
+    """Rule 3 counting the current operation's own city too (Q9 fixed)."""
+    tx = fx.transactions(spark, sf, CARD_MOD_RULES34)
+    flagged = fr.flag_transactions(tx, fx.terminals_static(spark, sf), rules=(3,), include_current=True)
+    return flagged.where("city_hop").select("trans_id")
 
 
 def _preset_two_batches(name: str, source) -> Query:
@@ -235,6 +248,8 @@ QUERIES: dict[str, Query] = {
     "scd2_accounts": _preset_two_batches("accounts", fx.account_source),
     "scd2_clients": _preset_two_batches("clients", fx.client_source),
     "fraud_report_history": q_report_history,
+    "scd2_cards_snapshot_scope": q_scd2_cards_snapshot_scope,
+    "rule3_flagged_with_current": q_rule3_flagged_with_current,
     "fraud_report_blacklist_repeats": q_report_blacklist_repeats,
 }
 
@@ -308,6 +323,10 @@ def _sql_scd2():
     rep["cand"] = orc.CANDIDATES_SQL
     body = "\nunion all\n".join(orc.rule_sql(n) for n in (1, 2, 3, 4))
     out["fraud_report_history"] = orc.with_ctes({**hist_ctes, **rep}, body)
+    out["scd2_cards_snapshot_scope"] = orc.with_ctes(
+        _sql_preset_ctes("cards", fx.card_source_sql, d, delete_scope="snapshot"), "select * from cards_h2")
+    out["rule3_flagged_with_current"] = orc.with_ctes(orc.fraud_ctes(card_mod=CARD_MOD_RULES34),
+                                                      orc.rule3_flags_sql(include_current=True))
     d_ = d
     ctes = orc.fraud_ctes()
     ctes["src1"] = fx.terminal_source_sql(1)
@@ -327,9 +346,9 @@ def _sql_scd2():
     return out
 
 
-def _sql_preset_ctes(name, src_sql, d) -> dict[str, str]:
+def _sql_preset_ctes(name, src_sql, d, **overrides) -> dict[str, str]:
     """CTEs ``<name>_raw1.. <name>_h2``: two batches of a preset in SQL."""
-    p = scd2.PRESETS[name]
+    p = {**scd2.PRESETS[name], **overrides}
     key, attrs = p["key"], p["attrs"]
     ctes = {}
     for day in (1, 2):
