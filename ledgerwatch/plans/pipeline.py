@@ -24,6 +24,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,8 +34,6 @@ from ledgerwatch.operators import facts, fraud, scd2
 from ledgerwatch.plans.storage import META_STATE, Warehouse
 from ledgerwatch.sources import delimited, discovery, snapshot as snap, workbook
 
-FILE_TARGETS = {"transactions": "transactions", "terminals": "terminals",
-                "passport_blacklist": "passport_blacklist"}
 SNAPSHOT_TARGETS = ("cards", "accounts", "clients")
 REPORT = "fraud_report"
 TARGETS = ["transactions", "terminals", "passport_blacklist", *SNAPSHOT_TARGETS, REPORT]
@@ -75,8 +74,14 @@ def _advance(state, table, delta: DataFrame | None, batch: dt.date, to_batch: bo
 
 def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date, *,
               snapshots: dict[str, SnapshotReader] | None = None, delete_scope: str = "delta",
-              allow_empty_snapshot: bool = False, archive: bool = True) -> dict:
-    """Load one batch date; returns what ran."""
+              allow_empty_snapshot: bool = False, archive: bool = True, parallel: bool = True) -> dict:
+    """Load one batch date; returns what ran.
+
+    The six loads are independent (each reads and writes only its own
+    target), so with ``parallel`` they are submitted as concurrent Spark jobs
+    from driver threads; the report runs after all of them, the commit last.
+    Any failure propagates before the commit.
+    """
     snapshots = snapshots or {}
     committed = wh.committed()
     if committed is not None and committed >= batch:
@@ -85,7 +90,6 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
     for t in TARGETS:
         state.setdefault(t, (None, None))
     stamp = batch.strftime("%d%m%Y")
-    ran, files = [], []
     due = {t: _wm(state, t) < dt.datetime.combine(batch, dt.time()) for t in TARGETS}
     as_of = committed or dt.date.min
 
@@ -93,43 +97,50 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
         p = f"{landing.rstrip('/')}/{prefix}_{stamp}.{ext}"
         return p if wh._fs.exists(wh._Path(p)) else None
 
-    # transactions (fact, append absent)
-    p = file_path("transactions", "txt")
-    if due["transactions"] and p:
+    def load_transactions(p):
         tx = wh.stage("transactions", delimited.read_transactions(spark, p, glob="*"), batch)
         delta = tx.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(_wm(state, "transactions")))
-        target = wh.facts("transactions", as_of)
-        new = facts.append_absent(target, delta.drop("update_dt"), "trans_id")
+        new = facts.append_absent(wh.facts("transactions", as_of), delta.drop("update_dt"), "trans_id")
         wh.write_facts("transactions", new, batch, sort_by="trans_date")
-        _advance(state, "transactions", delta, batch)
-        ran.append("transactions"); files.append(p)
+        return delta
 
-    # passport blacklist (fact, append absent)
-    p = file_path("passport_blacklist", "xlsx")
-    if due["passport_blacklist"] and p:
+    def load_blacklist(p):
         bl = wh.stage("passport_blacklist", workbook.read_blacklist(spark, p, glob="*"), batch)
         delta = bl.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(_wm(state, "passport_blacklist")))
-        target = wh.facts("passport_blacklist", as_of)
-        new = facts.append_absent(target, delta.select("passport_num", "entry_dt"), "passport_num")
+        new = facts.append_absent(wh.facts("passport_blacklist", as_of), delta.select("passport_num", "entry_dt"),
+                                  "passport_num")
         wh.write_facts("passport_blacklist", new, batch)
-        _advance(state, "passport_blacklist", delta, batch)
-        ran.append("passport_blacklist"); files.append(p)
+        return delta
 
-    # terminals (SCD2 from the file)
-    p = file_path("terminals", "xlsx")
-    if due["terminals"] and p:
+    def load_terminals(p):
         src = wh.stage("terminals", workbook.read_terminals(spark, p, glob="*"), batch)
-        _load_dim(wh, state, "terminals", src, batch, as_of, delete_scope, allow_empty_snapshot)
-        ran.append("terminals"); files.append(p)
-
-    # cards / accounts / clients (SCD2 from source snapshots)
+        return _load_dim(wh, state, "terminals", src, batch, as_of, delete_scope, allow_empty_snapshot)
+
+    def load_snapshot(name):
+        reader = snapshots[name]
+        src = wh.stage(name, scd2.prepare_source(name, snap.read_snapshot(reader(spark, batch), name), batch), batch)
+        return _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty_snapshot)
+
+    tasks = {}   # target -> (function, argument, file to archive)
+    for target, prefix, ext, fn in (("transactions", "transactions", "txt", load_transactions),
+                                    ("passport_blacklist", "passport_blacklist", "xlsx", load_blacklist),
+                                    ("terminals", "terminals", "xlsx", load_terminals)):
+        p = file_path(prefix, ext)
+        if due[target] and p:
+            tasks[target] = (fn, p, p)
     for name in SNAPSHOT_TARGETS:
-        reader = snapshots.get(name)
-        if due[name] and reader is not None:
-            src = wh.stage(name, scd2.prepare_source(name, snap.read_snapshot(reader(spark, batch), name), batch),
-                           batch)
-            _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty_snapshot)
-            ran.append(name)
+        if due[name] and snapshots.get(name) is not None:
+            tasks[name] = (load_snapshot, name, None)
+
+    if parallel and len(tasks) > 1:
+        with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
+            futures = {t: pool.submit(fn, arg) for t, (fn, arg, _) in tasks.items()}
+            deltas = {t: f.result() for t, f in futures.items()}
+    else:
+        deltas = {t: fn(arg) for t, (fn, arg, _) in tasks.items()}
+    ran = [t for t in TARGETS if t in tasks]
+    for t in ran:
+        _advance(state, t, deltas[t], batch)
 
     # fraud report of the batch day, over the state including this batch
     if due[REPORT] and wh.facts("transactions", batch) is not None:
@@ -141,12 +152,14 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
     meta = spark.createDataFrame([(t, v[0], v[1]) for t, v in state.items()], META_STATE)
     wh.commit(meta, batch)
     if archive:
-        for f in files:
-            wh.archive(f, f"{landing.rstrip('/')}/archive")
+        for _, _, f in tasks.values():
+            if f:
+                wh.archive(f, f"{landing.rstrip('/')}/archive")
     return {"batch": batch, "ran": ran}
 
 
-def _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty):
+def _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty) -> DataFrame:
+    """SCD2 load of one dimension; returns its delta (for the watermark)."""
     since = _wm(state, name)
     heads = wh.dim(name, state[name][1], as_of, heads_only=True, keep_stamp=True)
     present = scd2.present_keys(src, scd2.PRESETS[name]["key"], since=F.lit(since), delete_scope=delete_scope)
@@ -155,8 +168,7 @@ def _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty):
     hist = scd2.apply_preset(name, heads, src, batch_dt=batch, since=F.lit(since), delete_scope=delete_scope,
                              stamp_col="processed_dt")
     wh.write_dim(name, hist, batch)
-    delta = src.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(since))
-    _advance(state, name, delta, batch)
+    return src.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(since))
 
 
 def build_day_report(wh: Warehouse, state: dict, day: dt.date) -> DataFrame:
