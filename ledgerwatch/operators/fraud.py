@@ -30,8 +30,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.functions.columns import (SUCCESS, epoch_seconds, full_name,
-                                           least_ignore_nulls, true_or_false)
+from ledgerwatch.functions.columns import SUCCESS, epoch_seconds, full_name, true_or_false
 from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, DIM_BROADCAST_ROWS, hot_bucket_splits,
                                             lookback_buckets, max_splits, salt_null_key, valid_at_join)
 
@@ -100,56 +99,63 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     t = lookback_buckets(t, key="card_num", seconds="__sec", lookback=lookback, bucket=bucket,
                          valid=F.col("__valid"), splits=splits)
 
-    part = Window.partitionBy("card_num", BUCKET)
-    w = part.orderBy("__sec", "trans_id")
-    prior = w.rowsBetween(Window.unboundedPreceding, -1)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    before = part.orderBy("__sec").rangeBetween(Window.unboundedPreceding, -1)
-    sec, city = F.col("__sec"), F.col("__city")
-
+    # One window spec, in SQL form: the expressions below are parsed once each
+    # on the JVM. All share partitioning and order, so they run on one
+    # exchange and one sort.
+    part = f"PARTITION BY card_num, {BUCKET}"
+    rows_order = f"{part} ORDER BY __sec, trans_id"
+    prior = f"OVER ({rows_order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    upto = f"OVER ({rows_order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
+    lagw = f"OVER ({rows_order})"
+    before = f"OVER ({part} ORDER BY __sec RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+
+    step1 = []
     if do4:   # rule 4: each row with its row predecessors 1..attempts
-        fields = [sec.alias("s0"), F.col("trans_id").alias("id"), F.col("amt").alias("a0"),
-                  F.col("oper_result").alias("o0")]
+        fields = ["'s0', __sec", "'id', trans_id", "'a0', amt", "'o0', oper_result"]
         for k in range(1, attempts + 1):
-            fields += [F.lag(sec, k).over(w).alias(f"s{k}"), F.lag("amt", k).over(w).alias(f"a{k}"),
-                       F.lag("oper_result", k).over(w).alias(f"o{k}")]
-        t = t.withColumn("__row", F.struct(*fields))
+            fields += [f"'s{k}', lag(__sec, {k}) {lagw}", f"'a{k}', lag(amt, {k}) {lagw}",
+                       f"'o{k}', lag(oper_result, {k}) {lagw}"]
+        step1.append(f"named_struct({', '.join(fields)}) AS __row")
     if do3:   # rule 3: latest earlier row with a different city, carried forward
-        t = t.withColumns({
-            "__pcity": F.last(city, ignorenulls=True).over(prior),
-            "__psec": F.last(F.when(city.isNotNull(), sec), ignorenulls=True).over(prior)})
-        change = F.when(city.isNotNull() & F.col("__pcity").isNotNull() & (city != F.col("__pcity")),
-                        F.col("__psec"))
-        t = t.withColumn("__diff", F.last(change, ignorenulls=True).over(upto))
-    after = {}
+        step1 += [f"last(__city, true) {prior} AS __pcity",
+                  f"last(CASE WHEN __city IS NOT NULL THEN __sec END, true) {prior} AS __psec"]
+    t = t.selectExpr("*", *step1)
+    after = []
     if do3:
-        after["__hop_since"] = F.max("__diff").over(before)
-    if do3 and include_current:
-        # latest earlier row with a known city, with its city and diff
-        after["__lastc"] = F.max(F.when(city.isNotNull(), F.struct(
-            sec.alias("s"), F.col("trans_id").alias("id"), city.alias("c"), F.col("__diff").alias("d")))).over(before)
+        t = t.selectExpr("*", "last(CASE WHEN __city IS NOT NULL AND __pcity IS NOT NULL AND __city <> __pcity "
+                              f"THEN __psec END, true) {upto} AS __diff")
+        after.append(f"max(__diff) {before} AS __hop_since")
+        if include_current:
+            # latest earlier row with a known city, with its city and diff
+            after.append("max(CASE WHEN __city IS NOT NULL THEN named_struct('s', __sec, 'id', trans_id, "
+                         f"'c', __city, 'd', __diff) END) {before} AS __lastc")
     if do4:
-        after["__last"] = F.max("__row").over(before)
-    t = t.withColumns(after)
-
-    city_hop = true_or_false(F.col("__hop_since") >= sec - F.lit(city_window)) if do3 else F.lit(False)
-    if do3 and include_current:
-        # a prior in the frame with a city other than the current one: the
-        # latest known-city prior r if its city differs, else the latest row
-        # before r with another city (diff(r))
-        lc, lo = F.col("__lastc"), sec - F.lit(city_window)
-        other = ((lc["c"] != city) & (lc["s"] >= lo)) | ((lc["c"] == city) & (lc["d"] >= lo))
-        city_hop = city_hop | (city.isNotNull() & true_or_false(other))
+        after.append(f"max(__row) {before} AS __last")
+    t = t.selectExpr("*", *after)
+    sec, city = F.col("__sec"), F.col("__city")
+
+    city_hop = F.lit(False)
+    if do3:
+        hop = f"coalesce(__hop_since >= __sec - {city_window}, false)"
+        if include_current:
+            # a prior in the frame with a city other than the current one: the
+            # latest known-city prior r if its city differs, else the latest row
+            # before r with another city (diff(r))
+            lo = f"__sec - {city_window}"
+            hop += (f" OR (__city IS NOT NULL AND coalesce((__lastc.c <> __city AND __lastc.s >= {lo}) "
+                    f"OR (__lastc.c = __city AND __lastc.d >= {lo}), false))")
+        city_hop = F.expr(hop)
     guess = F.lit(False)
     if do4:
-        r, floor_sec = F.col("__last"), sec - F.lit(guess_window)
-        inside = [r[f"s{k}"].isNotNull() & (r[f"s{k}"] >= floor_sec) for k in range(attempts + 1)]
-        bad = F.lit(False)
+        def inside(k):
+            return f"(__last.s{k} IS NOT NULL AND __last.s{k} >= __sec - {guess_window})"
+        bad = []
         for k in range(attempts):
-            prev = F.coalesce(F.when(inside[k + 1], r[f"a{k + 1}"]), r[f"a{k}"] + F.lit(1))
-            bad = bad | true_or_false(r[f"o{k}"] == SUCCESS) | true_or_false(prev - r[f"a{k}"] <= 0)
-        above = true_or_false(least_ignore_nulls([r[f"a{k}"] for k in range(attempts)]) > F.col("amt"))
-        guess = inside[attempts - 1] & ~bad & above
+            prev = f"coalesce(CASE WHEN {inside(k + 1)} THEN __last.a{k + 1} END, __last.a{k} + 1)"
+            bad += [f"coalesce(__last.o{k} = '{SUCCESS}', false)", f"coalesce({prev} - __last.a{k} <= 0, false)"]
+        least = ", ".join(f"__last.a{k}" for k in range(attempts))
+        guess = F.expr(f"{inside(attempts - 1)} AND NOT ({' OR '.join(bad)}) "
+                       f"AND coalesce(least({least}) > amt, false)")
 
     # candidates: successful, with a time (a null time has no report day)
     out = t.where(~F.col(CONTEXT) & F.col("__ok") & F.col("trans_date").isNotNull())
