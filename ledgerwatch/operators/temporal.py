@@ -139,12 +139,16 @@ def lookback_buckets(df: DataFrame, *, key: str, seconds: str, lookback: int, bu
     b = F.floor(sec / W)
     if splits is not None:
         # bounded broadcast (see hot_bucket_splits): split count of own and next bucket
-        own_s = splits.select(F.col(key).alias("__sk"), F.col(BUCKET).alias("__sb"), F.col("__splits").alias("__s0"))
-        nxt_s = splits.select(F.col(key).alias("__nk"), (F.col(BUCKET) - 1).alias("__nb"),
-                              F.col("__splits").alias("__s1"))
-        df = (df.join(F.broadcast(own_s), (F.col(key) == F.col("__sk")) & (b == F.col("__sb")), "left")
-                .join(F.broadcast(nxt_s), (F.col(key) == F.col("__nk")) & (b == F.col("__nb")), "left")
-                .drop("__sk", "__sb", "__nk", "__nb"))
+        # one row per (key, bucket) with its own and its next bucket's split count
+        pair = F.explode(F.array(
+            F.struct(F.col(BUCKET).alias("b"), F.col("__splits").alias("s0"), F.lit(None).cast("long").alias("s1")),
+            F.struct((F.col(BUCKET) - 1).alias("b"), F.lit(None).cast("long").alias("s0"),
+                     F.col("__splits").alias("s1"))))
+        both = (splits.select(F.col(key).alias("__sk"), pair.alias("__p"))
+                      .groupBy("__sk", F.col("__p.b").alias("__sb"))
+                      .agg(F.max("__p.s0").alias("__s0"), F.max("__p.s1").alias("__s1")))
+        df = (df.join(F.broadcast(both), (F.col(key) == F.col("__sk")) & (b == F.col("__sb")), "left")
+                .drop("__sk", "__sb"))
         s0, s1 = F.coalesce(F.col("__s0"), F.lit(1)), F.coalesce(F.col("__s1"), F.lit(1))
     else:
         s0 = s1 = F.lit(1)
