@@ -38,6 +38,7 @@ CITY_WINDOW = 3600      # rule 3 look-back, seconds
 GUESS_WINDOW = 1200     # rule 4 look-back, seconds
 GUESS_ATTEMPTS = 3      # rule 4 number of declined attempts
 HOT_ROWS = 2_000_000    # rows per (card, time bucket) window partition before a card is split finer
+DAY_BUCKET = 86400      # default time bucket of the rule 3/4 window partitions, seconds
 
 REPORT_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
 
@@ -70,7 +71,9 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     if not (do3 or do4):
         return _candidates_only(tx, report_from, report_to)
     lookback = max(city_window if do3 else 0, guess_window if do4 else 0)
-    bucket = bucket or max(6 * lookback, 3600)
+    # one-day buckets by default: hot ones are split further (hot_rows), so a
+    # wide bucket keeps window groups few and the context copies at 4%
+    bucket = bucket or max(DAY_BUCKET, 6 * lookback)
     t = tx.select("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal")
     if report_from is not None:
         t = t.where(F.col("trans_date") >= _day_start(report_from) - F.make_dt_interval(
