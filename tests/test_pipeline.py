@@ -173,3 +173,41 @@ def test_family_missing_on_a_date(spark, tmp_dir):
                              dims["clients"], wh.facts("passport_blacklist", d), report_from=d, report_to=d)
     got = wh.report().where(F.col("report_dt") == F.lit(d)).select(*fraud.REPORT_COLS)
     assert rows(got) == rows(exp)
+
+
+def test_crash_before_commit_then_rerun(spark, tmp_dir):
+    # batch 2 dies after writing its outputs but before the metadata commit;
+    # running it again must give the same warehouse as an uninterrupted run
+    def fresh(name):
+        landing, root = os.path.join(tmp_dir, name, "landing"), os.path.join(tmp_dir, name, "dwh")
+        os.makedirs(landing)
+        write_landing(spark, landing)
+        os.remove(os.path.join(landing, f"transactions_{DAYS[2]:%d%m%Y}.txt"))
+        for fam in ("terminals", "passport_blacklist"):
+            os.remove(os.path.join(landing, f"{fam}_{DAYS[2]:%d%m%Y}.xlsx"))
+        return landing, Warehouse(spark, root)
+
+    landing, wh = fresh("crash")
+    pipeline.run_batch(spark, wh, landing, DAYS[0], snapshots=readers())
+    real_commit = wh.commit
+    def boom(meta, batch):
+        raise RuntimeError("executor lost before commit")
+    wh.commit = boom
+    try:
+        pipeline.run_batch(spark, wh, landing, DAYS[1], snapshots=readers())
+        raise AssertionError("expected the simulated crash")
+    except RuntimeError:
+        pass
+    wh.commit = real_commit
+    assert wh.committed() == DAYS[0]                       # readers still see batch 1 only
+    pipeline.run_batch(spark, wh, landing, DAYS[1], snapshots=readers())
+
+    landing2, clean = fresh("clean")
+    pipeline.run_pending(spark, landing2, clean.root, snapshots=readers())
+    assert wh.committed() == clean.committed() == DAYS[1]
+    assert rows(wh.report()) == rows(clean.report())
+    assert rows(wh.facts("transactions", DAYS[1])) == rows(clean.facts("transactions", DAYS[1]))
+    state = {r.table_name: r for r in wh.meta().collect()}
+    for name in ("terminals", *SOURCES):
+        assert rows(wh.dim(name, state[name].last_load_dt, DAYS[1])) == \
+            rows(clean.dim(name, state[name].last_load_dt, DAYS[1])), name
