@@ -218,3 +218,19 @@ def apply_preset(name: str, hist: DataFrame | None, snapshot: DataFrame, *, batc
     p = {k: v for k, v in PRESETS[name].items() if k != "trim_key"}
     p.update(overrides)
     return scd2_apply(hist, snapshot, batch_dt=batch_dt, since=since, **p)
+
+
+def overlapping_versions(hist: DataFrame, key: str, live_only: bool = True) -> DataFrame:
+    """Versions whose validity overlaps the previous version of the same key
+    (by effective_from). A valid-at left join would match both, duplicating
+    fact rows; ``scd2_apply`` never produces them, so this guards histories
+    loaded from elsewhere. Versions per key are bounded by the number of
+    batches, so the per-key window has no hot key. Inverted versions
+    (``effective_to < effective_from``, Q20) cover no instant and are skipped.
+    """
+    h = hist.where(F.col("effective_to") >= F.col("effective_from")).where(F.col(key).isNotNull())
+    if live_only:
+        h = h.where(F.col("deleted_flg") == LIVE)
+    w = Window.partitionBy(key).orderBy("effective_from", "effective_to")
+    return (h.withColumn("__prev_to", F.lag("effective_to").over(w))
+             .where(F.col("__prev_to") >= F.col("effective_from")).drop("__prev_to"))

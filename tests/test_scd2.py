@@ -171,3 +171,12 @@ def test_stamp_kept_on_untouched_versions(spark):
     assert len(unchanged) == 1 and unchanged[0].processed_dt == first["1"]
     changed = [x for x in h2 if x.k == "2"]
     assert len(changed) == 2 and all(x.processed_dt > first["2"] for x in changed)
+
+
+def test_overlapping_versions(spark):
+    h1 = apply(None, snap(spark, [r("1", "x", 1, upd=D[0]), r("2", "y", 2, upd=D[0])]), 0)
+    h2 = apply(h1, snap(spark, [r("1", "x", 5, upd=D[1]), r("2", "y", 2, upd=D[1])]), 1)
+    assert scd2.overlapping_versions(h2, "k").count() == 0          # scd2_apply output never overlaps
+    bad = h2.unionByName(spark.createDataFrame(
+        [("2", "z", 9, dt.datetime(2024, 1, 1), OPEN, "N")], h2.schema))
+    assert [x.k for x in scd2.overlapping_versions(bad, "k").collect()] == ["2"]
