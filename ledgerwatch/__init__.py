@@ -8,6 +8,6 @@ Layout:
     streaming/   file ingestion with archiving (availableNow)
 """
 
-from ledgerwatch.session import get_session, checkpoint_dir
+from ledgerwatch.session import get_session, ship_package
 
-__all__ = ["get_session", "checkpoint_dir"]
+__all__ = ["get_session", "ship_package"]

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +27,8 @@ DEFAULTS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_shipped: set[str] = set()
+
 
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "ledgerwatch", extra: dict | None = None) -> SparkSession:
@@ -43,21 +46,21 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     for k, v in DEFAULTS.items():
         if k.startswith("spark.sql."):
             spark.conf.set(k, v)
-    checkpoint_dir(spark)
     return spark
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """Shared folder for lineage cuts and staged tables.
-
-    On a cluster ``spark.checkpoint.dir`` names a shared (HDFS/object store)
-    folder and is used as is. Only when it is unset (local tests) do we create
-    a private scratch folder.
-    """
-    path = spark.conf.get("spark.checkpoint.dir", None) or \
-        spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="ledgerwatch-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that Python
+    workers import it wherever they run (a no-op for code that stays in the JVM)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="ledgerwatch-pkg-"), "ledgerwatch_pkg.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for n in sorted(n for n in names if n.endswith(".py")):
+                full = os.path.join(folder, n)
+                z.write(full, os.path.relpath(full, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
