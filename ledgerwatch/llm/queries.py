@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import exact_dedup, mixing, sharding
+from ledgerwatch.llm import exact_dedup, mixing, near_dup, sharding
 
 SHARDS = 40
 
@@ -37,10 +37,15 @@ def q_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
         docs, carry={"text_sha256": F.sha2(exact_dedup.ascii_lower(F.col("text")), 256)})
 
 
+def q_near(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_rendezvous_shards": q_shards,
     "op8_source_mix": q_mix,
     "op9_exact_dedup": q_exact,
+    "op10_near_dup": q_near,
 }
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"

@@ -53,18 +53,20 @@ def join_stats(rows: DataFrame, stats: DataFrame, keys: list[str], count: str, n
 
     Groups of more than ``n_rows / hot_groups`` rows are hot; there are at most
     ``hot_groups`` of them, which bounds the broadcast. Rows of hot groups take
-    their values from it and pass the shuffle join under a spread null-match
-    key; all others are joined by key. Keys must not be null.
+    their values from it and pass the shuffle join under a spread key without
+    a match; all others are joined by key. Keys must not be null.
     """
     values = [c for c in stats.columns if c not in keys]
     limit = max(1, n_rows // hot_groups)
     hot = stats.where(F.col(count) > limit).select(*keys, *[F.col(c).alias(f"__hot_{c}") for c in values])
     cold = stats.where(F.col(count) <= limit).select(
-        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], F.lit(0).alias("__salt"), *values)
-    marked = rows.join(F.broadcast(hot), keys, "left") \
-        .withColumn("__salt", F.when(F.col(f"__hot_{count}").isNull(), F.lit(0))
-                    .otherwise(F.pmod(spread, F.lit(1 << 20)).cast("int") + F.lit(1)))
-    on = [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)] + [marked["__salt"] == cold["__salt"]]
+        F.col(keys[0]).cast("string").alias("__k0"),
+        *[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys) if i], *values)
+    # a first key that no group has, different for each row, deals hot rows out evenly
+    marked = rows.join(F.broadcast(hot), keys, "left").withColumn(
+        "__first", F.when(F.col(f"__hot_{count}").isNull(), F.col(keys[0]).cast("string"))
+        .otherwise(F.concat(F.lit("\u0000hot "), spread.cast("string"))))
+    on = [marked["__first"] == cold["__k0"]] + [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys) if i]
     return marked.join(cold, on, "left").select(
         *rows.columns, *[F.coalesce(F.col(f"__hot_{c}"), F.col(c)).alias(c) for c in values])
 
