@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import exact_dedup, mixing, near_dup, sharding
+from ledgerwatch.llm import decontaminate, exact_dedup, mixing, near_dup, sharding
 
 SHARDS = 40
 
@@ -26,6 +26,10 @@ def q_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def q_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def q_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mix_streams(table(spark, sf_dir, "documents"))
     return mix.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
@@ -43,6 +47,7 @@ def q_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_rendezvous_shards": q_shards,
+    "op7_benchmark_leaks": q_leaks,
     "op8_source_mix": q_mix,
     "op9_exact_dedup": q_exact,
     "op10_near_dup": q_near,
