@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import decontaminate, exact_dedup, mixing, near_dup, sharding
+from ledgerwatch.llm import decontaminate, exact_dedup, mixing, near_dup, quality, sharding, toxicity
 
 SHARDS = 40
 
@@ -20,6 +20,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def q_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def q_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     assigned = sharding.assign_shards(table(spark, sf_dir, "documents"), [1.0] * SHARDS, new_weight=1.0)
     return sharding.number_slots(assigned).select(
@@ -46,6 +54,8 @@ def q_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_quality": q_quality,
+    "op3_toxicity": q_toxicity,
     "op4_rendezvous_shards": q_shards,
     "op7_benchmark_leaks": q_leaks,
     "op8_source_mix": q_mix,

@@ -21,6 +21,11 @@ _SEP = np.zeros(256, dtype=bool)
 _SEP[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
+_WORD_KIND = (~_SEP).astype(np.uint8)
+_LETTER_KIND = np.zeros(256, dtype=np.uint8)
+for _lo, _hi in ((48, 58), (65, 91), (97, 123), (128, 256)):
+    _LETTER_KIND[_lo:_hi] = 1
+_TOKEN_KIND = np.where(_LETTER_KIND > 0, 1, np.where(_SEP, 0, 2)).astype(np.uint8)
 _powers: list[np.ndarray] = []
 
 
@@ -53,7 +58,7 @@ class Words:
         self.data, self.offsets, self.start, self.end = data, offsets, start, end
         self.first = np.searchsorted(start, offsets).astype(np.int64)
         self.n_rows = len(offsets) - 1
-        self._hash = None
+        self._hash = self._sums = None
 
     @property
     def row(self) -> np.ndarray:
@@ -62,14 +67,21 @@ class Words:
     @property
     def hash(self) -> np.ndarray:
         if self._hash is None:
-            fwd, inv = _power_tables(len(self.data) + 1)
-            with np.errstate(over="ignore"):
-                pre = np.empty(len(self.data) + 1, dtype=np.uint64)
-                pre[0] = 0
-                np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * fwd[:len(self.data)], out=pre[1:])
-                self._hash = mix((pre[self.end] - pre[self.start]) * inv[self.start])
+            self._hash = self._hashes(self.end)
         return self._hash
 
+    def prefix_hash(self, n: int) -> np.ndarray:
+        """Hash of the first n bytes of every word (of the whole word if shorter)."""
+        return self._hashes(np.minimum(self.end, self.start + n))
+
+    def _hashes(self, end: np.ndarray) -> np.ndarray:
+        fwd, inv = _power_tables(len(self.data) + 1)
+        with np.errstate(over="ignore"):
+            if self._sums is None:
+                self._sums = np.zeros(len(self.data) + 1, dtype=np.uint64)
+                np.cumsum((self.data.astype(np.uint64) + np.uint64(1)) * fwd[:len(self.data)], out=self._sums[1:])
+            return mix((self._sums[end] - self._sums[self.start]) * inv[self.start])
+
     def shingles(self, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, hash) of every k-word shingle, in order; a row with fewer words
         has its whole word sequence as one shingle, a row without words none."""
@@ -90,20 +102,36 @@ class Words:
         return row, out
 
 
-def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
-    """Words are maximal runs of bytes other than space and 0x09-0x0D, optionally with A-Z lower-cased."""
+def spans(data: np.ndarray, offsets: np.ndarray, kinds: np.ndarray, lower: bool) -> Words:
+    """Maximal runs of bytes of one kind (0: separators, left out), optionally with A-Z lower-cased.
+    Runs end where a row ends."""
+    kind = kinds[data]
     if lower:
         data = _LOWER[data]
-    inside = ~_SEP[data]
-    begin = inside.copy()
-    begin[1:] &= ~inside[:-1]
-    heads = offsets[:-1][offsets[:-1] < len(data)]
-    begin[heads] = inside[heads]
-    stop = inside.copy()  # last byte of a word
-    stop[:-1] &= ~inside[1:]
-    tails = offsets[1:][offsets[1:] > 0] - 1
-    stop[tails] = inside[tails]
-    return Words(data, offsets, np.flatnonzero(begin), np.flatnonzero(stop) + 1)
+    change = np.ones(len(data) + 1, dtype=bool)  # a run may begin at i, or end before i
+    change[1:-1] = kind[1:] != kind[:-1]
+    change[offsets] = True
+    edges = np.flatnonzero(change)
+    if len(data) == 0:
+        return Words(data, offsets, edges[:0], edges[:0])
+    start, end = edges[:-1], edges[1:]
+    real = kind[start] > 0
+    return Words(data, offsets, start[real], end[real])
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, lower: bool = True) -> Words:
+    """Words are maximal runs of bytes other than space and 0x09-0x0D."""
+    return spans(data, offsets, _WORD_KIND, lower)
+
+
+def letters_of(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Lower-cased runs of letters, digits and non-ASCII bytes; all else separates."""
+    return spans(data, offsets, _LETTER_KIND, True)
+
+
+def tokens_of(data: np.ndarray, offsets: np.ndarray) -> Words:
+    """Runs of letters, digits and non-ASCII bytes, and runs of other marks, case kept."""
+    return spans(data, offsets, _TOKEN_KIND, False)
 
 
 def blocks(column: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
