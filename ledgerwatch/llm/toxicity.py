@@ -40,8 +40,8 @@ TOXIC_SAMPLE = 4_000    # most toxic rows that markers are drawn from
 BEGINNINGS = (4, 5, 6, 7, 8)  # bytes of a word that pattern voters look at
 CANDIDATES = 100_000    # marker candidates counted over the whole sample
 MARKERS = 1024          # vocabulary of the linear classifier
-VOTERS = 24             # of each kind
-LEAST_ODDS, LEAST_EVIDENCE = np.log(20), 9.0  # in nats
+VOTERS = 128            # of each kind
+LEAST_ODDS, LEAST_EVIDENCE = np.log(100), 9.0  # in nats
 ROUNDS, FIT_STEPS, RIDGE = 50, 800, 1e-5
 _WORD, _BEGIN = np.uint64(0), np.uint64(1)
 
@@ -168,12 +168,13 @@ def votes(x: np.ndarray, hashes: np.ndarray) -> np.ndarray:
 
 
 class LabelModel:
-    """Posterior of the latent class given correlated 0/1 voters."""
+    """Posterior of the latent class given correlated 0/1 voters and the given label, itself a voter
+    that may err."""
 
-    def __init__(self, v: np.ndarray, prior: float):
-        self.prior = prior
+    def __init__(self, v: np.ndarray, given: np.ndarray):
+        self.given = given
         fired = v.sum(axis=1)
-        post = np.where(fired > 0, 0.9, 0.01)  # start: any vote speaks for the class
+        post = np.clip(0.5 * given + 0.5 * (fired > 0), 0.01, 0.99)  # start: any vote speaks for the class
         for _ in range(ROUNDS):
             self._accuracies(v, post)
             self.weight = np.ones(v.shape[1])
@@ -189,6 +190,8 @@ class LabelModel:
         rest = 1 - post
         self.fire0 = np.clip((rest @ v + 0.5 * self.fire1 * 0.01) / (rest.sum() + 1), 1e-6, 1 - 1e-4)
         self.prior = float(np.clip(post.mean(), 0.01, 0.5))
+        self.right1 = np.clip((post @ self.given + 1) / (post.sum() + 2), 0.5, 0.99)
+        self.wrong0 = np.clip((rest @ self.given + 1) / (rest.sum() + 2), 0.01, 0.5)
         silent = v.sum(axis=1) == 0
         self.silent1 = (post @ silent + 0.01) / (post.sum() + 1)
         self.silent0 = (rest @ silent + 0.5) / (rest.sum() + 1)
@@ -209,7 +212,9 @@ class LabelModel:
         seldom holds more than a few markers); the silence of all voters is one vote."""
         on = np.log(self.fire1) - np.log(self.fire0)
         silence = np.log(self.silent1) - np.log(self.silent0)
-        z = np.log(self.prior / (1 - self.prior)) + v @ (on * self.weight) + (v.sum(axis=1) == 0) * silence
+        z = np.log(self.prior / (1 - self.prior)) + v @ (on * self.weight) + (v.sum(axis=1) == 0) * silence \
+            + np.where(self.given > 0, np.log(self.right1 / self.wrong0),
+                       np.log((1 - self.right1) / (1 - self.wrong0)))
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
@@ -250,7 +255,7 @@ class Classifier:
         row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         x = self.vocabulary.presence(row, np.concatenate(sets), len(sets))
         voted = votes(x, self.vocabulary.hashes)
-        self.label_model = LabelModel(voted, len(toxic) / len(sets))
+        self.label_model = LabelModel(voted, np.repeat((1.0, 0.0), (len(toxic), len(others))))
         self.linear = Linear(x, self.label_model.posterior(voted))
 
     def scores(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
