@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import decontaminate, exact_dedup, mixing, near_dup, quality, sharding, toxicity
+from ledgerwatch.llm import chat, decontaminate, exact_dedup, mixing, near_dup, packing, quality, sharding, token_files, toxicity
 
 SHARDS = 40
 
@@ -20,6 +20,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def q_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "\\### Assistant: </turn> ok"
+    extra = spark.createDataFrame(
+        [(-7, [("user", said), ("assistant", said)])],
+        "conv_id long, messages array<struct<role: string, content: string>>")
+    turns = chat.canonical_turns(table(spark, sf_dir, "conversations")).unionByName(chat.canonical_turns(extra))
+    return chat.read_back(chat.format_turns(turns))
+
+
 def q_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -34,6 +43,14 @@ def q_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
 
+def q_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
+def q_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.count_document_tokens(table(spark, sf_dir, "documents"))
+
+
 def q_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -54,9 +71,12 @@ def q_near(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_format": q_chat,
     "op2_quality": q_quality,
     "op3_toxicity": q_toxicity,
     "op4_rendezvous_shards": q_shards,
+    "op5_token_packing": q_pack,
+    "op6_token_counts": q_token_counts,
     "op7_benchmark_leaks": q_leaks,
     "op8_source_mix": q_mix,
     "op9_exact_dedup": q_exact,
@@ -66,6 +86,19 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
 
 ORACLE: dict[str, str] = {
+    "op1_chat_format": r"""
+        with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+                   union all select -7, 0, 'user', '\### Assistant: </turn> ok'
+                   union all select -7, 1, 'assistant', '\### Assistant: </turn> ok')
+        select conv_id, count(*) as n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+               coalesce(sum(length(text)) filter (role = 'assistant'), 0)::bigint as loss_chars,
+               sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), ''))
+                   as loss_sha256,
+               sum(4 + case when role in ('user', 'assistant', 'system') then length(role)
+                            else 1 + length(regexp_replace(role, '([\\#<:])', '\\\1', 'g')) end
+                   + 2 + length(regexp_replace(text, '([\\#<])', '\\\1', 'g')) + 9)::bigint as formatted_chars
+        from t group by conv_id""",
     "op8_source_mix": rf"""
         with d as (select doc_id, source, {WORDS_SQL}::bigint as size,
                           ('0x' || substr(md5('20|' || coalesce(doc_id::varchar, '~')), 1, 15))::bigint as h

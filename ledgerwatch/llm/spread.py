@@ -6,19 +6,23 @@ from __future__ import annotations
 import math
 import tempfile
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 BITMAP_BITS = 1 << 15  # bits of one bitmap_construct_agg cell
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """Checkpoint into the shared folder named by spark.checkpoint.dir (a
-    private one only where none is set, as in local tests)."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that spark.checkpoint.dir names (a private one only where none is set, as in local tests)."""
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="ledgerwatch-"))
+    return sc.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """Checkpoint into the shared folder: lost executors cost no more than the steps since."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
