@@ -146,6 +146,29 @@ def draws(streams: DataFrame, seed: int = 20, max_epochs: float = 2.0) -> DataFr
         hash60(F.lit(seed + 1), F.col("id"), F.col("epoch")).alias("local_order"))
 
 
+def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    **options) -> DataFrame:
+    """The documents, all columns, each repeated as often as the mix takes it: ``taken / size`` rounded
+    half up, so the one cut document of a source is taken whole or not at all. Documents without words
+    have no part in any target and stay once."""
+    max_epochs = options.get("max_epochs", 2.0)
+    streams = mix_streams(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    # rows are told apart by id, source and checksum: equal rows of one id may take different counts
+    key = ["id", "source", "crc"]
+    ranked = streams.withColumn("__copies", F.when(F.col("size") == 0, 1).otherwise(
+        F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).cast("int")) \
+        .groupBy(*key).agg((F.sum("__copies") / F.count(F.lit(1))).alias("__mean"))
+    copies = ranked.select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("crc").alias("__crc"),
+                           F.least(F.round("__mean"), F.lit(math.ceil(max_epochs))).cast("int").alias("__copies")) \
+        .where("__copies > 0")
+    crc = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
+    marked = docs.withColumn("__own_crc", crc)
+    joined = marked.join(copies, F.col(id_col).eqNullSafe(F.col("__id"))
+                         & F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
+                         & (F.col("__own_crc") == F.col("__crc")))
+    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+
+
 def write_mix(drawn: DataFrame, path: str) -> None:
     """Write each output shard as its own folder, shuffled locally by the hash order."""
     (drawn.repartition("shard", F.pmod("local_order", F.lit(16))).sortWithinPartitions("shard", "local_order")
