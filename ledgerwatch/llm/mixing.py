@@ -9,8 +9,8 @@
    split among the output shards by a binary tree: at each node the blocks of
    the left half are a multivariate hypergeometric draw from the node's quotas.
 4. A keyed bijection permutes each source's block numbers; a shard takes a
-   disjoint run of permuted blocks, and its documents are shuffled locally by
-   a hash order.
+   disjoint run of permuted blocks, and its pieces are shuffled locally by a
+   hash order.
 
 The driver sees one row per source, never rows of documents. Stream positions
 come from a two-level running sum, so a source with a third of all rows is
@@ -88,16 +88,16 @@ def plan_mix(sizes: list[tuple[str | None, int]], weights: list[float], share: f
     total = sum(n for _, n in sizes)
     targets = fill_targets([n for _, n in sizes], weights, share * total, max_epochs)
     least = math.ceil(max_epochs * total / MAX_BLOCKS) or 1
-    block = [max(least, min(block_words, n // 1000), 1) for _, n in sizes]
+    block = max(least, block_words)
     words = [round(t) for t in targets]
-    quota = np.array([-(-w // b) for w, b in zip(words, block, strict=True)], dtype=np.int64)
+    quota = np.array([-(-w // block) for w in words], dtype=np.int64)
     per_shard = split_quotas(quota, n_shards, np.random.default_rng(seed))
     rows = []
     for i, (source, n) in enumerate(sizes):
         q = int(quota[i])
         digest = hashlib.sha256(f"{seed}|{source}".encode()).digest()
         a, c = (_coprime(q, int.from_bytes(digest[:8], "big")), int.from_bytes(digest[8:16], "big") % q) if q else (1, 0)
-        rows.append((source, n, float(targets[i]), words[i], block[i], q, a, c, np.cumsum(per_shard[:, i]).tolist()))
+        rows.append((source, n, float(targets[i]), words[i], block, q, a, c, np.cumsum(per_shard[:, i]).tolist()))
     return rows
 
 
@@ -134,16 +134,20 @@ def mix_streams(docs: DataFrame, weight_cycle: tuple[float, ...] = (3, 1, 2), sh
 
 
 def draws(streams: DataFrame, seed: int = 20, max_epochs: float = 2.0) -> DataFrame:
-    """One row per draw of a document: id, epoch, words taken, shard, and its local shuffle order."""
+    """The drawn pieces: id, source, epoch, its words word_from to word_to - 1, block, shard and local shuffle
+    order. Documents are cut where a block of the stream ends, so every shard gets its exact quota."""
     e = streams.withColumn("epoch", F.explode(F.array(*[F.lit(i) for i in range(math.ceil(max_epochs))])))
     e = e.withColumn("at", F.col("start") + F.col("epoch") * F.col("source_size")) \
         .withColumn("drawn", F.least(F.col("size"), F.col("words") - F.col("at"))).where("drawn > 0")
-    number = F.floor(F.col("at") / F.col("block")).cast("long")
-    spot = F.pmod(number * F.col("mul") + F.col("add"), F.col("quota"))  # factors below 2**29: no overflow
+    number = [F.floor(x / F.col("block")).cast("long") for x in (F.col("at"), F.col("at") + F.col("drawn") - 1)]
+    e = e.withColumn("number", F.explode(F.sequence(*number)))
+    spot = F.pmod(F.col("number") * F.col("mul") + F.col("add"), F.col("quota"))  # factors below 2**29: no overflow
+    begin = F.col("number") * F.col("block") - F.col("at")
     return e.withColumn("spot", spot).select(
-        "id", "source", "epoch", "drawn",
+        "id", "source", "epoch", F.greatest(begin, F.lit(0)).alias("word_from"),
+        F.least(begin + F.col("block"), F.col("drawn")).alias("word_to"), F.col("number").alias("block_no"),
         F.size(F.filter("bounds", lambda b: b <= F.col("spot"))).alias("shard"),
-        hash60(F.lit(seed + 1), F.col("id"), F.col("epoch")).alias("local_order"))
+        hash60(F.lit(seed + 1), F.col("id"), F.col("epoch"), F.col("number")).alias("local_order"))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
