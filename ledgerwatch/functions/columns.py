@@ -4,7 +4,6 @@ they stay inside whole-stage codegen."""
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -36,10 +35,6 @@ def days_before(d: str | Column, days: int = 1) -> Column:
     return F.date_sub(col(d).cast("date"), days).cast("timestamp_ntz")
 
 
-def at_midnight(d: str | Column) -> Column:
-    return col(d).cast("date").cast("timestamp_ntz")
-
-
 def parse_ddmmyyyy(s: str | Column) -> Column:
     """File-name batch date ``DDMMYYYY`` to a date; null when malformed."""
     return F.try_to_timestamp(col(s), F.lit("ddMMyyyy")).cast("date")
@@ -50,14 +45,6 @@ def differs(a: str | Column, b: str | Column) -> Column:
     return ~col(a).eqNullSafe(col(b))
 
 
-def any_differs(pairs: Iterable[tuple[str | Column, str | Column]]) -> Column:
-    out = None
-    for a, b in pairs:
-        d = differs(a, b)
-        out = d if out is None else (out | d)
-    return out if out is not None else F.lit(False)
-
-
 def pg_concat(*parts: str | Column) -> Column:
     """PostgreSQL ``concat``: null arguments are skipped, never null."""
     return F.concat(*[F.coalesce(col(p).cast("string"), F.lit("")) for p in parts])
@@ -71,8 +58,3 @@ def full_name(last: str | Column, first: str | Column, middle: str | Column) ->
 def true_or_false(c: Column) -> Column:
     """Collapse SQL three-valued logic: null counts as false."""
     return F.coalesce(c, F.lit(False))
-
-
-def least_ignore_nulls(cols: Sequence[Column]) -> Column:
-    """``least`` skipping nulls (Spark's and PostgreSQL's both do)."""
-    return F.least(*cols)

@@ -77,12 +77,8 @@ def advance_watermark(meta: DataFrame, table: str, delta: DataFrame,
 
 def stamp_batch_date(df: DataFrame, file_col: str | Column = "_metadata.file_name",
                      out: str = "update_dt") -> DataFrame:
-    """B8: update_dt = the DDMMYYYY date in the file name, for every row."""
+    """B8: update_dt = the DDMMYYYY date in the file name, for every row; a name without a date is an error."""
     name = col(file_col)
-    return df.withColumn(out, parse_ddmmyyyy(F.regexp_extract(name, r"_(\d{8})\.[^.]+$", 1)))
-
-
-def default_update_dt(df: DataFrame, batch_dt, update_col: str = "update_dt") -> DataFrame:
-    """B9: ``coalesce(update_dt, batch date)`` for snapshot sources."""
-    return df.withColumn(update_col, F.coalesce(F.col(update_col).cast("date"),
-                                                F.lit(batch_dt).cast("date")))
+    date = parse_ddmmyyyy(F.regexp_extract(name, r"_(\d{8})\.[^.]+$", 1))
+    wrong = F.raise_error(F.concat(F.lit("no date in file name "), F.coalesce(name, F.lit("(none)"))))
+    return df.withColumn(out, F.coalesce(date, wrong.cast("date")))

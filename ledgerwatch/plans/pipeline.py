@@ -1,8 +1,8 @@
 """Daily batch pipeline: dated files and source snapshots -> facts, SCD2
 dimensions, fraud report, load metadata.
 
-For each pending batch date (sorted as dates) and each target whose
-watermark is before that date:
+For each pending batch date (sorted as dates) and each target whose own
+watermark and last load are before that date:
 
   transactions   CSV  -> delta filter -> append absent trans_id
   terminals      XLSX -> SCD2 (file date starts new keys)
@@ -10,11 +10,17 @@ watermark is before that date:
   cards, accounts, clients   snapshot -> default update_dt -> SCD2 (parity presets)
   fraud report   the batch day, over the state after the loads above
 
-Each input is parsed or read once into a staging partition (the original's
+Targets are gated one by one: a family that arrives after others of its date
+were committed is loaded by the next run. A file older than its own target's
+watermark is not loaded, as in the original; the result names it under
+``late`` and it stays in the landing folder.
+
+Each input is parsed or read once into a staging folder (the original's
 ``*_tmp`` tables), so a live source is read exactly once per batch; outputs
 are written next, the metadata state last (commit point), and the processed
-files are archived after the commit. Errors propagate: a failed
-batch leaves the committed state untouched and can be re-run.
+files are archived after the commit; files that a crash left behind are
+archived by the next run. Errors propagate: a failed batch leaves the
+committed state untouched and can be re-run.
 
 The loop runs over batch *dates* (a handful of metadata rows on the driver);
 all row work is Spark jobs.
@@ -31,7 +37,8 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import DEFAULT_WATERMARK
 from ledgerwatch.operators import facts, fraud, scd2
-from ledgerwatch.plans.storage import META_STATE, Warehouse
+from ledgerwatch.plans.storage import Warehouse
+from ledgerwatch.schemas import BLACKLIST, dim_schema
 from ledgerwatch.sources import delimited, discovery, snapshot as snap, workbook
 
 SNAPSHOT_TARGETS = ("cards", "accounts", "clients")
@@ -72,124 +79,124 @@ def _advance(state, table, delta: DataFrame | None, batch: dt.date, to_batch: bo
     state[table] = (max(old, new), batch)
 
 
+FILES = {"transactions": ("transactions", "txt"), "passport_blacklist": ("passport_blacklist", "xlsx"),
+         "terminals": ("terminals", "xlsx")}
+
+
 def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date, *,
               snapshots: dict[str, SnapshotReader] | None = None, delete_scope: str = "delta",
-              allow_empty_snapshot: bool = False, archive: bool = True, parallel: bool = True) -> dict:
-    """Load one batch date; returns what ran.
+              allow_empty_snapshot: bool = False, archive: bool = True, parallel: bool = True,
+              keep_heads: int | None = 2) -> dict:
+    """Load what is due of one batch date; returns what ran.
 
     The six loads are independent (each reads and writes only its own
     target), so with ``parallel`` they are submitted as concurrent Spark jobs
     from driver threads; the report runs after all of them, the commit last.
-    Any failure propagates before the commit.
+    Any failure propagates before the commit. ``keep_heads`` is the number of
+    head copies kept of each dimension (None: all).
     """
     snapshots = snapshots or {}
-    committed = wh.committed()
-    if committed is not None and committed >= batch:
-        return {"batch": batch, "ran": [], "skipped": "already committed"}
-    state = _state(wh.meta(committed))
+    landing = landing.rstrip("/")
+    state = _state(wh.meta())
     for t in TARGETS:
         state.setdefault(t, (None, None))
-    stamp = batch.strftime("%d%m%Y")
-    due = {t: _wm(state, t) < dt.datetime.combine(batch, dt.time()) for t in TARGETS}
-    as_of = committed or dt.date.min
-
-    def file_path(prefix, ext):
-        p = f"{landing.rstrip('/')}/{prefix}_{stamp}.{ext}"
-        return p if wh._fs.exists(wh._Path(p)) else None
+    midnight = dt.datetime.combine(batch, dt.time())
+    due = {t: _wm(state, t) < midnight and (state[t][1] is None or state[t][1] < batch) for t in TARGETS}
+    taken_before = {(r["target"], r["batch_dt"]) for r in wh.loads().where(F.col("batch_dt") == F.lit(batch)).collect()}
+    files = {t: f"{landing}/{prefix}_{batch:%d%m%Y}.{ext}" for t, (prefix, ext) in FILES.items()}
+    files = {t: f for t, f in files.items() if wh.exists(f)}
+    late = sorted(f for t, f in files.items() if not due[t] and (t, batch) not in taken_before)
+    if archive:   # files of a load that crashed between its commit and the archiving
+        for t, f in files.items():
+            if not due[t] and (t, batch) in taken_before:
+                wh.archive(f, f"{landing}/archive")
+    load = wh.begin()
+    as_of = max([d for _, d in state.values() if d] + [batch])
+
+    def append(name, rows, key, columns=None, sort_by=None):
+        delta = rows.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(_wm(state, name)))
+        new = facts.append_absent(wh.facts(name), delta.select(*columns) if columns else delta.drop("update_dt"), key)
+        wh.write_facts(name, new, batch, load, sort_by=sort_by)
+        return delta
 
     def load_transactions(p):
-        tx = wh.stage("transactions", delimited.read_transactions(spark, p, glob="*"), batch)
-        delta = tx.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(_wm(state, "transactions")))
-        new = facts.append_absent(wh.facts("transactions", as_of), delta.drop("update_dt"), "trans_id")
-        wh.write_facts("transactions", new, batch, sort_by="trans_date")
-        return delta
+        tx = wh.stage("transactions", delimited.read_transactions(spark, p, glob="*"), load)
+        return append("transactions", tx, "trans_id", sort_by="trans_date")
 
     def load_blacklist(p):
-        bl = wh.stage("passport_blacklist", workbook.read_blacklist(spark, p, glob="*"), batch)
-        delta = bl.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(_wm(state, "passport_blacklist")))
-        new = facts.append_absent(wh.facts("passport_blacklist", as_of), delta.select("passport_num", "entry_dt"),
-                                  "passport_num")
-        wh.write_facts("passport_blacklist", new, batch)
-        return delta
+        bl = wh.stage("passport_blacklist", workbook.read_blacklist(spark, p, glob="*"), load)
+        return append("passport_blacklist", bl, "passport_num", ["passport_num", "entry_dt"])
 
     def load_terminals(p):
-        src = wh.stage("terminals", workbook.read_terminals(spark, p, glob="*"), batch)
-        return _load_dim(wh, state, "terminals", src, batch, as_of, delete_scope, allow_empty_snapshot)
+        src = wh.stage("terminals", workbook.read_terminals(spark, p, glob="*"), load)
+        return _load_dim(wh, state, "terminals", src, batch, as_of, delete_scope, allow_empty_snapshot, load)
 
     def load_snapshot(name):
-        reader = snapshots[name]
-        src = wh.stage(name, scd2.prepare_source(name, snap.read_snapshot(reader(spark, batch), name), batch), batch)
-        return _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty_snapshot)
-
-    tasks = {}   # target -> (function, argument, file to archive)
-    for target, prefix, ext, fn in (("transactions", "transactions", "txt", load_transactions),
-                                    ("passport_blacklist", "passport_blacklist", "xlsx", load_blacklist),
-                                    ("terminals", "terminals", "xlsx", load_terminals)):
-        p = file_path(prefix, ext)
-        if due[target] and p:
-            tasks[target] = (fn, p, p)
+        src = snap.read_snapshot(snapshots[name](spark, batch), name)
+        src = wh.stage(name, scd2.prepare_source(name, src, batch), load)
+        return _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty_snapshot, load)
+
+    loaders = {"transactions": load_transactions, "passport_blacklist": load_blacklist, "terminals": load_terminals}
+    tasks = {t: (loaders[t], f) for t, f in files.items() if due[t]}   # target -> (function, argument)
     for name in SNAPSHOT_TARGETS:
         if due[name] and snapshots.get(name) is not None:
-            tasks[name] = (load_snapshot, name, None)
+            tasks[name] = (load_snapshot, name)
 
     if parallel and len(tasks) > 1:
         with ThreadPoolExecutor(max_workers=len(tasks)) as pool:
-            futures = {t: pool.submit(fn, arg) for t, (fn, arg, _) in tasks.items()}
+            futures = {t: pool.submit(fn, arg) for t, (fn, arg) in tasks.items()}
             deltas = {t: f.result() for t, f in futures.items()}
     else:
-        deltas = {t: fn(arg) for t, (fn, arg, _) in tasks.items()}
-    ran = [t for t in TARGETS if t in tasks]
+        deltas = {t: fn(arg) for t, (fn, arg) in tasks.items()}
+    ran = [t for t in TARGETS if t in tasks and deltas[t] is not None]
     for t in ran:
         _advance(state, t, deltas[t], batch)
 
     # fraud report of the batch day, over the state including this batch
-    if due[REPORT] and wh.facts("transactions", batch) is not None:
-        report = build_day_report(wh, state, batch)
-        wh.write_report(report)
+    if due[REPORT] and wh.facts("transactions", upto=load) is not None:
+        wh.write_report(build_day_report(wh, state, batch, load), load)
         _advance(state, REPORT, None, batch, to_batch=True)
         ran.append(REPORT)
 
-    meta = spark.createDataFrame([(t, v[0], v[1]) for t, v in state.items()], META_STATE)
-    wh.commit(meta, batch)
-    if archive:
-        for _, _, f in tasks.values():
-            if f:
-                wh.archive(f, f"{landing.rstrip('/')}/archive")
-    return {"batch": batch, "ran": ran}
+    if ran:
+        taken = [(t, batch, files[t].rsplit("/", 1)[1] if t in files else None) for t in ran if t != REPORT]
+        wh.commit([(t, *v) for t, v in state.items()], taken, load)
+        if archive:
+            for t in ran:
+                if t in files:
+                    wh.archive(files[t], f"{landing}/archive")
+        wh.housekeeping(load, keep_heads)
+    return {"batch": batch, "ran": ran, "late": late, "quiet": [t for t in tasks if deltas[t] is None]}
 
 
-def _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty) -> DataFrame:
-    """SCD2 load of one dimension; returns its delta (for the watermark)."""
+def _load_dim(wh, state, name, src, batch, as_of, delete_scope, allow_empty, load) -> DataFrame | None:
+    """SCD2 load of one dimension; returns its delta (for the watermark), or None when the
+    dimension was left as it is: a snapshot without newer rows is a quiet day, not a deletion."""
     since = _wm(state, name)
     heads = wh.dim(name, state[name][1], as_of, heads_only=True, keep_stamp=True)
-    present = scd2.present_keys(src, scd2.PRESETS[name]["key"], since=F.lit(since), delete_scope=delete_scope)
-    if not allow_empty and present.isEmpty() and heads is not None:
-        raise EmptySnapshotError(f"{name}: no present keys in batch {batch}; refusing to tombstone everything")
+    delta = src.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(since))
+    if heads is not None and not allow_empty:
+        if src.isEmpty():
+            raise EmptySnapshotError(f"{name}: empty snapshot in batch {batch}; refusing to tombstone everything")
+        if delete_scope == "delta" and delta.isEmpty():
+            return None
     hist = scd2.apply_preset(name, heads, src, batch_dt=batch, since=F.lit(since), delete_scope=delete_scope,
                              stamp_col="processed_dt")
-    wh.write_dim(name, hist, batch)
-    return src.where(F.col("update_dt").cast("timestamp_ntz") > F.lit(since))
-
-
-def build_day_report(wh: Warehouse, state: dict, day: dt.date) -> DataFrame:
-    tx = wh.facts("transactions", day)
-    dims = {n: wh.dim(n, state[n][1] if state[n][1] is not None else None, day) for n in
-            ("terminals", *SNAPSHOT_TARGETS)}
-    bl = wh.facts("passport_blacklist", day)
-    spark = wh.spark
-    empty = {
-        "terminals": "terminal_id string, terminal_type string, terminal_city string, terminal_address string",
-        "cards": "card_num string, account_num string",
-        "accounts": "account_num string, valid_to date, client string",
-        "clients": ("client_id string, last_name string, first_name string, patronymic string, "
-                    "date_of_birth date, passport_num string, passport_valid_to date, phone string"),
-    }
-    ver = ", effective_from timestamp_ntz, effective_to timestamp_ntz, deleted_flg string"
+    wh.write_dim(name, hist, batch, load)
+    return delta
+
+
+def build_day_report(wh: Warehouse, state: dict, day: dt.date, load: int | None = None) -> DataFrame:
+    """Report of one day; only the fact partitions of that day and the day before (the look-back) are read."""
+    tx = wh.facts("transactions", upto=load, days=(day - dt.timedelta(days=1), day))
+    last = max([d for _, d in state.values() if d] + [day])
+    dims = {n: wh.dim(n, state[n][1], last, upto=load) for n in ("terminals", *SNAPSHOT_TARGETS)}
     for n, d in dims.items():
         if d is None:
-            dims[n] = spark.createDataFrame([], empty[n] + ver)
+            dims[n] = wh.spark.createDataFrame([], dim_schema(n))
+    bl = wh.facts("passport_blacklist", upto=load)
     if bl is None:
-        bl = spark.createDataFrame([], "passport_num string, entry_dt date")
+        bl = wh.spark.createDataFrame([], BLACKLIST)
     return fraud.build_report(tx, dims["terminals"], dims["cards"], dims["accounts"], dims["clients"], bl,
                               report_from=day, report_to=day)
 

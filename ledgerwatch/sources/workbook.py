@@ -14,6 +14,8 @@ from __future__ import annotations
 import io
 import re
 import zipfile
+from collections.abc import Iterator
+from itertools import islice
 from xml.etree import ElementTree as ET
 
 import pandas as pd
@@ -40,13 +42,33 @@ def _text(node) -> str:
     return "".join(t.text or "" for t in node.iter(f"{{{_NS['m']}}}t"))
 
 
-def read_sheet(data: bytes, sheet: str | None) -> list[list[str | None]]:
-    """Rows of one sheet as lists of cell text (None for empty cells)."""
+def _cell(c, shared: list[str]) -> str | None:
+    kind, v = c.get("t"), c.find("m:v", _NS)
+    if kind == "inlineStr":
+        inline = c.find("m:is", _NS)
+        return _text(inline) if inline is not None else None
+    if v is None:
+        return None
+    if kind == "s":
+        return shared[int(v.text)]
+    return ("TRUE" if v.text == "1" else "FALSE") if kind == "b" else v.text
+
+
+def _elements(part, tag: str):
+    """The elements of a tag of an XML part, one at a time: each is dropped once used."""
+    for _, node in ET.iterparse(part):
+        if node.tag == f"{{{_NS['m']}}}{tag}":
+            yield node
+            node.clear()
+
+
+def read_sheet(data: bytes, sheet: str | None) -> Iterator[list[str | None]]:
+    """Rows of one sheet as lists of cell text (None for empty cells), streamed."""
     with zipfile.ZipFile(io.BytesIO(data)) as z:
         shared = []
         if "xl/sharedStrings.xml" in z.namelist():
-            root = ET.fromstring(z.read("xl/sharedStrings.xml"))
-            shared = [_text(si) for si in root.findall("m:si", _NS)]
+            with z.open("xl/sharedStrings.xml") as part:
+                shared = [_text(si) for si in _elements(part, "si")]
         wb = ET.fromstring(z.read("xl/workbook.xml"))
         rels = ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))
         targets = {r.get("Id"): r.get("Target") for r in rels.findall("rel:Relationship", _NS)}
@@ -55,44 +77,31 @@ def read_sheet(data: bytes, sheet: str | None) -> list[list[str | None]]:
         if chosen is None:
             raise ValueError(f"sheet {sheet!r} not found")
         target = targets[chosen.get(f"{{{_NS['r']}}}id")].lstrip("/")
-        part = target if target.startswith("xl/") else f"xl/{target}"
-        root = ET.fromstring(z.read(part))
-    rows = []
-    for row in root.iter(f"{{{_NS['m']}}}row"):
-        cells: dict[int, str | None] = {}
-        for pos, c in enumerate(row.findall("m:c", _NS)):
-            idx = _col_index(c.get("r")) if c.get("r") else pos
-            t = c.get("t")
-            v = c.find("m:v", _NS)
-            if t == "s":
-                val = shared[int(v.text)] if v is not None else None
-            elif t == "inlineStr":
-                is_ = c.find("m:is", _NS)
-                val = _text(is_) if is_ is not None else None
-            elif t == "b":
-                val = None if v is None else ("TRUE" if v.text == "1" else "FALSE")
-            else:
-                val = v.text if v is not None else None
-            cells[idx] = val
-        width = max(cells) + 1 if cells else 0
-        rows.append([cells.get(i) for i in range(width)])
-    return rows
+        with z.open(target if target.startswith("xl/") else f"xl/{target}") as part:
+            for row in _elements(part, "row"):
+                cells = {_col_index(c.get("r")) if c.get("r") else pos: _cell(c, shared)
+                         for pos, c in enumerate(row.findall("m:c", _NS))}
+                yield [cells.get(i) for i in range(max(cells) + 1 if cells else 0)]
+
+
+DECODED_ROWS = 10_000   # rows of a sheet held at once
 
 
 def _decoder(sheet: str | None, ncols: int, header: bool):
-    names = [f"c{i}" for i in range(ncols)]
+    names = ["path", "row_idx", *[f"c{i}" for i in range(ncols)]]
 
     def decode(batches):
         for pdf in batches:
-            out = []
             for path, content in zip(pdf["path"], pdf["content"]):
-                rows = read_sheet(bytes(content), sheet)
-                for i, r in enumerate(rows[1:] if header else rows):
+                out = []
+                for i, r in enumerate(islice(read_sheet(bytes(content), sheet), 1 if header else 0, None)):
                     vals = (r + [None] * ncols)[:ncols]
-                    if all(v is None for v in vals):
-                        continue
-                    out.append([path, i, *vals])
-            yield pd.DataFrame(out, columns=["path", "row_idx", *names])
+                    if any(v is not None for v in vals):
+                        out.append([path, i, *vals])
+                    if len(out) == DECODED_ROWS:
+                        yield pd.DataFrame(out, columns=names)
+                        out = []
+                yield pd.DataFrame(out, columns=names)
     return decode
 
 
@@ -106,11 +115,13 @@ def read_workbooks(spark: SparkSession, path: str, *, glob: str, sheet: str | No
 
 
 def cell_date(c: str | Column) -> Column:
-    """A date cell: Excel serial number, or ISO ``yyyy-MM-dd[ HH:mm:ss]`` text."""
-    x = F.trim(F.col(c) if isinstance(c, str) else c)
+    """A date cell: Excel serial number, or ISO ``yyyy-MM-dd[ HH:mm:ss]`` text; empty is null, anything else an error."""
+    x = F.nullif(F.trim(F.col(c) if isinstance(c, str) else c), F.lit(""))
     serial = x.try_cast("double")
     from_serial = F.date_add(F.lit(_EXCEL_EPOCH).cast("date"), F.floor(serial).cast("int"))
-    return F.when(serial.isNotNull(), from_serial).otherwise(F.try_to_date(F.substring(x, 1, 10), "yyyy-MM-dd"))
+    return F.when(serial.isNotNull(), from_serial).otherwise(F.coalesce(
+        F.try_to_date(F.substring(x, 1, 10), "yyyy-MM-dd"),
+        F.when(x.isNotNull(), F.raise_error(F.concat(F.lit("not a date: "), x)).cast("date"))))
 
 
 def read_terminals(spark: SparkSession, path: str, *, glob: str = "terminals_*.xlsx",

@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerwatch.operators import facts
 from ledgerwatch.operators.incremental import stamp_batch_date
@@ -31,27 +32,29 @@ def transactions_stream(spark: SparkSession, landing: str, archive_dir: str | No
     typed = raw.select(
         "trans_id", F.to_timestamp_ntz(F.trim("trans_date"), F.lit(TIMESTAMP_FORMAT)).alias("trans_date"),
         "card_num", "oper_type", parse_decimal_comma("amt").alias("amt"), "oper_result", "terminal", "__file")
-    return stamp_batch_date(typed, "__file").drop("__file")
+    return stamp_batch_date(typed, "__file").withColumnRenamed("__file", "src_file")
 
 
 def append_transactions(target_path: str):
-    """foreachBatch handler: append the micro-batch's absent trans_ids to the
-    fact table, one partition per file date (``load_dt``); a replayed
-    micro-batch overwrites the same partitions."""
+    """foreachBatch handler: append the micro-batch's absent trans_ids to the fact table.
+
+    Rows are stored by source file (``src_file``), so files of one date, in one
+    micro-batch or in several, never replace each other; a replayed file
+    replaces exactly its own rows, and is checked against all other files'.
+    The overwrite mode is set on the write itself.
+    """
     def handle(batch: DataFrame, epoch_id: int):
         spark = batch.sparkSession
-        try:
-            target = spark.read.parquet(target_path)
-            dates = batch.select("update_dt").distinct()
-            target = target.join(dates.withColumnRenamed("update_dt", "load_dt"), "load_dt", "left_anti")
-            target = target.drop("load_dt")
-        except Exception as e:  # first batch: no table yet
-            if "PATH_NOT_FOUND" not in str(e) and "UNABLE_TO_INFER_SCHEMA" not in str(e):
-                raise
-            target = None
+        names = [f for f in batch.schema.fields if f.name not in ("update_dt", "src_file")]
+        schema = T.StructType([*names, T.StructField("load_dt", T.DateType()), T.StructField("src_file", T.StringType())])
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target_path)
+        target = None
+        if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+            own = batch.select("src_file").distinct()
+            target = spark.read.schema(schema).parquet(target_path).join(own, "src_file", "left_anti")
         new = facts.append_absent(target, batch, "trans_id")
         (new.withColumnRenamed("update_dt", "load_dt").write.mode("overwrite")
-            .partitionBy("load_dt").parquet(target_path))
+            .option("partitionOverwriteMode", "dynamic").partitionBy("src_file").parquet(target_path))
     return handle
 
 

@@ -60,7 +60,7 @@ def test_end_to_end(spark, tmp_dir):
     landing, root = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "dwh")
     os.makedirs(landing)
     counts = write_landing(spark, landing)
-    out = pipeline.run_pending(spark, landing, root, snapshots=readers())
+    out = pipeline.run_pending(spark, landing, root, snapshots=readers(), keep_heads=None)
     assert [o["batch"] for o in out] == DAYS
     assert all(len(o["ran"]) == 7 for o in out), out
     wh = Warehouse(spark, root)
@@ -190,7 +190,7 @@ def test_crash_before_commit_then_rerun(spark, tmp_dir):
     landing, wh = fresh("crash")
     pipeline.run_batch(spark, wh, landing, DAYS[0], snapshots=readers())
     real_commit = wh.commit
-    def boom(meta, batch):
+    def boom(state, taken, load):
         raise RuntimeError("executor lost before commit")
     wh.commit = boom
     try:
@@ -211,3 +211,185 @@ def test_crash_before_commit_then_rerun(spark, tmp_dir):
     for name in ("terminals", *SOURCES):
         assert rows(wh.dim(name, state[name].last_load_dt, DAYS[1])) == \
             rows(clean.dim(name, state[name].last_load_dt, DAYS[1])), name
+
+
+# ---- nothing is lost: late families, crashes, changed sources, foreign sessions ----
+
+def _landing(spark, tmp_dir, name="x"):
+    landing, root = os.path.join(tmp_dir, name, "landing"), os.path.join(tmp_dir, name, "dwh")
+    os.makedirs(landing)
+    return landing, Warehouse(spark, root)
+
+
+def _put_tx(landing, day, ids, amt="1,50"):
+    with open(os.path.join(landing, f"transactions_{day:%d%m%Y}.txt"), "w") as f:
+        f.write("transaction_id;transaction_date;amount;card_num;oper_type;oper_result;terminal\n")
+        f.writelines(f"{i};{day} 10:00:00;{amt};c1;P;SUCCESS;T1\n" for i in ids)
+
+
+def _ids(wh):
+    df = wh.facts("transactions")
+    return sorted(r.trans_id for r in df.collect()) if df is not None else []
+
+
+def test_family_arriving_after_others_of_its_date(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    cards = {"cards": lambda spark, b: fx.card_source(spark, SF_SMALL, 1)}
+    assert pipeline.run_batch(spark, wh, landing, DAYS[1], snapshots=cards)["ran"] == ["cards"]
+    _put_tx(landing, DAYS[0], ["a"])       # an earlier date, and the committed date, of another family
+    _put_tx(landing, DAYS[1], ["b"])
+    out = pipeline.run_pending(spark, landing, wh.root, snapshots=cards)
+    assert ["transactions" in o["ran"] for o in out] == [True, True] and not any("cards" in o["ran"] for o in out)
+    assert _ids(wh) == ["a", "b"] and sorted(os.listdir(landing)) == ["archive"]
+
+
+def test_file_older_than_its_own_target_is_reported(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    _put_tx(landing, DAYS[1], ["b"])
+    pipeline.run_batch(spark, wh, landing, DAYS[1])
+    _put_tx(landing, DAYS[0], ["a"])
+    out = pipeline.run_batch(spark, wh, landing, DAYS[0])
+    assert out["ran"] == [] and [os.path.basename(f) for f in out["late"]] == ["transactions_01012024.txt"]
+    assert os.path.exists(out["late"][0]) and _ids(wh) == ["b"]
+
+
+def test_half_written_commit_does_not_count(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    cards = {"cards": lambda spark, b: fx.card_source(spark, SF_SMALL, _day_no(b))}
+    pipeline.run_batch(spark, wh, landing, DAYS[0], snapshots=cards)
+    before = rows(wh.dim("cards", DAYS[0], DAYS[0]))
+    os.makedirs(os.path.join(wh.root, "meta", "load_id=2", "_temporary"))   # died inside the meta write
+    os.makedirs(os.path.join(wh.root, "dims", "cards", "load_id=2", f"load_dt={DAYS[1]}", "part=heads"))
+    assert wh.committed_id() == 1 and wh.committed() == DAYS[0]
+    assert rows(wh.dim("cards", DAYS[0], DAYS[0])) == before
+    assert "cards" in pipeline.run_batch(spark, wh, landing, DAYS[1], snapshots=cards)["ran"]
+    assert wh.committed_id() == 2 and len(rows(wh.dim("cards", DAYS[1], DAYS[1]))) >= len(before)
+
+
+def test_source_that_changed_before_the_rerun(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    _put_tx(landing, DAYS[0], ["a", "gone"])
+    real = wh.commit
+    wh.commit = lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    try:
+        pipeline.run_batch(spark, wh, landing, DAYS[0])
+        raise AssertionError("expected the simulated crash")
+    except RuntimeError:
+        pass
+    wh.commit = real
+    assert _ids(wh) == []
+    _put_tx(landing, DAYS[0], [])
+    pipeline.run_batch(spark, wh, landing, DAYS[0])
+    assert _ids(wh) == []                  # no row of the failed attempt is left
+
+
+def test_session_in_static_overwrite_mode(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
+    try:
+        for d, i in zip(DAYS, "abc"):
+            _put_tx(landing, d, [i])
+            pipeline.run_batch(spark, wh, landing, d)
+        stream_in, target = os.path.join(tmp_dir, "s_in"), os.path.join(tmp_dir, "s_facts")
+        os.makedirs(stream_in)
+        for d, i in zip(DAYS, "xyz"):
+            _put_tx(stream_in, d, [i])
+        s = ingest.transactions_stream(spark, stream_in, max_files=1)
+        ingest.ingest_available(s, ingest.append_transactions(target), os.path.join(tmp_dir, "s_ckpt"))
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert _ids(wh) == ["a", "b", "c"]
+    assert sorted(r.trans_id for r in spark.read.parquet(target).collect()) == ["x", "y", "z"]
+
+
+def test_crash_between_commit_and_archiving(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    _put_tx(landing, DAYS[0], ["a"])
+    real = wh.archive
+    wh.archive = lambda *a: (_ for _ in ()).throw(RuntimeError("lost"))
+    try:
+        pipeline.run_batch(spark, wh, landing, DAYS[0])
+        raise AssertionError("expected the simulated crash")
+    except RuntimeError:
+        pass
+    wh.archive = real
+    assert wh.committed() == DAYS[0] and _ids(wh) == ["a"]
+    assert pipeline.run_batch(spark, wh, landing, DAYS[0])["ran"] == []
+    assert os.listdir(os.path.join(landing, "archive")) == ["transactions_01012024.txt.backup"] and _ids(wh) == ["a"]
+
+
+def test_quiet_day_leaves_a_dimension_as_it_is(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    cards = {"cards": lambda spark, b: fx.card_source(spark, SF_SMALL, 1)}
+    pipeline.run_batch(spark, wh, landing, DAYS[0], snapshots=cards)
+    before = rows(wh.dim("cards", DAYS[0], DAYS[0]))
+    old_rows = {"cards": lambda spark, b: fx.card_source(spark, SF_SMALL, 1)
+                .withColumn("update_dt", F.lit(dt.date(2000, 1, 1)))}
+    _put_tx(landing, DAYS[1], ["a"])
+    out = pipeline.run_batch(spark, wh, landing, DAYS[1], snapshots=old_rows)
+    assert "transactions" in out["ran"] and out["quiet"] == ["cards"] and wh.committed() == DAYS[1]
+    assert rows(wh.dim("cards", DAYS[0], DAYS[1])) == before
+
+
+def test_staging_and_old_heads_go_after_the_commit(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    cards = {"cards": lambda spark, b: fx.card_source(spark, SF_SMALL, _day_no(b))}
+    for d in DAYS[:2]:
+        pipeline.run_batch(spark, wh, landing, d, snapshots=cards, keep_heads=1)
+    assert wh._load_ids(wh.path("staging")) == []
+    heads = [p for p, _, _ in os.walk(os.path.join(wh.root, "dims", "cards")) if p.endswith("part=heads")]
+    assert len(heads) == 1 and "load_id=2" in heads[0]
+
+
+def test_meta_columns_and_length_limits(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    _put_tx(landing, DAYS[0], ["a"])
+    pipeline.run_batch(spark, wh, landing, DAYS[0])
+    r = wh.meta().where("table_name = 'transactions'").first()
+    assert r.schema_name == "ledgerwatch" and r.processed_dt is not None and r.last_load_dt == DAYS[0]
+    _put_tx(landing, DAYS[1], ["x" * 12])
+    try:
+        pipeline.run_batch(spark, wh, landing, DAYS[1])
+        raise AssertionError("expected a length error")
+    except AssertionError:
+        raise
+    except Exception as e:
+        assert "value too long for trans_id" in str(e)
+    assert wh.committed() == DAYS[0]
+
+
+def test_report_reads_the_partitions_of_two_days_only(spark, tmp_dir):
+    landing, wh = _landing(spark, tmp_dir)
+    for d in DAYS:
+        _put_tx(landing, d, [f"t{d.day}"])
+        pipeline.run_batch(spark, wh, landing, d)
+    plan = pipeline.build_day_report(wh, pipeline._state(wh.meta()), DAYS[2])._jdf.queryExecution().executedPlan().toString()
+    assert "event_day" in plan.split("PartitionFilters")[1][:200]
+
+
+def test_stream_keeps_files_of_one_date(spark, tmp_dir):
+    landing = os.path.join(tmp_dir, "in")
+    os.makedirs(landing)
+    target = os.path.join(tmp_dir, "facts")
+    for part, i in (("a", "1"), ("b", "2")):
+        with open(os.path.join(landing, f"transactions_{part}_01012024.txt"), "w") as f:
+            f.write(f"h;h;h;h;h;h;h\n{i};2024-01-01 10:00:00;1,5;c;P;SUCCESS;T1\n")
+    for ckpt in ("c1", "c2"):              # two micro-batches; then a second run replays both
+        s = ingest.transactions_stream(spark, landing, max_files=1)
+        ingest.ingest_available(s, ingest.append_transactions(target), os.path.join(tmp_dir, ckpt))
+        assert sorted(r.trans_id for r in spark.read.parquet(target).collect()) == ["1", "2"]
+
+
+def test_names_and_cells_without_a_date_are_errors(spark):
+    from ledgerwatch.operators.incremental import stamp_batch_date
+    from ledgerwatch.sources.workbook import cell_date
+    df = spark.createDataFrame([("01.03.2021", "x.txt")], "c string, f string")
+    for bad in (df.select(cell_date("c")), stamp_batch_date(df, "f")):
+        try:
+            bad.collect()
+            raise AssertionError("expected an error")
+        except AssertionError:
+            raise
+        except Exception as e:
+            assert "not a date" in str(e) or "no date in file name" in str(e)
