@@ -51,7 +51,7 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
                       city_window: int = CITY_WINDOW, guess_window: int = GUESS_WINDOW,
                       attempts: int = GUESS_ATTEMPTS, bucket: int | None = None,
                       hot_rows: int | None = HOT_ROWS, rules: tuple[int, ...] = (3, 4),
-                      include_current: bool = False,
+                      include_current: bool = False, repeated_ids: bool = False,
                       report_from: dt.date | str | None = None,
                       report_to: dt.date | str | None = None) -> DataFrame:
     """Successful transactions of the report days with rule 3/4 flags.
@@ -63,7 +63,10 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     than ``hot_rows`` rows of one card is cut into sub-buckets (``None`` turns
     the per-bucket statistics pass off). ``include_current`` also counts the
     current operation's own city in rule 3 (the original leaves it out; off by
-    default for parity). ``report_from``/``report_to`` (inclusive days) bound
+    default for parity). ``repeated_ids`` judges an id that several successful
+    rows of a day share by the look-backs of all of them together (rows without
+    earlier operations add nothing); leave it off where ids are unique. A row
+    without an id is never flagged. ``report_from``/``report_to`` (inclusive days) bound
     the scan to the report days plus the look-back, so a fact table stored by
     time is pruned.
     """
@@ -99,6 +102,7 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     else:
         city = F.lit(None).cast("string")
     t = t.select(*[c for c in t.columns if c != "__city_raw"], city.alias("__city"), valid.alias("__valid"))
+    rows = t
     t = lookback_buckets(t, key="card_num", seconds="__sec", lookback=lookback, bucket=bucket,
                          valid=F.col("__valid"), splits=splits)
 
@@ -106,7 +110,7 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     # on the JVM. All share partitioning and order, so they run on one
     # exchange and one sort.
     part = f"PARTITION BY card_num, {BUCKET}"
-    rows_order = f"{part} ORDER BY __sec, trans_id"
+    rows_order = f"{part} ORDER BY __sec, trans_id, amt, oper_result"
     prior = f"OVER ({rows_order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
     upto = f"OVER ({rows_order} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     lagw = f"OVER ({rows_order})"
@@ -161,13 +165,63 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
                        f"AND coalesce(least({least}) > amt, false)")
 
     # candidates: successful, with a time (a null time has no report day)
+    named = F.col("__valid") & F.col("trans_id").isNotNull()
     out = t.where(~F.col(CONTEXT) & F.col("__ok") & F.col("trans_date").isNotNull())
     out = out.select("trans_id", "trans_date", "card_num", "amt",
                      F.to_date("trans_date").alias("report_dt"),
-                     (F.col("__valid") & city_hop).alias("city_hop"),
-                     (F.col("__valid") & true_or_false(guess)).alias("amount_guess"))
+                     (named & city_hop).alias("city_hop"), (named & true_or_false(guess)).alias("amount_guess"))
     if report_from is not None:
         out = out.where(F.col("report_dt") >= F.lit(report_from).cast("date"))
+    if repeated_ids:
+        shared = _shared_id_flags(rows, city_window if do3 else 0, guess_window if do4 else 0, attempts, include_current)
+        out = out.join(shared, ["trans_id", "report_dt"], "left").select(
+            "trans_id", "trans_date", "card_num", "amt", "report_dt",
+            F.coalesce("__hop", "city_hop").alias("city_hop"), F.coalesce("__guess", "amount_guess").alias("amount_guess"))
+    return out
+
+
+def _shared_id_flags(rows: DataFrame, city_window: int, guess_window: int, attempts: int,
+                     include_current: bool) -> DataFrame:
+    """(trans_id, report_dt, __hop, __guess) of ids that several successful rows of a day share.
+
+    Only these rows meet their look-backs, by an equi join on card and time
+    bucket. Cities are reduced to their least and greatest; of the earlier
+    operations only the latest ``attempts + 1`` of an id matter, and the ranking
+    drops the others before its shuffle, so an id repeated very often is no hot group.
+    """
+    day = F.to_date("trans_date").alias("report_dt")
+    paid = rows.where(F.col("__ok") & F.col("trans_date").isNotNull() & F.col("trans_id").isNotNull())
+    shared = paid.groupBy("trans_id", day).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
+    look = max(city_window, guess_window)
+    own = paid.where("__valid").select("trans_id", day, "card_num", "amt", F.col("__sec").alias("__now"),
+                                       F.col("__city").alias("__own_city")).join(shared, ["trans_id", "report_dt"], "left_semi")
+    slot = F.floor(F.col("__now") / look)
+    own = own.withColumn("__slot", F.explode(F.array(slot - 1, slot)))
+    past = rows.where("__valid").select(
+        F.col("card_num").alias("__pc"), F.floor(F.col("__sec") / look).alias("__ps"), F.col("__sec").alias("sec"),
+        F.col("trans_id").alias("id"), F.col("amt").alias("pamt"), F.col("oper_result").alias("res"), "__city", "__ok")
+    back = F.col("__now") - F.col("sec")
+    pairs = own.join(past, (F.col("card_num") == F.col("__pc")) & (F.col("__slot") == F.col("__ps")) & back.between(1, look))
+    key = ["trans_id", "report_dt"]
+    out = shared.withColumns({"__hop": F.lit(False), "__guess": F.lit(False)})
+    if city_window:
+        seen = pairs.where(F.col("__ok") & (back <= city_window)).select(*key, "__city")
+        if include_current:
+            seen = seen.unionByName(own.select(*key, F.col("__own_city").alias("__city")))
+        hops = seen.groupBy(*key).agg((F.min("__city") < F.max("__city")).alias("__h"))
+        out = out.join(hops, key, "left").withColumn("__hop", F.coalesce("__h", F.lit(False))).drop("__h")
+    if guess_window:
+        latest = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in ("sec", "id", "pamt", "res", "amt")])
+        tops = pairs.where(back <= guess_window).select(*key, "sec", "id", "pamt", "res", "amt",
+                                                        F.row_number().over(latest).alias("__rank")) \
+            .where(F.col("__rank") <= attempts + 1)
+        listed = tops.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("__rank", "pamt", "res", "amt"))).alias("xs"))
+        bad = (f"coalesce(y.res = '{SUCCESS}', false) OR coalesce(coalesce(get(xs, y.__rank).pamt, y.pamt + 1) - y.pamt <= 0, "
+               "false) OR coalesce(y.pamt <= x.amt, false)")
+        good = listed.select(*key, F.expr(
+            f"size(xs) >= {attempts} AND exists(slice(xs, 1, {attempts}), x -> forall(slice(xs, 1, {attempts}), "
+            f"y -> coalesce(y.amt <> x.amt, true) OR NOT ({bad})))").alias("__g"))
+        out = out.join(good, key, "left").withColumn("__guess", F.coalesce("__g", F.lit(False))).drop("__g")
     return out
 
 

@@ -223,6 +223,35 @@ def q_report_history(spark, sf):
                            d["clients"], fx.blacklist_static(spark, sf))
 
 
+def with_repeated_ids(tx: DataFrame) -> DataFrame:
+    """Transactions plus repeats of ids: every seventh row once more as it is, every fifth one again 20 minutes
+    later at another terminal for another amount, and every eleventh one again without an id."""
+    k = F.col("trans_id").cast("bigint")
+    later = tx.where(k % 5 == 0).withColumn("trans_date", F.col("trans_date") + F.expr("INTERVAL 20 MINUTES")) \
+        .withColumn("terminal", ((F.col("terminal").cast("int") + 7) % fx.TERMINAL_MOD).cast("string")) \
+        .withColumn("amt", (F.col("amt") / 2).cast("decimal(12,2)"))
+    nameless = tx.where(k % 11 == 0).withColumn("trans_id", F.lit(None).cast("string"))
+    return tx.unionByName(tx.where(k % 7 == 0)).unionByName(later).unionByName(nameless)
+
+
+def repeated_ids_sql(tx_sql: str) -> str:
+    k = "cast(trans_id as bigint)"
+    return f"""select * from ({tx_sql})
+      union all select * from ({tx_sql}) where {k} % 7 = 0
+      union all select trans_id, trans_date + interval 20 minute, card_num, oper_type, cast(amt / 2 as decimal(12,2)),
+          oper_result, cast((cast(terminal as integer) + 7) % {fx.TERMINAL_MOD} as varchar)
+        from ({tx_sql}) where {k} % 5 = 0
+      union all select null, trans_date, card_num, oper_type, amt, oper_result, terminal from ({tx_sql}) where {k} % 11 = 0"""
+
+
+def q_report_repeated_ids(spark, sf):
+    """Whole report where ids repeat: rules 3 and 4 judge an id by all its rows of a day together."""
+    tx = with_repeated_ids(fx.transactions(spark, sf, CARD_MOD_RULES34))
+    d = fx.static_dims(spark, sf)
+    return fr.build_report(tx, d["terminals"], d["cards"], d["accounts"], d["clients"], d["blacklist"],
+                           repeated_ids=True)
+
+
 QUERIES: dict[str, Query] = {
     "tx_typed": q_tx_typed,
     "valid_at_cards": q_valid_at_cards,
@@ -251,6 +280,7 @@ QUERIES: dict[str, Query] = {
     "scd2_cards_snapshot_scope": q_scd2_cards_snapshot_scope,
     "rule3_flagged_with_current": q_rule3_flagged_with_current,
     "fraud_report_blacklist_repeats": q_report_blacklist_repeats,
+    "fraud_report_repeated_ids": q_report_repeated_ids,
 }
 
 
@@ -267,14 +297,19 @@ def _sql_fraud():
         "rule4_amount_guess": orc.fraud_query_sql(orc.rule_sql(4, window=RULE4_WIDE_WINDOW),
                                                   card_mod=CARD_MOD_RULES34, success_types=PURCHASE_ONLY),
         "rule4_amount_guess_native": orc.fraud_query_sql(orc.rule_sql(4), card_mod=1),
-        "rule3_flagged": orc.with_ctes(orc.fraud_ctes(card_mod=CARD_MOD_RULES34), orc.rule3_flags_sql()),
+        "rule3_flagged": orc.with_ctes(orc.fraud_ctes(card_mod=CARD_MOD_RULES34),
+                                       orc.flagged_ids_sql(orc.rule3_days_sql())),
         "rule4_flagged": orc.with_ctes(orc.fraud_ctes(card_mod=CARD_MOD_RULES34, success_types=PURCHASE_ONLY),
-                                       orc.rule4_flags_sql(RULE4_WIDE_WINDOW)),
+                                       orc.flagged_ids_sql(orc.rule4_days_sql(RULE4_WIDE_WINDOW))),
         "fraud_report": orc.report_sql(),
         "fraud_report_rules34": orc.report_sql(card_mod=CARD_MOD_RULES34),
         "fraud_report_blacklist_repeats": orc.report_sql(blacklist_sql=BLACKLIST_REPEATS_SQL),
         "tx_typed": fx.transactions_sql(),
     }
+    repeated = orc.fraud_ctes(card_mod=CARD_MOD_RULES34)
+    repeated["tx"] = repeated_ids_sql(repeated["tx"])
+    repeated["cand"] = orc.CANDIDATES_SQL
+    out["fraud_report_repeated_ids"] = orc.with_ctes(repeated, "\nunion all\n".join(orc.rule_sql(n) for n in (1, 2, 3, 4)))
     ctes = orc.fraud_ctes()
     out["valid_at_cards"] = orc.with_ctes(ctes, """select t.trans_id, t.trans_date, t.card_num, cd.account_num
       from tx t left join cards cd on t.card_num = cd.card_num and cd.deleted_flg = 'N'
@@ -326,12 +361,12 @@ def _sql_scd2():
     out["scd2_cards_snapshot_scope"] = orc.with_ctes(
         _sql_preset_ctes("cards", fx.card_source_sql, d, delete_scope="snapshot"), "select * from cards_h2")
     out["rule3_flagged_with_current"] = orc.with_ctes(orc.fraud_ctes(card_mod=CARD_MOD_RULES34),
-                                                      orc.rule3_flags_sql(include_current=True))
+                                                      orc.flagged_ids_sql(orc.rule3_days_sql(include_current=True)))
     d_ = d
     ctes = orc.fraud_ctes()
     ctes["src1"] = fx.terminal_source_sql(1)
     ctes["src2"] = fx.terminal_source_sql(2)
-    p = scd2.PRESETS["terminals"]
+    p = orc.PRESETS["terminals"]
     ctes["th1"] = "select * from " + orc.scd2_step_sql(
         orc.empty_hist_sql("src1", p["key"], p["attrs"]), "src1", key=p["key"], attrs=p["attrs"],
         batch_dt=d_[0], start_col=p["start_col"], delete_scope=p["delete_scope"],
@@ -348,7 +383,7 @@ def _sql_scd2():
 
 def _sql_preset_ctes(name, src_sql, d, **overrides) -> dict[str, str]:
     """CTEs ``<name>_raw1.. <name>_h2``: two batches of a preset in SQL."""
-    p = {**scd2.PRESETS[name], **overrides}
+    p = {**orc.PRESETS[name], **overrides}
     key, attrs = p["key"], p["attrs"]
     ctes = {}
     for day in (1, 2):

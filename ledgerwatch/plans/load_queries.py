@@ -119,7 +119,7 @@ LANDING_SQL = """select file_name from (
       union all select 'terminals_' || strftime(d, '%d%m%Y') || '.xlsx' from days where day(d) % 2 = 1
       union all select 'passport_blacklist_' || strftime(d, '%d%m%Y') || '.xlsx' from days where day(d) % 5 = 0
       union all select 'notes_' || strftime(d, '%d%m%Y') || '.txt' from days where day(d) % 7 = 0)"""
-_PAT = discovery.NAME_PATTERN
+_PAT = orc.BATCH_FILE
 PARSED_SQL = f"""select regexp_extract(file_name, '{_PAT}', 1) as family,
         cast(strptime(regexp_extract(file_name, '{_PAT}', 2), '%d%m%Y') as date) as batch_dt
       from names where regexp_extract(file_name, '{_PAT}', 1) <> ''"""
@@ -132,7 +132,7 @@ def q_batch_discovery(spark, sf):
 
 
 SQL_BATCH_DISCOVERY = orc.with_ctes(_DISC_CTES, "select batch_dt, " + ", ".join(
-    f"coalesce(bool_or(family = '{f}'), false) as has_{f}" for f in discovery.FAMILIES)
+    f"coalesce(bool_or(family = '{f}'), false) as has_{f}" for f in orc.FAMILIES)
     + " from parsed group by batch_dt")
 
 
@@ -178,62 +178,52 @@ SQL_PRESENT_SNAPSHOT = orc.with_ctes(_PK_CTES, "select card_num from src2")
 # ---- H8 / H9 fact appends --------------------------------------------------------------
 
 def q_append_absent_tx(spark, sf):
+    """Target: ids with an id modulo 10 below 6; batch: those from 4 on, the sevens twice. Every row takes part."""
     tx = fx.transactions(spark, sf)
-    day = F.to_date("trans_date")
-    target = tx.where(day <= F.lit("2024-01-20").cast("date"))
-    batch = tx.where(day.between(F.lit("2024-01-15").cast("date"), F.lit("2024-01-25").cast("date"))) \
-        .unionByName(tx.where(day == F.lit("2024-01-22").cast("date")))
-    return facts.append_absent(target, batch, "trans_id")
+    part = F.col("trans_id").cast("bigint") % 10
+    batch = tx.where(part >= 4).unionByName(tx.where(part == 7))
+    return facts.append_absent(tx.where(part < 6), batch, "trans_id")
 
 
 SQL_APPEND_TX = orc.with_ctes(
     {"tx": fx.transactions_sql(),
-     "target": "select * from tx where cast(trans_date as date) <= date '2024-01-20'",
-     "batch": ("select * from tx where cast(trans_date as date) between date '2024-01-15' and date '2024-01-25' "
-               "union all select * from tx where cast(trans_date as date) = date '2024-01-22'")},
-    "select b.* from batch b left join target t on b.trans_id = t.trans_id where t.trans_id is null")
+     "batch": ("select * from tx where cast(trans_id as bigint) % 10 >= 4 "
+               "union all select * from tx where cast(trans_id as bigint) % 10 = 7")},
+    "select * from batch where cast(trans_id as bigint) % 10 >= 6")
 
 
 def blacklist_batch(spark, sf) -> DataFrame:
-    """A blacklist file's rows: passports of customers with a balance below 500,
-    and a second, later entry for every other negative-balance customer."""
-    c = fx.table(spark, sf, "customer")
+    """A blacklist file's rows: the passport of every customer, and a second, later entry for every other one."""
     k = F.col("c_custkey")
-    p = F.concat(F.lit("P"), k.cast("string"))
-    a = c.where(F.col("c_acctbal") < 500).select(p.alias("passport_num"),
-                                                  F.date_add(F.lit(fx.BASE_DAY), (k % 30).cast("int")).alias("entry_dt"))
-    b = c.where((F.col("c_acctbal") < 0) & (k % 2 == 0)).select(
-        p.alias("passport_num"), F.date_add(F.lit(fx.BASE_DAY), (k % 30 + 3).cast("int")).alias("entry_dt"))
-    return a.unionByName(b)
+    day = F.date_add(F.lit(fx.BASE_DAY), (k % 30).cast("int"))
+    c = fx.table(spark, sf, "customer").select(F.concat(F.lit("P"), k.cast("string")).alias("passport_num"),
+                                               day.alias("entry_dt"), (k % 2 == 0).alias("again"))
+    return c.drop("again").unionByName(
+        c.where("again").select("passport_num", F.date_add("entry_dt", 3).alias("entry_dt")))
 
 
 BL_BATCH_SQL = """select 'P' || cast(c_custkey as varchar) as passport_num,
-        date '2024-01-01' + cast(c_custkey % 30 as integer) as entry_dt from customer where c_acctbal < 500
+        date '2024-01-01' + cast(c_custkey % 30 as integer) as entry_dt from customer
       union all
       select 'P' || cast(c_custkey as varchar), date '2024-01-01' + cast(c_custkey % 30 + 3 as integer)
-        from customer where c_acctbal < 0 and c_custkey % 2 = 0"""
-
-
-def _bl_target(spark, sf):
-    return fx.blacklist_static(spark, sf).where(F.col("entry_dt") <= F.lit("2024-01-10").cast("date"))
+        from customer where c_custkey % 2 = 0"""
 
 
 def q_append_absent_blacklist(spark, sf):
-    return facts.append_absent(_bl_target(spark, sf), blacklist_batch(spark, sf), "passport_num")
+    return facts.append_absent(fx.blacklist_static(spark, sf), blacklist_batch(spark, sf), "passport_num")
 
 
 def q_append_absent_blacklist_dedup(spark, sf):
-    return facts.append_absent(_bl_target(spark, sf), blacklist_batch(spark, sf), "passport_num",
+    return facts.append_absent(fx.blacklist_static(spark, sf), blacklist_batch(spark, sf), "passport_num",
                                dedupe_within_batch=True, first_by="entry_dt")
 
 
-_BL_CTES = {"target": f"select * from ({fx.BLACKLIST_STATIC_SQL}) where entry_dt <= date '2024-01-10'",
-            "batch": BL_BATCH_SQL}
+_BL_CTES = {"target": fx.BLACKLIST_STATIC_SQL, "batch": BL_BATCH_SQL}
 SQL_APPEND_BL = orc.with_ctes(
-    _BL_CTES, "select b.* from batch b left join target t on b.passport_num = t.passport_num where t.passport_num is null")
+    _BL_CTES, "select * from batch b where not exists (select 1 from target t where t.passport_num = b.passport_num)")
 SQL_APPEND_BL_DEDUP = orc.with_ctes(
-    {**_BL_CTES, "firsts": "select passport_num, min(entry_dt) as entry_dt from batch group by passport_num"},
-    "select b.* from firsts b left join target t on b.passport_num = t.passport_num where t.passport_num is null")
+    _BL_CTES, """select passport_num, min(entry_dt) as entry_dt from batch b
+      where not exists (select 1 from target t where t.passport_num = b.passport_num) group by passport_num""")
 
 
 # ---- one report day (day slice + look-back across midnight) ----------------------------

@@ -198,7 +198,7 @@ def build_day_report(wh: Warehouse, state: dict, day: dt.date, load: int | None
     if bl is None:
         bl = wh.spark.createDataFrame([], BLACKLIST)
     return fraud.build_report(tx, dims["terminals"], dims["cards"], dims["accounts"], dims["clients"], bl,
-                              report_from=day, report_to=day)
+                              report_from=day, report_to=day, repeated_ids=True)
 
 
 def run_pending(spark: SparkSession, landing: str, warehouse: str, **kw) -> list[dict]:

@@ -45,8 +45,8 @@ def duck_flags(rows, city_window=3600, guess_window=1200, include_current=False)
     con.sql(f"create view terminals as select terminal_id, terminal_city, "
             f"timestamp '2000-01-01' as effective_from, timestamp '9999-12-31' as effective_to, "
             f"'N' as deleted_flg from (values {vals}) v(terminal_id, terminal_city)")
-    r3 = {r[0] for r in con.sql(orc.rule3_flags_sql(city_window, include_current)).fetchall()}
-    r4 = {r[0] for r in con.sql(orc.rule4_flags_sql(guess_window)).fetchall()}
+    r3 = {r[0] for r in con.sql(orc.flagged_ids_sql(orc.rule3_days_sql(city_window, include_current))).fetchall()}
+    r4 = {r[0] for r in con.sql(orc.flagged_ids_sql(orc.rule4_days_sql(guess_window))).fetchall()}
     return r3, r4
 
 
