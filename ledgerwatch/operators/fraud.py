@@ -31,8 +31,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import SUCCESS, epoch_seconds, full_name, true_or_false
-from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, DIM_BROADCAST_ROWS, hot_bucket_splits,
-                                            lookback_buckets, max_splits, salt_null_key, valid_at_join)
+from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, hot_bucket_splits, lookback_buckets, max_splits,
+                                            salt_null_key, valid_at_join)
 
 CITY_WINDOW = 3600      # rule 3 look-back, seconds
 GUESS_WINDOW = 1200     # rule 4 look-back, seconds
@@ -93,11 +93,9 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
                                    bucket=bucket, hot_rows=hot_rows, max_splits=max_splits(lookback, bucket),
                                    valid=valid)
     if do3:
-        # every transaction looks up its terminal: broadcast the terminal history
-        # after a bounded size check rather than shuffling all transactions
+        # every transaction looks up its terminal; Spark broadcasts the history if its bytes allow it
         t = valid_at_join(t, terminals, fact_key="terminal", dim_key="terminal_id",
-                          at="trans_date", select={"terminal_city": "__city_raw"},
-                          broadcast_rows=DIM_BROADCAST_ROWS)
+                          at="trans_date", select={"terminal_city": "__city_raw"})
         city = F.when(F.col("__ok"), F.col("__city_raw"))
     else:
         city = F.lit(None).cast("string")
@@ -219,8 +217,9 @@ def _shared_id_flags(rows: DataFrame, city_window: int, guess_window: int, attem
         bad = (f"coalesce(y.res = '{SUCCESS}', false) OR coalesce(coalesce(get(xs, y.__rank).pamt, y.pamt + 1) - y.pamt <= 0, "
                "false) OR coalesce(y.pamt <= x.amt, false)")
         good = listed.select(*key, F.expr(
-            f"size(xs) >= {attempts} AND exists(slice(xs, 1, {attempts}), x -> forall(slice(xs, 1, {attempts}), "
-            f"y -> coalesce(y.amt <> x.amt, true) OR NOT ({bad})))").alias("__g"))
+            f"size(xs) >= {attempts} AND exists(slice(xs, 1, {attempts}), x -> "
+            f"forall(slice(xs, 1, {attempts}), y -> coalesce(y.amt <> x.amt, true) OR NOT ({bad})) "
+            f"AND exists(slice(xs, 1, {attempts}), y -> coalesce(y.amt = x.amt AND y.pamt > x.amt, false)))").alias("__g"))
         out = out.join(good, key, "left").withColumn("__guess", F.coalesce("__g", F.lit(False))).drop("__g")
     return out
 

@@ -1,8 +1,8 @@
 """Incremental-load control: watermarks, load gate, delta filter, batch stamps.
 
 The load metadata is one row per target table (``table_name``,
-``max_update_dt``). It is tiny by construction, so joining it to a batch as a
-one-row broadcast is a proven size bound.
+``max_update_dt``). It is tiny by construction; a batch meets one value of it as
+a scalar subquery.
 """
 
 from __future__ import annotations
@@ -57,10 +57,8 @@ def load_gate(batches: DataFrame, meta: DataFrame, tables: DataFrame | Iterable[
 
 
 def delta_filter(df: DataFrame, meta: DataFrame, table: str, update_col: str = "update_dt") -> DataFrame:
-    """B4: rows strictly newer than the table's watermark (scalar subquery)."""
-    wm = watermark(meta, table)
-    return (df.crossJoin(F.broadcast(wm))
-              .where(F.col(update_col).cast("timestamp_ntz") > F.col("wm")).drop("wm"))
+    """B4: rows strictly newer than the table's watermark, a scalar subquery (read once, no join)."""
+    return df.where(F.col(update_col).cast("timestamp_ntz") > watermark(meta, table).scalar())
 
 
 def advance_watermark(meta: DataFrame, table: str, delta: DataFrame,

@@ -62,8 +62,7 @@ def present_keys(snapshot: DataFrame, key: str, *, since=None, update_col: str =
     """Keys that count as present in a batch (for delete detection)."""
     s = snapshot
     if isinstance(since, DataFrame):
-        s = s.crossJoin(F.broadcast(since.select(F.col(since.columns[0]).alias("__since"))))
-        since = F.col("__since")
+        since = since.select(since.columns[0]).scalar()
     if delete_scope == "delta":
         s = s.where(delta_flag(update_col, since))
     elif delete_scope != "snapshot":
@@ -116,9 +115,7 @@ def scd2_apply(hist: DataFrame | None, snapshot: DataFrame, *, key: str, attrs:
                         f"CASE WHEN {head} AND {k} IS NOT NULL THEN 0L ELSE xxhash64({oc}) END AS h__salt")
 
     if isinstance(since, DataFrame):
-        # scalar watermark from a one-row aggregate: broadcast is size-bounded
-        snapshot = snapshot.crossJoin(F.broadcast(since.select(F.col(since.columns[0]).alias("__since"))))
-        since = F.col("__since")
+        since = since.select(since.columns[0]).scalar()   # one-row aggregate: a scalar subquery
     start = _q(start_col or update_col)
     s = snapshot.select(F.col(key).alias("s__k"), *[F.col(a).alias(f"s__{a}") for a in attrs],
                         F.col(update_col).cast("date").cast("timestamp_ntz").alias("s__upd"),

@@ -25,11 +25,9 @@ from pyspark.sql import functions as F
 from ledgerwatch.functions.columns import LIVE, col
 
 
-DIM_BROADCAST_ROWS = 1_000_000   # dimension versions up to which a valid-at join broadcasts
-
-
 def checked_broadcast(df: DataFrame, max_rows: int | None) -> DataFrame:
-    """Broadcast ``df`` only when it has at most ``max_rows`` rows.
+    """Broadcast ``df`` only when it has at most ``max_rows`` rows (on request; no registered query or
+    pipeline step asks for it, Spark's own byte-based choice serves them).
 
     The check is a bounded job (``limit(max_rows + 1).count()``, which stops
     reading once the limit is passed); above the limit the join stays a

@@ -229,7 +229,7 @@ SQL_APPEND_BL_DEDUP = orc.with_ctes(
 # ---- one report day (day slice + look-back across midnight) ----------------------------
 
 def q_fraud_report_day(spark, sf):
-    tx = fx.transactions(spark, sf, 10)
+    tx = fx.transactions(spark, sf, 10, days=(REPORT_DAY - dt.timedelta(days=1), REPORT_DAY))  # day and look-back
     d = fx.static_dims(spark, sf)
     return fr.build_report(tx, d["terminals"], d["cards"], d["accounts"], d["clients"], d["blacklist"],
                            report_from=REPORT_DAY, report_to=REPORT_DAY)

@@ -96,7 +96,8 @@ def rule4_days_sql(window: int = 1200) -> str:
         group by trans_id, day)
       where len(tries) >= {ATTEMPTS} and len([j for j in range(1, {ATTEMPTS + 1}) if len([k for k in range(1, {ATTEMPTS + 1})
         if tries[k].own = tries[j].own and (tries[k].res = 'SUCCESS' or tries[k].amt <= tries[k].own
-           or coalesce(tries[k + 1].amt, tries[k].amt + 1) <= tries[k].amt)]) = 0]) > 0"""
+           or coalesce(tries[k + 1].amt, tries[k].amt + 1) <= tries[k].amt)]) = 0
+        and len([k for k in range(1, {ATTEMPTS + 1}) if tries[k].own = tries[j].own and tries[k].amt > tries[k].own]) > 0]) > 0"""
 
 
 def flagged_ids_sql(days_sql: str) -> str:

@@ -13,9 +13,10 @@ from conftest import SF_SMALL
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 import __spark_entry__ as E  # noqa: E402
 from compare_oracle import TABLES, digest  # noqa: E402
+from ledgerwatch.plans import catalog  # noqa: E402
 
-QUERIES = E.queries()
-SQL = E.oracle_sql()
+QUERIES = {n: q for n, q in E.queries().items() if n in catalog.QUERIES}   # the library's own
+SQL = {n: q for n, q in E.oracle_sql().items() if n in catalog.QUERIES}
 
 
 @pytest.fixture(scope="module")
