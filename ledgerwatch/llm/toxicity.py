@@ -79,6 +79,18 @@ def _collector(only: np.ndarray | None):
     return run
 
 
+def _counter(values: np.ndarray):
+    """Texts of a task that hold each of the sorted hashes, and the number of texts, as one row."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(len(values) + 1, dtype=np.int64)
+        for batch in _collector(values)(batches):
+            flat = np.frombuffer(b"".join(batch.column(1).to_pylist()), dtype=np.uint64)
+            total[:-1] += np.bincount(np.searchsorted(values, flat), minlength=len(values))
+            total[-1] += batch.num_rows
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], type=pa.binary())], names=["counts"])
+    return run
+
+
 def near_copies(sets: list[np.ndarray], k: int = 16) -> np.ndarray:
     """Group number of each set: sets that share half of their k least members are near copies."""
     root = np.arange(len(sets))
@@ -122,10 +134,8 @@ def candidates(toxic_sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, in
 class Vocabulary:
     """Markers by smoothed log-odds, strongest first."""
 
-    def __init__(self, values: np.ndarray, in1: np.ndarray, n1: int, others: list[np.ndarray]):
-        """Candidates, the groups of toxic texts holding them, and the candidates in each other text."""
-        in0 = np.bincount(np.searchsorted(values, np.concatenate([*others, values[:0]])), minlength=len(values))
-        n0 = len(others)
+    def __init__(self, values: np.ndarray, in1: np.ndarray, n1: int, in0: np.ndarray, n0: int):
+        """Candidates, and the groups of toxic texts and the other texts (of n1 and n0) that hold them."""
         odds = np.log((in1 + 0.1) / (n1 + 0.2)) - np.log((in0 + 0.1) / (n0 + 0.2))
         # evidence: log-likelihood ratio of the marker's split against the share of toxic texts, in nats
         share = n1 / (n1 + n0)
@@ -241,17 +251,14 @@ class Linear:
 
 
 class Classifier:
-    """Fitted from the candidate markers of toxic and other sample texts."""
+    """Fitted from a vocabulary and its markers in toxic and other sample texts; without either, constant."""
 
-    def __init__(self, values: np.ndarray, in1: np.ndarray, n1: int, toxic: list[np.ndarray], others: list[np.ndarray]):
-        self.constant = not toxic or not others
-        if self.constant:
-            return
-        self.vocabulary = Vocabulary(values, in1, n1, others)
-        self.constant = not len(self.vocabulary.hashes)
+    def __init__(self, vocabulary: Vocabulary | None = None, toxic: list[np.ndarray] = (), others: list[np.ndarray] = ()):
+        self.constant = vocabulary is None or not len(vocabulary.hashes) or not len(toxic) or not len(others)
         if self.constant:
             return
-        sets = toxic + others
+        self.vocabulary = vocabulary
+        sets = [*toxic, *others]
         row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
         x = self.vocabulary.presence(row, np.concatenate(sets), len(sets))
         voted = votes(x, self.vocabulary.hashes)
@@ -275,19 +282,23 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
     wanted = cut(training_labels(labels, label_col, limit=sample))  # bounded by the sample size
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
-    def sets(rows: DataFrame, only: np.ndarray | None) -> tuple[np.ndarray, list[np.ndarray]]:
-        found = source.join(F.broadcast(rows), F.col("id") == F.col("train_id")).select("label", "text") \
-            .mapInArrow(_collector(only), "label int, markers binary").toPandas()
-        arrays = sorted(((int(y > 0), bytes(m)) for y, m in zip(found["label"], found["markers"], strict=True)))
-        return np.array([y for y, _ in arrays], dtype=np.int64), [np.frombuffer(m, dtype=np.uint64) for _, m in arrays]
-
-    toxic = wanted.where("label > 0").orderBy(F.xxhash64("train_id"), "train_id").limit(TOXIC_SAMPLE)
-    values, in1, n1 = candidates(sets(toxic, None)[1])
-    if not n1:
-        return Classifier(values, in1, n1, [], [])
-    y, held = sets(wanted, values)
-    split = int((y == 0).sum())
-    return Classifier(values, in1, n1, held[split:], held[:split])
+    def texts(rows: DataFrame) -> DataFrame:
+        return source.join(F.broadcast(rows), F.col("id") == F.col("train_id")).select("label", "text")
+
+    def sets(rows: DataFrame, only: np.ndarray | None) -> list[np.ndarray]:
+        found = texts(rows).mapInArrow(_collector(only), "label int, markers binary").select("markers").toPandas()
+        return [np.frombuffer(m, dtype=np.uint64) for m in sorted(bytes(m) for m in found["markers"])]
+
+    toxic, others = wanted.where("label > 0"), wanted.where("label <= 0")
+    values, in1, n1 = candidates(sets(toxic.orderBy(F.xxhash64("train_id"), "train_id").limit(TOXIC_SAMPLE), None))
+    if not n1 or others.isEmpty():
+        return Classifier()
+    in0 = texts(others).mapInArrow(_counter(values), "counts binary").rdd \
+        .map(lambda r: np.frombuffer(r["counts"], dtype=np.int64)).treeReduce(np.add)
+    if not in0[-1]:
+        return Classifier()
+    vocabulary = Vocabulary(values, in1, n1, in0[:-1], int(in0[-1]))
+    return Classifier(vocabulary, sets(toxic, vocabulary.sorted), sets(others, vocabulary.sorted))
 
 
 def _scorer(model: Classifier):
