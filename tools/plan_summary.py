@@ -1,5 +1,5 @@
-"""Summarise the physical plans of registered queries (after execution, so
-AQE's final plan is shown): shuffles, broadcasts, join strategies, windows,
+"""Summarise the physical plans of registered queries, as first planned and as
+AQE ran them: shuffles, broadcasts, join strategies, windows,
 scans with their pushed filters and read columns. Writes PLANS.md.
 
     python tools/plan_summary.py [sf_dir] [query ...]
@@ -20,13 +20,8 @@ DEFAULT = ["fraud_report", "fraud_report_day", "rule3_flagged", "rule4_flagged",
            "scd2_clients", "scd2_three_batches", "append_absent_tx", "delta_filter", "load_gate"]
 
 
-def final_part(plan: str) -> str:
-    """AQE prints the final plan and then the initial one; keep the final."""
-    return plan.split("== Initial Plan ==")[0]
-
-
 def summarise(plan: str) -> dict:
-    lines = final_part(plan).splitlines()
+    lines = plan.splitlines()
     ops = {
         "shuffle exchanges": sum(1 for x in lines if re.search(r"\bExchange hashpartitioning|\bExchange rangepartitioning|\bExchange SinglePartition", x)),
         "broadcasts": sum(1 for x in lines if "BroadcastExchange" in x),
@@ -54,21 +49,19 @@ def main():
     spark.sparkContext.setLogLevel("ERROR")
     out = ["# Physical plans of the headline queries",
            "",
-           f"Generated by `tools/plan_summary.py` on `{sf}` after execution (AQE final plans).",
+           f"Generated by `tools/plan_summary.py` on `{sf}`: the plan as first built and as AQE ran it.",
            "Scans list the table, the number of columns read and the filters pushed into Parquet.", ""]
     for name in names:
         df = catalog.QUERIES[name](spark, sf)
-        df.write.format("noop").mode("overwrite").save()
+        initial = df._jdf.queryExecution().executedPlan().toString()
         df.collect()
-        plan = df._jdf.queryExecution().executedPlan().toString().replace("\u0000", "\\0")
-        s = summarise(plan)
-        out.append(f"## {name}")
-        out.append("")
-        out.append(", ".join(f"{k}: {v}" for k, v in s["ops"].items() if v))
-        out.append("")
-        for table, ncols, pushed in s["scans"]:
-            out.append(f"- scan `{table}`: {ncols} columns, pushed: {pushed[:160]}")
-        out.append("")
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        out += [f"## {name}", ""]
+        for when, plan in (("Initial", initial), ("Final", final)):
+            s = summarise(plan.replace("\u0000", "\\0"))
+            out += [f"{when}: " + ", ".join(f"{k}: {v}" for k, v in s["ops"].items() if v), ""]
+            out += [f"- scan `{table}`: {ncols} columns, pushed: {pushed[:160]}" for table, ncols, pushed in s["scans"]]
+            out.append("")
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "PLANS.md")
     with open(path, "w") as f:
         f.write("\n".join(out) + "\n")
