@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from ledgerwatch.operators import facts, fraud as fr, incremental as inc, scd2
 from ledgerwatch.plans import fixtures as fx
 from ledgerwatch.plans import oracle as orc
-from ledgerwatch.schemas import META
-from ledgerwatch.sources import discovery
+from ledgerwatch.schemas import META, TRANSACTIONS_FILE
+from ledgerwatch.sources import delimited, discovery
 
 # The load-metadata state the queries start from, and the targets.
 META0 = [("transactions", dt.datetime(2024, 1, 15)), ("terminals", dt.datetime(2024, 1, 10)),
@@ -239,6 +239,45 @@ SQL_FRAUD_REPORT_DAY = (f"select * from ({orc.report_sql(card_mod=10)}) r "
                         f"where report_dt = date '{REPORT_DAY.isoformat()}'")
 
 
+# ---- the gate per target, with the rows each due (target, batch) would stage -------------
+
+def q_load_per_target(spark, sf):
+    """Staged rows of every (target, batch date) that its own watermark lets through."""
+    m0 = inc.seed_watermarks(meta0(spark), TARGETS)
+    staged = [("transactions", tx_stamped(spark, sf)), ("passport_blacklist", blacklist_stamped(spark, sf)),
+              ("terminals", fx.terminal_source(spark, sf, 2)), ("cards", fx.card_source(spark, sf, 2))]
+    rows = None
+    for name, df in staged:
+        one = df.where(F.col("update_dt").isNotNull()).groupBy(F.col("update_dt").cast("date").alias("batch_dt")) \
+            .agg(F.count(F.lit(1)).alias("staged_rows")).withColumn("table_name", F.lit(name))
+        rows = one if rows is None else rows.unionByName(one)
+    due = inc.load_gate(rows, m0, TARGETS)
+    return rows.join(due, ["batch_dt", "table_name"], "left_semi").select("table_name", "batch_dt", "staged_rows")
+
+
+SQL_LOAD_PER_TARGET = orc.with_ctes(
+    {"meta": META0_SQL, "txs": TX_STAMPED_SQL, "bl": BL_STAMPED_SQL, "terms": fx.terminal_source_sql(2),
+     "crd": fx.card_source_sql(2)},
+    " union all ".join(
+        f"""select '{t}' as table_name, cast(update_dt as date) as batch_dt, count(*) as staged_rows from {rel}
+            where cast(cast(update_dt as date) as timestamp) > {_wm_sql(t)} group by cast(update_dt as date)"""
+        for t, rel in (("transactions", "txs"), ("passport_blacklist", "bl"), ("terminals", "terms"), ("cards", "crd"))))
+
+
+# ---- A1 / F1 / F13: the text form of the transactions, parsed by the reader's expressions ----
+
+def q_tx_from_text(spark, sf):
+    """Every transaction written as a line of the file format and parsed back."""
+    tx = fx.transactions(spark, sf)
+    text = {"trans_date": F.date_format("trans_date", "yyyy-MM-dd HH:mm:ss"),
+            "amt": F.translate(F.col("amt").cast("string"), ".", ",")}
+    names = TRANSACTIONS_FILE.names
+    line = F.concat_ws(";", *[F.coalesce(text.get(n, F.col(n)), F.lit("")) for n in names])
+    cells = F.split(line, ";", -1)
+    raw = tx.select(*[F.nullif(cells[i], F.lit("")).alias(n) for i, n in enumerate(names)])
+    return delimited.typed_transactions(raw)
+
+
 QUERIES = {
     "delta_filter": q_delta_filter,
     "watermark_advance": q_watermark_advance,
@@ -251,6 +290,8 @@ QUERIES = {
     "append_absent_blacklist": q_append_absent_blacklist,
     "append_absent_blacklist_dedup": q_append_absent_blacklist_dedup,
     "fraud_report_day": q_fraud_report_day,
+    "load_per_target": q_load_per_target,
+    "tx_from_text": q_tx_from_text,
 }
 
 SQL = {
@@ -265,4 +306,6 @@ SQL = {
     "append_absent_blacklist": SQL_APPEND_BL,
     "append_absent_blacklist_dedup": SQL_APPEND_BL_DEDUP,
     "fraud_report_day": SQL_FRAUD_REPORT_DAY,
+    "load_per_target": SQL_LOAD_PER_TARGET,
+    "tx_from_text": fx.transactions_sql(),
 }

@@ -24,6 +24,13 @@ def parse_decimal_comma(c: str | Column, precision: int = 12, scale: int = 2) ->
     return s.cast(f"decimal({precision},{scale})")
 
 
+def typed_transactions(raw: DataFrame, *keep: str) -> DataFrame:
+    """The file's text columns as typed transaction columns."""
+    return raw.select(
+        "trans_id", F.to_timestamp_ntz(F.trim("trans_date"), F.lit(TIMESTAMP_FORMAT)).alias("trans_date"),
+        "card_num", "oper_type", parse_decimal_comma("amt").alias("amt"), "oper_result", "terminal", *keep)
+
+
 def read_transactions(spark: SparkSession, path: str, *, glob: str = "transactions_*.txt",
                       sep: str = ";", encoding: str = "UTF-8") -> DataFrame:
     """Typed transactions with ``update_dt`` = the file's DDMMYYYY date."""
@@ -31,9 +38,4 @@ def read_transactions(spark: SparkSession, path: str, *, glob: str = "transactio
            .csv(path, sep=sep, header=True, schema=TRANSACTIONS_FILE, enforceSchema=True,
                 encoding=encoding, mode="FAILFAST")
            .select("*", F.col("_metadata.file_name").alias("__file")))
-    typed = raw.select(
-        "trans_id",
-        F.to_timestamp_ntz(F.trim("trans_date"), F.lit(TIMESTAMP_FORMAT)).alias("trans_date"),
-        "card_num", "oper_type", parse_decimal_comma("amt").alias("amt"), "oper_result", "terminal",
-        "__file")
-    return stamp_batch_date(typed, "__file").drop("__file")
+    return stamp_batch_date(typed_transactions(raw, "__file"), "__file").drop("__file")

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from ledgerwatch.operators import facts
 from ledgerwatch.operators.incremental import stamp_batch_date
 from ledgerwatch.schemas import TRANSACTIONS_FILE
-from ledgerwatch.sources.delimited import TIMESTAMP_FORMAT, parse_decimal_comma
+from ledgerwatch.sources.delimited import typed_transactions
 
 
 def transactions_stream(spark: SparkSession, landing: str, archive_dir: str | None = None,
@@ -29,10 +29,7 @@ def transactions_stream(spark: SparkSession, landing: str, archive_dir: str | No
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
     raw = r.csv(landing).select("*", F.col("_metadata.file_name").alias("__file"))
-    typed = raw.select(
-        "trans_id", F.to_timestamp_ntz(F.trim("trans_date"), F.lit(TIMESTAMP_FORMAT)).alias("trans_date"),
-        "card_num", "oper_type", parse_decimal_comma("amt").alias("amt"), "oper_result", "terminal", "__file")
-    return stamp_batch_date(typed, "__file").withColumnRenamed("__file", "src_file")
+    return stamp_batch_date(typed_transactions(raw, "__file"), "__file").withColumnRenamed("__file", "src_file")
 
 
 def append_transactions(target_path: str):
