@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from ledgerwatch.llm.spread import text_batches
 from ledgerwatch.llm.text import Words, blocks, mix, words_of
 
 BITS, WIDTH, BLOCK_RADIUS = 256, 16, 3
@@ -46,7 +47,7 @@ PARTS = BITS // WIDTH
 RADIUS = PARTS * (BLOCK_RADIUS + 1) - 1
 ITEMS_PER_BLOCK = 512
 BYTES_PER_BLOCK = 1 << 20
-SPAN = 1 << 14  # shingles whose running bit sums are held at once
+SPAN, WINDOWS = 1 << 14, 1 << 14  # shingles whose running bit sums are held at once, and windows compared at once
 _index_cache: dict = {}
 
 
@@ -143,7 +144,7 @@ def leaks(data: np.ndarray, offsets: np.ndarray, index: ItemIndex, k: int) -> li
     best: dict[tuple, tuple] = {}
     lo = 0
     while lo < len(start):
-        hi = int(np.searchsorted(start, start[lo] + SPAN))
+        hi = min(int(np.searchsorted(start, start[lo] + SPAN)), lo + WINDOWS)
         base, end = start[lo], stop[lo:hi].max()
         prints = fingerprints(h[base:end], start[lo:hi] - base, stop[lo:hi] - base)
         window, item, distance = index.lookup(length[lo:hi], prints)
@@ -223,6 +224,7 @@ def item_blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[
 def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8,
                id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """One row per (document, item) that match: similarity, Hamming distance and words of the best window."""
+    text_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     item_type = benchmark.schema[item_col].dataType
@@ -240,6 +242,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshol
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = 5, threshold: float = 0.8,
                       text_col: str = "text", item_col: str = "item_id") -> DataFrame:
     """The documents, all columns, without those that hold an item (a filter in place: no join, no shuffle)."""
+    text_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
     for _, texts in item_blocks(benchmark, item_col, "text"):
         docs = docs.mapInArrow(_dropper(at, texts, shingle, threshold), docs.schema)

@@ -23,7 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.spread import cut, join_stats, slot_bitmap, with_slot_flag
+from ledgerwatch.functions.bitmaps import slot_bitmap, with_slot_flag
+from ledgerwatch.llm.spread import cut, join_stats
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 PREFIX_CHARS = 64

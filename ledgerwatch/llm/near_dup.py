@@ -34,14 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwatch.functions.bitmaps import slot_bitmap, with_slot_flag
 from ledgerwatch.llm.components import connected_components
-from ledgerwatch.llm.spread import cut, join_stats, slot_bitmap, with_slot_flag
+from ledgerwatch.llm.spread import arrow_batches, cut, join_stats, text_batches
 from ledgerwatch.llm.text import as_binary, blocks, mix, words_of
 
 ID_SLOTS = 1 << 25         # 4 MB bitmap
 SMALL_BUCKET = 12          # pair by pair up to here, in chunks beyond: exact both ways
 CHUNK_ROWS = 512
 CHUNK_SHINGLES = 500_000
+SET_ROWS = 128             # pairs of whole sets in an Arrow batch
 _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -200,6 +202,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 30, rows: int = 4,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (least id reachable over links), kept."""
+    text_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     sketched = cut(source.mapInArrow(_sketcher(shingle, bands, rows),
@@ -222,7 +225,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     sized = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     hubs = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb")) \
         .distinct().join(classes.select(F.col("node").alias("a"), F.col("n").alias("na")), "a").where(sized)
-    edges = cut(_verify(hubs.select("a", "b"), sets, percent))
+    with arrow_batches(docs.sparkSession, SET_ROWS):
+        edges = cut(_verify(hubs.select("a", "b"), sets, percent))
 
     # buckets that still hold several components
     found = connected_components(edges)
@@ -248,7 +252,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
         .select("key", "node", "label", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"))
     blockwise = chunks.join(sets, "node").groupBy("key", "c1", "c2") \
         .applyInArrow(_chunk_linker(percent), "a binary, b binary")
-    late = cut(more.unionByName(blockwise).distinct())
+    with arrow_batches(docs.sparkSession, SET_ROWS):
+        late = cut(more.unionByName(blockwise).distinct())
     if not late.isEmpty():
         found = connected_components(edges.unionByName(late))
 

@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ledgerwatch.llm.spread import text_batches
 from ledgerwatch.llm.text import blocks
 from ledgerwatch.llm.tokens import END, VOCABULARY, encoder, with_ends
 
@@ -156,6 +157,7 @@ def _packer(path: str, most: int, names: list[str]):
 def pack_documents(docs: DataFrame, row_tokens: int = ROW_TOKENS, vocabulary: str = VOCABULARY,
                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Packed rows; (part, row) names a row."""
+    text_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     schema = SCHEMA.format(id=id_col, kind=source.schema["id"].dataType.simpleString())
     names = [f.split(" ")[0] for f in schema.split(", ")]

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.labels import SAMPLE, held_out, training_labels
-from ledgerwatch.llm.spread import cut
+from ledgerwatch.llm.spread import cut, text_batches
 from ledgerwatch.llm.text import as_binary, blocks, mix, tokens_of
 
 BUCKETS, DIM, NONZERO, REACH = 1 << 14, 32, 4, 2
@@ -174,6 +174,7 @@ def _scorer(network: Network):
 def score_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality", threshold: float = 0.3,
                   sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, held_out, score (probability of label 1), predicted (score >= threshold)."""
+    text_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     vectors = word_vectors(source.select("text"))

@@ -1,15 +1,39 @@
 """Helpers that keep hot groups spread: lineage cuts, two-level running sums,
-joins with hot keys, and bounded bitmaps of surviving keys."""
+joins with hot keys, and bounded Arrow batches."""
 
 from __future__ import annotations
 
 import math
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-BITMAP_BITS = 1 << 15  # bits of one bitmap_construct_agg cell
+BATCHES = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+TEXT_ROWS = 1000  # whole texts in an Arrow batch
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Let the session's Arrow batches hold at most ``TEXT_ROWS`` rows, also in jobs that run later:
+    the default of 10,000 texts costs each task some hundred MB in the JVM and in Python."""
+    old = int(spark.conf.get(BATCHES))
+    if old <= 0 or old > TEXT_ROWS:
+        spark.conf.set(BATCHES, str(TEXT_ROWS))
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Bound the rows of an Arrow batch while jobs run whose rows hold whole texts or sets."""
+    old = spark.conf.get(BATCHES)
+    spark.conf.set(BATCHES, str(min(rows, int(old)) if int(old) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCHES, old)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -73,21 +97,3 @@ def join_stats(rows: DataFrame, stats: DataFrame, keys: list[str], count: str, n
     on = [marked["__first"] == cold["__k0"]] + [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys) if i]
     return marked.join(cold, on, "left").select(
         *rows.columns, *[F.coalesce(F.col(f"__hot_{c}"), F.col(c)).alias(c) for c in values])
-
-
-def slot_bitmap(slots: DataFrame, slot: str) -> DataFrame:
-    """Bitmap of the distinct values of a long column of slot numbers >= 0:
-    (bm_bucket, bm_bits). Its size is bounded by the slot range, whatever the rows."""
-    return (slots.select(F.shiftright(F.col(slot), 15).alias("bm_bucket"),
-                         F.col(slot).bitwiseAND(F.lit(BITMAP_BITS - 1)).alias("__bit"))
-            .groupBy("bm_bucket").agg(F.bitmap_construct_agg("__bit").alias("bm_bits")))
-
-
-def with_slot_flag(df: DataFrame, slot: str, bitmap: DataFrame, out: str) -> DataFrame:
-    """Flag rows whose slot is set in the (size-bounded, broadcast) bitmap."""
-    bit = F.col(slot).bitwiseAND(F.lit(BITMAP_BITS - 1)).cast("int")
-    byte = F.conv(F.hex(F.substring("bm_bits", F.shiftright(bit, 3) + F.lit(1), F.lit(1))), 16, 10).cast("int")
-    flag = F.coalesce(F.getbit(byte, bit.bitwiseAND(F.lit(7))) == F.lit(1), F.lit(False))
-    return (df.withColumn("bm_bucket", F.shiftright(F.col(slot), 15))
-            .join(F.broadcast(bitmap), "bm_bucket", "left")
-            .withColumn(out, flag).drop("bm_bucket", "bm_bits"))

@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm.spread import cut, shared_folder
+from ledgerwatch.llm.spread import cut, shared_folder, text_batches
 from ledgerwatch.llm.text import blocks
 from ledgerwatch.llm.tokens import END, VOCABULARY, encoder, with_ends
 
@@ -68,6 +68,7 @@ def write_token_files(docs: DataFrame, folder: str, vocabulary: str = VOCABULARY
     """Write one flat file per partition into ``folder``; returns the key (id, file, document number)."""
     fs, base = _open(folder)
     fs.create_dir(base, recursive=True)
+    text_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     return cut(source.mapInArrow(_writer(folder, vocabulary), f"id {kind}, file string, document long, bytes double")

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.labels import SAMPLE, held_out, training_labels
-from ledgerwatch.llm.spread import cut
+from ledgerwatch.llm.spread import cut, text_batches
 from ledgerwatch.llm.text import as_binary, blocks, letters_of, mix
 
 TOXIC_SAMPLE = 4_000    # most toxic rows that markers are drawn from
@@ -279,6 +279,7 @@ class Classifier:
 
 def fit_classifier(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", sample: int = SAMPLE,
                    id_col: str = "doc_id", text_col: str = "text") -> Classifier:
+    text_batches(docs.sparkSession)
     wanted = cut(training_labels(labels, label_col, limit=sample))  # bounded by the sample size
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
 
