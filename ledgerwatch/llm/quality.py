@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.labels import SAMPLE, held_out, training_labels
-from ledgerwatch.llm.spread import cut, text_batches
+from ledgerwatch.llm.spread import cut, text_batches, tree_sum
 from ledgerwatch.llm.text import as_binary, blocks, mix, tokens_of
 
 BUCKETS, DIM, NONZERO, REACH = 1 << 14, 32, 4, 2
@@ -69,9 +69,8 @@ def _adder():
 
 def word_vectors(texts: DataFrame) -> np.ndarray:
     """Unit word vectors of all buckets (a fixed-size matrix) from one text column, over all rows."""
-    parts = texts.mapInArrow(_adder(), "matrix binary").rdd.map(lambda r: np.frombuffer(r["matrix"], dtype=np.int64))
-    n = parts.getNumPartitions()
-    total = parts.treeReduce(np.add, depth=2 if n < 1000 else 3) if n else np.zeros(BUCKETS * DIM, dtype=np.int64)
+    total = tree_sum(texts.mapInArrow(_adder(), "matrix binary"), "matrix")
+    total = np.zeros(BUCKETS * DIM, dtype=np.int64) if total is None else total
     matrix = total.reshape(BUCKETS, DIM).astype(np.float64)
     norm = np.linalg.norm(matrix, axis=1, keepdims=True)
     return (matrix / np.where(norm > 0, norm, 1)).astype(np.float32)

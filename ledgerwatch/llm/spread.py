@@ -8,6 +8,7 @@ import tempfile
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -97,3 +98,11 @@ def join_stats(rows: DataFrame, stats: DataFrame, keys: list[str], count: str, n
     on = [marked["__first"] == cold["__k0"]] + [F.col(k) == F.col(f"__k{i}") for i, k in enumerate(keys) if i]
     return marked.join(cold, on, "left").select(
         *rows.columns, *[F.coalesce(F.col(f"__hot_{c}"), F.col(c)).alias(c) for c in values])
+
+
+def tree_sum(parts: DataFrame, column: str) -> np.ndarray | None:
+    """Sum of the int64 arrays that tasks put out as binary cells of one length. They are merged by eight at a
+    time, so the driver takes at most eight arrays, whatever the number of tasks."""
+    arrays = parts.rdd.map(lambda r: np.frombuffer(r[column], dtype=np.int64))
+    n = arrays.getNumPartitions()
+    return arrays.treeReduce(np.add, depth=max(2, math.ceil(math.log(n, 8)))) if n else None

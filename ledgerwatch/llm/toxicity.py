@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.labels import SAMPLE, held_out, training_labels
-from ledgerwatch.llm.spread import cut, text_batches
+from ledgerwatch.llm.spread import cut, text_batches, tree_sum
 from ledgerwatch.llm.text import as_binary, blocks, letters_of, mix
 
 TOXIC_SAMPLE = 4_000    # most toxic rows that markers are drawn from
@@ -294,9 +294,8 @@ def fit_classifier(docs: DataFrame, labels: DataFrame, label_col: str = "toxic",
     values, in1, n1 = candidates(sets(toxic.orderBy(F.xxhash64("train_id"), "train_id").limit(TOXIC_SAMPLE), None))
     if not n1 or others.isEmpty():
         return Classifier()
-    in0 = texts(others).mapInArrow(_counter(values), "counts binary").rdd \
-        .map(lambda r: np.frombuffer(r["counts"], dtype=np.int64)).treeReduce(np.add)
-    if not in0[-1]:
+    in0 = tree_sum(texts(others).mapInArrow(_counter(values), "counts binary"), "counts")
+    if in0 is None or not in0[-1]:
         return Classifier()
     vocabulary = Vocabulary(values, in1, n1, in0[:-1], int(in0[-1]))
     return Classifier(vocabulary, sets(toxic, vocabulary.sorted), sets(others, vocabulary.sorted))
