@@ -1,8 +1,7 @@
 """Benchmark decontamination: SimHash of item-sized windows, multi-index Hamming lookup, exact verification.
 
 Every benchmark item has a 256-bit SimHash of its 5-word shingles. Documents
-are compared through their windows of exactly an item's number of words, at
-every word:
+are compared through their windows of an item's number of words, at every word:
 
 1. A window can only reach the similarity if enough of its shingles occur in
    some item. Running counts of such shingles skip all other windows without
@@ -16,14 +15,21 @@ every word:
    with a deviation of 5.7.)
 4. What lies within the radius is verified by the exact weighted similarity:
    shared shingles counted with multiplicity, over all of both.
+5. Texts that hold an item cut short, or with words put in or left out, reach
+   the similarity only in windows of another length. A row that shares enough
+   shingles with an item, counted with multiplicity, and has no window of step
+   4 is searched through every window length that the threshold allows, exactly
+   and without fingerprints: the best window begins and ends with a shingle of
+   the item, so only such windows are tried.
 
 Items are the stated query set: they are taken in blocks of bounded size, and
 each block is compared with all documents in one pass without a shuffle.
 
 Defined cases: text is compared by words of 0x20/0x09-0x0D separated bytes,
 A-Z lower-cased; null or word-free texts and items match nothing; an item of
-fewer than five words is one shingle; each (row, item) gives one row, its best
-and then leftmost window; repeated rows each match; an empty benchmark or
+fewer than five words is one shingle; each (row, item) gives one row: the best
+and then leftmost window of the item's length, or of any length where none of
+the item's length reaches the threshold; repeated rows each match; an empty benchmark or
 table gives no match; extra columns are ignored by ``find_leaks`` and passed
 through by ``drop_contaminated``.
 """
@@ -48,6 +54,7 @@ RADIUS = PARTS * (BLOCK_RADIUS + 1) - 1
 ITEMS_PER_BLOCK = 512
 BYTES_PER_BLOCK = 1 << 20
 SPAN, WINDOWS = 1 << 14, 1 << 14  # shingles whose running bit sums are held at once, and windows compared at once
+PAIRS = 1 << 18  # (row, shingle, item) entries held at once
 _index_cache: dict = {}
 
 
@@ -77,7 +84,13 @@ class ItemIndex:
         self.count = np.diff(self.first)            # shingles of each item
         self.length = np.diff(words.first)          # words of each item
         self.sets = [np.sort(h[a:b]) for a, b in zip(self.first[:-1], self.first[1:], strict=True)]
-        self.known = np.unique(h)
+        self.known, place = np.unique(h, return_inverse=True)
+        self.least = np.ceil(threshold * self.count - 1e-9).astype(np.int64)    # shingles a window must share
+        self.widest = np.floor(self.count / threshold + 1e-9).astype(np.int64)  # shingles it may have
+        # the items of each known shingle, with the shingle's count in the item
+        pair, self.weight = np.unique(place.astype(np.int64) * len(texts) + row, return_counts=True)
+        self.holder = pair % max(len(texts), 1)
+        self.post = np.searchsorted(pair // max(len(texts), 1), np.arange(len(self.known) + 1))
         self.prints = np.zeros((len(texts), PARTS), dtype=np.uint16)
         for i in np.flatnonzero(self.count):
             self.prints[i] = fingerprints(h[self.first[i]:self.first[i + 1]], np.array([0]), self.count[i:i + 1])[0]
@@ -109,6 +122,53 @@ class ItemIndex:
         return window[near], item[near], distance[near]
 
 
+    def sharing(self, row: np.ndarray, place: np.ndarray) -> list[tuple[int, int]]:
+        """The (row, item) pairs that share enough shingles for some window. ``row`` (ascending) and ``place``
+        name the known shingles of the rows."""
+        key, count = np.unique(row.astype(np.int64) * len(self.known) + place, return_counts=True)
+        row, place = key // len(self.known), key % len(self.known)
+        n = self.post[place + 1] - self.post[place]
+        total = np.concatenate(([0], np.cumsum(n)))
+        edges = np.concatenate((np.flatnonzero(np.diff(row, prepend=-1)), [len(row)]))  # where rows begin
+        out, lo = [], 0
+        while lo < len(edges) - 1:  # whole rows; one of them has at most as many entries as the index
+            hi = max(lo + 1, int(np.searchsorted(total[edges], total[edges[lo]] + PAIRS, side="right")) - 1)
+            a, b = edges[lo], edges[hi]
+            m = n[a:b]
+            at = np.arange(m.sum()) - np.repeat(np.cumsum(m) - m, m) + np.repeat(self.post[place[a:b]], m)
+            pair, back = np.unique(np.repeat(row[a:b], m) * len(self.sets) + self.holder[at], return_inverse=True)
+            shared = np.bincount(back, np.minimum(np.repeat(count[a:b], m), self.weight[at]), len(pair))
+            pair = pair[shared >= self.least[pair % len(self.sets)]]
+            out += zip((pair // len(self.sets)).tolist(), (pair % len(self.sets)).tolist(), strict=True)
+            lo = hi
+        return out
+
+    def best_window(self, h: np.ndarray, item: int) -> tuple[float, int, int] | None:
+        """(similarity, first shingle, last shingle + 1) of the best, then leftmost window of any length, if one
+        reaches the threshold. ``h``: the shingles of one row."""
+        own = self.sets[item]
+        at = np.flatnonzero(own[np.minimum(np.searchsorted(own, h), len(own) - 1)] == h)
+        least, widest, size = int(self.least[item]), int(self.widest[item]), int(self.count[item])
+        if len(at) < least:
+            return None
+        begin = np.flatnonzero(at[least - 1:] - at[:len(at) - least + 1] < widest)  # enough of them within reach
+        weight = dict(zip(*(x.tolist() for x in np.unique(own, return_counts=True)), strict=True))
+        place, value, best = at.tolist(), h[at].tolist(), None
+        for i in begin.tolist():
+            left, shared = dict(weight), 0
+            for j in range(i, len(place)):
+                span = place[j] - place[i] + 1
+                if span > widest:
+                    break
+                if left[value[j]]:
+                    left[value[j]] -= 1
+                    shared += 1
+                score = shared / (size + span - shared)
+                if score >= self.threshold and (best is None or score > best[0]):
+                    best = (score, place[i], place[j] + 1)
+        return best
+
+
 def _candidates(words: Words, row: np.ndarray, hit: np.ndarray, index: ItemIndex, k: int):
     """(first shingle, last shingle + 1, words) of every window that could reach the threshold."""
     total = np.concatenate(([0], np.cumsum(hit)))
@@ -158,6 +218,15 @@ def leaks(data: np.ndarray, offsets: np.ndarray, index: ItemIndex, k: int) -> li
             if score >= index.threshold and (not old or (-score, a) < (-old[0], old[2])):
                 best[key] = (score, d, a, int(length[lo + w]))
         lo = hi
+    for r, i in index.sharing(row[hit], at[hit]):
+        if (r, i) in best or index.length[i] < k:
+            continue
+        own = h[first[r]:first[r + 1]]
+        found = index.best_window(own, i)
+        if found:
+            score, a, b = found
+            mark = fingerprints(own[a:b], np.array([0]), np.array([b - a]))[0]
+            best[r, i] = (score, int(np.bitwise_count(mark ^ index.prints[i]).sum()), a + int(first[r]), b - a + k - 1)
     return [(r, i, s, d, a - int(first[r]), a - int(first[r]) + n) for (r, i), (s, d, a, n) in sorted(best.items())]
 
 

@@ -336,6 +336,52 @@ def test_leaks_match_brute_force(spark, edge, empty):
     assert decontaminate.find_leaks(empty, b).count() == 0 and decontaminate.find_leaks(edge, b).count() == 0
 
 
+def _brute_any_length(docs, items, k=5, least=0.8):
+    """The best window of the item's length, or of any length where none of the item's length reaches it."""
+    out = {x: s for x, (s, _) in _brute_leaks(docs, items, k, least).items()}
+    for d, text in docs:
+        w = WORD.findall((text or "").translate(LOWER))
+        for i, item in items:
+            v = WORD.findall((item or "").translate(LOWER))
+            if len(v) < k or (d, i) in out:
+                continue
+            own = collections.Counter(tuple(v[j:j + k]) for j in range(len(v) - k + 1))
+            n = own.total()
+            for size in range(k, len(w) + 1):
+                for a in range(len(w) - size + 1):
+                    c = collections.Counter(tuple(w[a + j:a + j + k]) for j in range(size - k + 1))
+                    both = (c & own).total()
+                    s = both / (c.total() + n - both)
+                    if s >= least:
+                        out[d, i] = max(s, out.get((d, i), 0))
+    return out
+
+
+def test_leaks_of_other_lengths_match_brute_force(spark):
+    word = lambda n, c: [f"{c}{i}" for i in range(n)]
+    a, b, c, e = word(20, "a"), word(48, "b"), word(45, "c"), word(59, "e")
+    loop = ["la", "le"] * 10 + word(10, "f")
+    cut = {f"a{n}": a[:-n] for n in (1, 2, 3, 4)} | {"front": a[3:], "b8": b[:-8], "b9": b[:-9], "b10": b[:-10]}
+    middle = {"out": c[:22] + c[23:], "in": c[:22] + ["neu"] + c[22:], "three": e[:28] + ["x", "y", "z"] + e[28:],
+              "ends": ["neu"] + a[1:-1] + ["neu"], "loop": loop[:-2], "loops": loop[4:], "la": ["la", "le"] * 30}
+    docs = list((cut | middle).items()) + [(f"{n} inside", ["vor"] * 9 + w + ["nach"] * 9) for n, w in (cut | middle).items()]
+    docs = [(n, " ".join(w)) for n, w in docs]
+    items = [(i, " ".join(w)) for i, w in enumerate((a, b, c, e, loop, ["x"] + a[:12]))]
+    expected = _brute_any_length(docs, items)
+    assert {("a3", 0), ("b8", 1), ("out", 2), ("in", 2), ("three", 3), ("three inside", 3)} <= set(expected)
+    assert ("a4", 0) not in expected
+    d = spark.createDataFrame(docs, "doc_id string, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    rows = decontaminate.find_leaks(d, i).collect()
+    assert {(r["doc_id"], r["item_id"]): r["similarity"] for r in rows} == expected and len(rows) == len(expected)
+    text = dict(docs)
+    for r in rows:  # the words named are the window that reaches it
+        window = " ".join(text[r["doc_id"]].split()[r["word_from"]:r["word_to"]])
+        assert _brute_any_length([(0, window)], items)[0, r["item_id"]] >= r["similarity"]
+    kept = {r["doc_id"] for r in decontaminate.drop_contaminated(d, i).collect()}
+    assert kept == {n for n, _ in docs} - {n for n, _ in expected}
+
+
 def test_no_fingerprint_within_the_radius_is_missed():
     texts = [" ".join(f"{c}{i}" for i in range(20)).encode() for c in "abc"]
     index = decontaminate.ItemIndex(texts, 5, 0.8)
