@@ -12,13 +12,16 @@
    disjoint run of permuted blocks, and its pieces are shuffled locally by a
    hash order.
 
-The driver sees one row per source, never rows of documents. Stream positions
-come from a two-level running sum, so a source with a third of all rows is
-spread over many tasks.
+The driver sees one row per source, never rows of documents. Equal rows
+are one run, counted before any sum and given back as numbered rows. Stream
+positions come from two-level running sums, over the ids of a source and over
+the runs of an id, so neither a source nor an id (or no id) with a third of all
+rows is one task.
 
 Defined cases: null text has no words, null source is a source (last in
-order), documents without words take 0 words; rows repeated under one id are
-each mixed; an empty table gives an empty result; only named columns are read.
+order), documents without words take 0 words; rows repeated under one id, or
+without an id, are each mixed, equal ones as often in all as their run is taken;
+an empty table gives an empty result; only named columns are read.
 """
 
 from __future__ import annotations
@@ -35,6 +38,8 @@ from ledgerwatch.llm.spread import cut, running_start
 
 WORD = r"[^\x20\x09-\x0D]+"
 MAX_BLOCKS = 1 << 28  # numpy's hypergeometric draws are exact below 1e9
+RUN_ROWS = 1000       # rows of one run that are given back in one task
+HOT_RUNS = 100        # what has more than this part of all rows is hot: there are at most so many
 
 
 def hash60(*parts: Column) -> Column:
@@ -107,24 +112,49 @@ PLAN = T.StructType([T.StructField("p_source", T.StringType())] + [
                                      ("add", T.LongType()), ("bounds", T.ArrayType(T.LongType())))])
 
 
-def mix_streams(docs: DataFrame, weight_cycle: tuple[float, ...] = (3, 1, 2), share: float = 1.5,
-                max_epochs: float = 2.0, n_shards: int = 16, block_words: int = 2048, seed: int = 20,
-                id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Per row: id, source, size, source_size, target, taken, ``start`` (its place in the source's
-    permuted stream) and the source's plan columns."""
-    spark = docs.sparkSession
-    counted = cut(docs.select(
-        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"),
-        F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc"))
-        .withColumn("h", hash60(F.lit(seed), F.col("id"))))
-    by_source = counted.groupBy("source").agg(F.sum("size").alias("n"), F.count(F.lit(1)).alias("rows")).collect()
-    sizes = sorted(((r["source"], int(r["n"])) for r in by_source), key=lambda x: (x[0] is None, (x[0] or "").encode()))
+def _starts(runs: DataFrame, n_runs: int) -> DataFrame:
+    """Add ``start``, the words before a run in its source's stream: by ``h``, the runs of one h by ``tie``."""
+    many = runs.groupBy("source", "h").agg(F.count(F.lit(1)).alias("runs")) \
+        .where(F.col("runs") > max(RUN_ROWS, n_runs // HOT_RUNS)).select("h").distinct().collect()
+    ranges = None
+    if many:  # ids of many rows, at most HOT_RUNS in all: a range ends before and after each, and they are cut by tie
+        hot = F.array(*[F.lit(r["h"]).cast("long") for r in many])
+        own = F.array_contains(hot, F.col("h"))
+        zone = 2 * F.size(F.filter(hot, lambda x: x < F.col("h"))) + own.cast("int")
+        ranges = lambda top: F.shiftleft(top, 24) + zone.cast("long") * (1 << 15) + F.when(
+            own, F.shiftright("tie", 45)).otherwise(0)
+    return running_start(runs, ["source"], "h", ["tie", "id", "crc", "size", "row"], "total", n_runs, "start", ranges) \
+        .drop("total")
+
+
+def _runs(docs: DataFrame, seed: int, id_col: str, text_col: str, source_col: str, row: Column | None) -> DataFrame:
+    """Rows equal in id, source, words, checksum (and ``row``, if given) with their number ``n``."""
+    size = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(
+        F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), size.alias("size"),
+        F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("crc"),
+        (F.lit(0).cast("long") if row is None else row).alias("row"))
+    return cut(rows.groupBy("id", "source", "size", "crc", "row").agg(F.count(F.lit(1)).alias("n"))
+               .withColumn("total", F.col("n") * F.col("size")).withColumn("h", hash60(F.lit(seed), F.col("id")))
+               .withColumn("tie", hash60(F.lit(seed), F.col("crc"), F.col("size"), F.col("row"))))
+
+
+def _streams(runs: DataFrame, weight_cycle: tuple[float, ...] = (3, 1, 2), share: float = 1.5,
+             max_epochs: float = 2.0, n_shards: int = 16, block_words: int = 2048, seed: int = 20) -> DataFrame:
+    """One row for every row of the runs: their columns, ``taken``, ``start`` and the source's plan columns."""
+    by_source = runs.groupBy("source").agg(F.sum("total").alias("words"), F.count(F.lit(1)).alias("runs"),
+                                           F.max("n").alias("longest")).collect()
+    sizes = sorted(((r["source"], int(r["words"])) for r in by_source), key=lambda x: (x[0] is None, (x[0] or "").encode()))
     weights = [float(weight_cycle[i % len(weight_cycle)]) for i in range(len(sizes))]
     plan = plan_mix(sizes, weights, share, max_epochs, n_shards, block_words, seed) if sizes else []
-    n_rows = sum(r["rows"] for r in by_source)
-    placed = running_start(counted, ["source"], "h", ["id", "crc", "size"], "size", n_rows, "start")
-    table = spark.createDataFrame(plan, PLAN)
+    placed = _starts(runs, sum(r["runs"] for r in by_source))
+    nth = F.sequence(F.lit(0).cast("long"), F.col("n") - 1)
+    if max((r["longest"] for r in by_source), default=0) > RUN_ROWS:  # a long run is dealt out in pieces
+        placed = placed.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(n - 1) div {RUN_ROWS}"))))
+        placed = placed.repartition("h", "tie", "part")
+        nth = F.sequence(F.col("part") * RUN_ROWS, F.least(F.col("n"), (F.col("part") + 1) * RUN_ROWS) - 1)
+    placed = placed.withColumn("nth", F.explode(nth)).withColumn("start", F.col("start") + F.col("nth") * F.col("size"))
+    table = F.broadcast(runs.sparkSession.createDataFrame(plan, PLAN))
     whole = F.col("words") - F.col("start")
     taken = F.lit(0).cast("long")
     for epoch in range(math.ceil(max_epochs)):
@@ -133,6 +163,13 @@ def mix_streams(docs: DataFrame, weight_cycle: tuple[float, ...] = (3, 1, 2), sh
         .withColumn("taken", taken.cast("long"))
 
 
+def mix_streams(docs: DataFrame, seed: int = 20, id_col: str = "doc_id", text_col: str = "text",
+                source_col: str = "source", **options) -> DataFrame:
+    """Per row: id, source, size, source_size, target, taken, ``start`` (its place in the source's
+    permuted stream) and the source's plan columns."""
+    return _streams(_runs(docs, seed, id_col, text_col, source_col, None), seed=seed, **options)
+
+
 def draws(streams: DataFrame, seed: int = 20, max_epochs: float = 2.0) -> DataFrame:
     """The drawn pieces: id, source, epoch, its words word_from to word_to - 1, block, shard and local shuffle
     order. Documents are cut where a block of the stream ends, so every shard gets its exact quota."""
@@ -150,27 +187,42 @@ def draws(streams: DataFrame, seed: int = 20, max_epochs: float = 2.0) -> DataFr
         hash60(F.lit(seed + 1), F.col("id"), F.col("epoch"), F.col("number")).alias("local_order"))
 
 
+def _row_key(docs: DataFrame) -> Column:
+    """A hash of all columns, nulls told apart."""
+    parts = []
+    for f in docs.schema:
+        c = F.col(f"`{f.name}`")
+        nested = isinstance(f.dataType, T.ArrayType | T.MapType | T.StructType)
+        parts += [F.to_json(F.struct(c), {"ignoreNullFields": "false"}) if nested else c, c.isNull()]
+    return F.xxhash64(*parts)
+
+
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                    **options) -> DataFrame:
+                    seed: int = 20, **options) -> DataFrame:
     """The documents, all columns, each repeated as often as the mix takes it: ``taken / size`` rounded
     half up, so the one cut document of a source is taken whole or not at all. Documents without words
-    have no part in any target and stay once."""
-    max_epochs = options.get("max_epochs", 2.0)
-    streams = mix_streams(docs, id_col=id_col, text_col=text_col, source_col=source_col, **options)
-    # rows are told apart by id, source and checksum: equal rows of one id may take different counts
-    key = ["id", "source", "crc"]
-    ranked = streams.withColumn("__copies", F.when(F.col("size") == 0, 1).otherwise(
-        F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).cast("int")) \
-        .groupBy(*key).agg((F.sum("__copies") / F.count(F.lit(1))).alias("__mean"))
-    copies = ranked.select(F.col("id").alias("__id"), F.col("source").alias("__source"), F.col("crc").alias("__crc"),
-                           F.least(F.round("__mean"), F.lit(math.ceil(max_epochs))).cast("int").alias("__copies")) \
-        .where("__copies > 0")
-    crc = F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))
-    marked = docs.withColumn("__own_crc", crc)
-    joined = marked.join(copies, F.col(id_col).eqNullSafe(F.col("__id"))
-                         & F.col(source_col).cast("string").eqNullSafe(F.col("__source"))
-                         & (F.col("__own_crc") == F.col("__crc")))
-    return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__copies")))).select(*docs.columns)
+    have no part in any target and stay once. Of rows equal in all columns, one stands for its run."""
+    runs = _runs(docs, seed, id_col, text_col, source_col, _row_key(docs))
+    copies = F.when(F.col("size") == 0, 1).otherwise(
+        F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).cast("int")
+    copied = _streams(runs, seed=seed, **options).withColumn("copies", copies).where("copies > 0") \
+        .select(F.col("n").alias("__n"), F.col("row").alias("__row"), F.col("crc").alias("__crc"),
+                F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy"))
+    keys = ["__row", "__crc"]
+    marked = docs.withColumn("__row", _row_key(docs)) \
+        .withColumn("__crc", F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+    seen = runs.agg(F.sum("n").alias("rows"), F.max("n").alias("longest")).first()
+    rows, longest = seen["rows"] or 0, seen["longest"] or 0
+    limit = max(RUN_ROWS, rows // HOT_RUNS)
+    if longest <= 1:
+        return marked.join(copied, keys).select(*docs.columns)
+    if longest <= limit:
+        return marked.dropDuplicates(keys).join(copied, keys).select(*docs.columns)
+    hot = F.broadcast(runs.where(F.col("n") > limit).select(F.col("row").alias("__row"), F.col("crc").alias("__crc")))
+    few = F.broadcast(marked.join(hot, keys, "left_semi").dropDuplicates(keys))
+    rest = marked.join(hot, keys, "left_anti").dropDuplicates(keys)
+    return copied.where(F.col("__n") <= limit).join(rest, keys).select(*docs.columns).unionByName(
+        copied.where(F.col("__n") > limit).join(few, keys).select(*docs.columns))
 
 
 def write_mix(drawn: DataFrame, path: str) -> None:

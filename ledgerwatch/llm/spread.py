@@ -5,7 +5,7 @@ from __future__ import annotations
 
 import math
 import tempfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
@@ -52,16 +52,18 @@ def cut(df: DataFrame) -> DataFrame:
 
 
 def running_start(df: DataFrame, groups: list[str], order: str, ties: list[str], weight: str,
-                  n_rows: int, out: str) -> DataFrame:
+                  n_rows: int, out: str, ranges: Callable[[Column], Column] | None = None) -> DataFrame:
     """Exclusive running sum of ``weight`` in each group, by ``order`` then ``ties``.
 
     ``order`` is a long holding a uniform 60-bit hash (0 <= order < 2**60). Its top bits cut a
     group into about sqrt(n_rows) ranges, so no task holds a whole group: one
     window runs inside (group, range), a second one over the range totals.
+    ``ranges`` may cut these ranges finer, in the order of the rows.
     Group columns may be null. ``df`` should be cheap to read twice.
     """
     bits = min(30, max(0, math.ceil(math.log2(max(1, n_rows)) / 2)))
-    sub = df.withColumn("__sub", F.shiftright(F.col(order), 60 - bits))
+    top = F.shiftright(F.col(order), 60 - bits)
+    sub = df.withColumn("__sub", ranges(top) if ranges else top)
     keys = [F.coalesce(F.col(g).cast("string"), F.lit("\u0000null")) for g in groups]
     sub = sub.withColumn("__g", F.concat_ws("\u0001", *keys))
     inside = Window.partitionBy("__g", "__sub").orderBy(order, *ties) \

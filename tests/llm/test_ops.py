@@ -446,6 +446,28 @@ def test_mix_edges(spark, edge, empty):
                                                                      and r["doc_id"]).values()) <= 2
 
 
+def test_runs_of_equal_rows_are_cut_exactly(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "RUN_ROWS", 100)  # so that the runs are dealt out in pieces and are hot
+    same, none = ("eins zwei drei vier fuenf", "a"), ("sechs sieben", "b")
+    rows = [(7, *same, None)] * 1000 + [(None, *none, "x")] * 300 + [(None, *none, None)] * 200 + [(None, None, "b", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n string")
+    a, b = docs.where("source = 'a'"), docs.where("source = 'b'")
+    for share in (0.4, 0.6, 1.3):
+        assert mixing.mixed_documents(a, share=share).count() == 1000 * share
+        mixed = collections.Counter(tuple(r) for r in mixing.mixed_documents(b, share=share).collect())
+        assert sum(mixed.values()) == 500 * share + 1 and set(mixed) <= {r for r in rows if r[2] == "b"}
+        lone, x = mixed[None, *none, None], mixed[None, *none, "x"]  # a run is taken whole before the next begins
+        assert (lone, x) in {(min(200, left) + base * 200, max(0, left - 200) + base * 300) for base, left in
+                             [divmod(round(500 * share), 500)]} | {(max(0, left - 300) + base * 200, min(300, left) +
+                             base * 300) for base, left in [divmod(round(500 * share), 500)]}
+    taken = sorted(r["taken"] for r in mixing.mix_streams(a, share=0.4).collect())
+    assert taken == [0] * 600 + [5] * 400
+    many = spark.range(1000).selectExpr("cast(if(id < 600, null, id div 10) as long) as doc_id", "concat('w', id, ' v') as text",
+                                        "'a' as source")  # 600 texts without an id: cut into ranges
+    rows = sorted((r["start"], r["size"], r["h"]) for r in mixing.mix_streams(many).collect())
+    assert [s for s, _, _ in rows] == list(range(0, 2000, 2)) and [h for *_, h in rows] == sorted(h for *_, h in rows)
+
+
 # ---- op9, op10 ---------------------------------------------------------------
 
 def test_exact_groups(spark, edge, empty):
