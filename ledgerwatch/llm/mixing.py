@@ -10,7 +10,9 @@
    the left half are a multivariate hypergeometric draw from the node's quotas.
 4. A keyed bijection permutes each source's block numbers; a shard takes a
    disjoint run of permuted blocks, and its pieces are shuffled locally by a
-   hash order.
+   hash order. What a row gives to the mix is the sum of its pieces that were
+   dealt to a shard; the documents of the mix stand in the order of the shards
+   and of their local shuffle.
 
 The driver sees one row per source, never rows of documents. Equal rows
 are one run, counted before any sum and given back as numbered rows. Stream
@@ -141,7 +143,7 @@ def _runs(docs: DataFrame, seed: int, id_col: str, text_col: str, source_col: st
 
 def _streams(runs: DataFrame, weight_cycle: tuple[float, ...] = (3, 1, 2), share: float = 1.5,
              max_epochs: float = 2.0, n_shards: int = 16, block_words: int = 2048, seed: int = 20) -> DataFrame:
-    """One row for every row of the runs: their columns, ``taken``, ``start`` and the source's plan columns."""
+    """One row for every row of the runs: their columns, ``start``, the source's plan columns, ``pieces``, ``taken``."""
     by_source = runs.groupBy("source").agg(F.sum("total").alias("words"), F.count(F.lit(1)).alias("runs"),
                                            F.max("n").alias("longest")).collect()
     sizes = sorted(((r["source"], int(r["words"])) for r in by_source), key=lambda x: (x[0] is None, (x[0] or "").encode()))
@@ -155,36 +157,66 @@ def _streams(runs: DataFrame, weight_cycle: tuple[float, ...] = (3, 1, 2), share
         nth = F.sequence(F.col("part") * RUN_ROWS, F.least(F.col("n"), (F.col("part") + 1) * RUN_ROWS) - 1)
     placed = placed.withColumn("nth", F.explode(nth)).withColumn("start", F.col("start") + F.col("nth") * F.col("size"))
     table = F.broadcast(runs.sparkSession.createDataFrame(plan, PLAN))
-    whole = F.col("words") - F.col("start")
-    taken = F.lit(0).cast("long")
+    streams = placed.join(table, F.col("source").eqNullSafe(F.col("p_source")), "left").drop("p_source")
+    return streams.withColumn("pieces", _pieces(max_epochs)).withColumn("taken", _words(F.col("pieces")))
+
+
+PIECE = "struct<epoch: int, word_from: bigint, word_to: bigint, block_no: bigint, shard: int>"
+
+
+def _pieces(max_epochs: float) -> Column:
+    """The drawn pieces of a row: its words word_from to word_to - 1 of an epoch, their block and its shard.
+    Rows are cut where a block of the stream ends, so every shard gets its exact quota."""
+    arrays = []
     for epoch in range(math.ceil(max_epochs)):
-        taken = taken + F.greatest(F.lit(0), F.least(F.col("size"), whole - F.lit(epoch) * F.col("source_size")))
-    return placed.join(table, F.col("source").eqNullSafe(F.col("p_source")), "left").drop("p_source") \
-        .withColumn("taken", taken.cast("long"))
+        at = F.col("start") + F.lit(epoch) * F.col("source_size")
+        drawn = F.least(F.col("size"), F.col("words") - at)
+        numbers = F.sequence(*[F.floor(x / F.col("block")).cast("long") for x in (at, at + drawn - 1)])
+
+        def piece(number: Column) -> Column:  # called at once
+            spot = F.pmod(number * F.col("mul") + F.col("add"), F.col("quota"))  # factors below 2**29: no overflow
+            begin = number * F.col("block") - at
+            return F.struct(F.lit(epoch).alias("epoch"), F.greatest(begin, F.lit(0)).alias("word_from"),
+                            F.least(begin + F.col("block"), drawn).alias("word_to"), number.alias("block_no"),
+                            F.size(F.filter("bounds", lambda b: b <= spot)).alias("shard"))
+
+        arrays.append(F.when(drawn > 0, F.transform(numbers, piece)).otherwise(F.array().cast(f"array<{PIECE}>")))
+    return F.filter(F.concat(*arrays), lambda p: p["shard"] < F.size("bounds"))  # dealt to a shard
+
+
+def _words(pieces: Column) -> Column:
+    return F.aggregate(pieces, F.lit(0).cast("long"), lambda n, p: n + p["word_to"] - p["word_from"])
+
+
+def _local_order(seed: int, epoch: Column, number: Column) -> Column:
+    return hash60(F.lit(seed + 1), F.col("id"), F.col("source"), F.col("start"), epoch, number)
 
 
 def mix_streams(docs: DataFrame, seed: int = 20, id_col: str = "doc_id", text_col: str = "text",
                 source_col: str = "source", **options) -> DataFrame:
-    """Per row: id, source, size, source_size, target, taken, ``start`` (its place in the source's
-    permuted stream) and the source's plan columns."""
+    """Per row: id, source, size, source_size, target, ``start`` (its place in the source's permuted stream),
+    the source's plan columns, its drawn ``pieces`` and ``taken``, the words of these."""
     return _streams(_runs(docs, seed, id_col, text_col, source_col, None), seed=seed, **options)
 
 
-def draws(streams: DataFrame, seed: int = 20, max_epochs: float = 2.0) -> DataFrame:
-    """The drawn pieces: id, source, epoch, its words word_from to word_to - 1, block, shard and local shuffle
-    order. Documents are cut where a block of the stream ends, so every shard gets its exact quota."""
-    e = streams.withColumn("epoch", F.explode(F.array(*[F.lit(i) for i in range(math.ceil(max_epochs))])))
-    e = e.withColumn("at", F.col("start") + F.col("epoch") * F.col("source_size")) \
-        .withColumn("drawn", F.least(F.col("size"), F.col("words") - F.col("at"))).where("drawn > 0")
-    number = [F.floor(x / F.col("block")).cast("long") for x in (F.col("at"), F.col("at") + F.col("drawn") - 1)]
-    e = e.withColumn("number", F.explode(F.sequence(*number)))
-    spot = F.pmod(F.col("number") * F.col("mul") + F.col("add"), F.col("quota"))  # factors below 2**29: no overflow
-    begin = F.col("number") * F.col("block") - F.col("at")
-    return e.withColumn("spot", spot).select(
-        "id", "source", "epoch", F.greatest(begin, F.lit(0)).alias("word_from"),
-        F.least(begin + F.col("block"), F.col("drawn")).alias("word_to"), F.col("number").alias("block_no"),
-        F.size(F.filter("bounds", lambda b: b <= F.col("spot"))).alias("shard"),
-        hash60(F.lit(seed + 1), F.col("id"), F.col("epoch"), F.col("number")).alias("local_order"))
+def draws(streams: DataFrame, seed: int = 20) -> DataFrame:
+    """The drawn pieces, one a row: id, source, epoch, its words word_from to word_to - 1, block, shard and local
+    shuffle order."""
+    return streams.withColumn("piece", F.explode("pieces")).select(
+        "id", "source", "piece.*",
+        _local_order(seed, F.col("piece.epoch"), F.col("piece.block_no")).alias("local_order"))
+
+
+def _copies(max_epochs: float) -> Column:
+    """The first pieces of the epochs from which a row is taken: of its words, half or more are drawn. A row
+    without words has one, in a shard by its hash."""
+    mine = F.transform(F.sequence(F.lit(0), F.lit(math.ceil(max_epochs) - 1)),
+                       lambda e: F.filter("pieces", lambda p: p["epoch"] == e))
+    taken = F.filter(mine, lambda ps: (F.size(ps) > 0) & (2 * _words(ps) >= F.col("size")))
+    none = F.lit(0).cast("long")
+    lone = F.struct(F.lit(0).alias("epoch"), none.alias("word_from"), none.alias("word_to"), none.alias("block_no"),
+                    F.pmod(F.col("h"), F.size("bounds")).cast("int").alias("shard"))
+    return F.when(F.col("size") == 0, F.array(lone)).otherwise(F.transform(taken, lambda ps: F.get(ps, F.lit(0))))
 
 
 def _row_key(docs: DataFrame) -> Column:
@@ -198,31 +230,35 @@ def _row_key(docs: DataFrame) -> Column:
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                    seed: int = 20, **options) -> DataFrame:
-    """The documents, all columns, each repeated as often as the mix takes it: ``taken / size`` rounded
-    half up, so the one cut document of a source is taken whole or not at all. Documents without words
-    have no part in any target and stay once. Of rows equal in all columns, one stands for its run."""
+                    seed: int = 20, max_epochs: float = 2.0, **options) -> DataFrame:
+    """The documents, all columns, in the order of the shards and of their local shuffle, each as often as
+    the mix takes it: once for every epoch from which half of its words or more are drawn, so the one cut
+    document of a source is taken whole or not at all. A copy stands where its first drawn piece does.
+    Documents without words have no part in any target and stay once. Of rows equal in all columns, one
+    stands for its run."""
     runs = _runs(docs, seed, id_col, text_col, source_col, _row_key(docs))
-    copies = F.when(F.col("size") == 0, 1).otherwise(
-        F.floor((2 * F.col("taken") + F.col("size")) / (2 * F.col("size")))).cast("int")
-    copied = _streams(runs, seed=seed, **options).withColumn("copies", copies).where("copies > 0") \
+    copied = _streams(runs, seed=seed, max_epochs=max_epochs, **options) \
+        .withColumn("first", F.explode(_copies(max_epochs))) \
         .select(F.col("n").alias("__n"), F.col("row").alias("__row"), F.col("crc").alias("__crc"),
-                F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("__copy"))
+                F.col("first.shard").alias("__shard"),
+                _local_order(seed, F.col("first.epoch"), F.col("first.block_no")).alias("__order"))
     keys = ["__row", "__crc"]
     marked = docs.withColumn("__row", _row_key(docs)) \
         .withColumn("__crc", F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
     seen = runs.agg(F.sum("n").alias("rows"), F.max("n").alias("longest")).first()
     rows, longest = seen["rows"] or 0, seen["longest"] or 0
     limit = max(RUN_ROWS, rows // HOT_RUNS)
-    if longest <= 1:
-        return marked.join(copied, keys).select(*docs.columns)
+    place = ["__shard", "__order"]
+    cols = [*docs.columns, *place]
     if longest <= limit:
-        return marked.dropDuplicates(keys).join(copied, keys).select(*docs.columns)
-    hot = F.broadcast(runs.where(F.col("n") > limit).select(F.col("row").alias("__row"), F.col("crc").alias("__crc")))
-    few = F.broadcast(marked.join(hot, keys, "left_semi").dropDuplicates(keys))
-    rest = marked.join(hot, keys, "left_anti").dropDuplicates(keys)
-    return copied.where(F.col("__n") <= limit).join(rest, keys).select(*docs.columns).unionByName(
-        copied.where(F.col("__n") > limit).join(few, keys).select(*docs.columns))
+        out = (marked if longest <= 1 else marked.dropDuplicates(keys)).join(copied, keys).select(*cols)
+    else:
+        hot = F.broadcast(runs.where(F.col("n") > limit).select(F.col("row").alias("__row"), F.col("crc").alias("__crc")))
+        few = F.broadcast(marked.join(hot, keys, "left_semi").dropDuplicates(keys))
+        rest = marked.join(hot, keys, "left_anti").dropDuplicates(keys)
+        out = copied.where(F.col("__n") <= limit).join(rest, keys).select(*cols).unionByName(
+            copied.where(F.col("__n") > limit).join(few, keys).select(*cols))
+    return out.repartitionByRange(*place).sortWithinPartitions(*place).select(*docs.columns)
 
 
 def write_mix(drawn: DataFrame, path: str) -> None:

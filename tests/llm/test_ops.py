@@ -468,6 +468,30 @@ def test_runs_of_equal_rows_are_cut_exactly(spark, monkeypatch):
     assert [s for s, _, _ in rows] == list(range(0, 2000, 2)) and [h for *_, h in rows] == sorted(h for *_, h in rows)
 
 
+def test_the_mix_is_what_the_shards_were_dealt(spark, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    pieces = collections.defaultdict(list)
+    for r in mixing.draws(mixing.mix_streams(docs)).collect():
+        pieces[r["id"], r["epoch"]].append(r)
+    size = {r["doc_id"]: len(WORD.findall(r["text"] or "")) for r in docs.collect()}
+    order = []
+    for (i, _), ps in pieces.items():
+        if 2 * sum(p["word_to"] - p["word_from"] for p in ps) >= size[i]:
+            first = min(ps, key=lambda p: p["word_from"])
+            order.append((first["shard"], first["local_order"], i))
+    assert [r["doc_id"] for r in mixing.mixed_documents(docs).collect() if size[r["doc_id"]]] == \
+        [i for *_, i in sorted(order)]
+    whole = {r["doc_id"]: r["taken"] for r in queries.q_mix(spark, SF).collect()}
+    split = mixing.split_quotas
+
+    def without_the_last(*a):  # the blocks of the last shard are dealt to nobody
+        return split(*a)[:-1]
+    monkeypatch.setattr(mixing, "split_quotas", without_the_last)
+    fewer = {r["doc_id"]: r["taken"] for r in queries.q_mix(spark, SF).collect()}
+    lost = sum(whole.values()) - sum(fewer.values())
+    assert all(fewer[i] <= n for i, n in whole.items()) and 0 < lost < sum(whole.values()) / 8
+
+
 # ---- op9, op10 ---------------------------------------------------------------
 
 def test_exact_groups(spark, edge, empty):
