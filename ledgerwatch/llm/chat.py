@@ -17,7 +17,8 @@ length of a conversation never has to fit in memory.
 Defined cases: null role or text is empty; turns are in order of turn, then
 role, then text (null turns first); rows repeated in a conversation are turns
 of their own; a null id is a conversation of its own; fields that no layout
-names are ignored; a JSON record of unknown layout becomes one turn of role
+names are ignored; a JSON record that is one turn keeps its own turn (null if
+that is no number), other records number theirs; a JSON record of unknown layout becomes one turn of role
 ``unknown`` that holds the record; a typed table of unknown layout is an error;
 an empty table gives an empty result.
 """
@@ -171,6 +172,15 @@ def record_turns(value: object) -> tuple[str, list[tuple[str, str]]]:
     return layout.name, [m for m in made if m[1]]
 
 
+def own_turn(value: object) -> int | None:
+    """The turn that a record of the rows-by-turn layout names, as a 64-bit number (null: not one)."""
+    try:
+        turn = int(value)
+    except (TypeError, ValueError, OverflowError):
+        return None
+    return turn if -(1 << 63) <= turn < 1 << 63 else None
+
+
 def _json_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         at, turn, layouts, roles, texts = [], [], [], [], []
@@ -181,7 +191,7 @@ def _json_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 value = raw
             name, turns = record_turns(value)
             for n, (role, text) in enumerate(turns):
-                at.append(i), turn.append(n), layouts.append(name), roles.append(role), texts.append(text)
+                at.append(i), turn.append(own_turn(value["turn"]) if name == "turn_rows" else n), layouts.append(name), roles.append(role), texts.append(text)
         yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(at, pa.int64())), pa.array(turn, pa.int64()),
                                           pa.array(layouts, pa.string()), pa.array(roles, pa.string()),
                                           pa.array(texts, pa.string())], names=["id", "turn", "layout", "role", "text"])

@@ -117,6 +117,16 @@ def test_json_records_are_mapped_one_by_one(spark):
     assert got[2][0][:2] == ("unknown", "unknown") and got[3] == [("unknown", "unknown", "no json")] and len(got[4]) == 1
 
 
+def test_json_rows_keep_their_own_turn(spark):
+    raw = ['{"turn": 2, "role": "assistant", "text": "a"}', '{"turn": 1, "role": "user", "text": "z"}',
+           '{"turn": "3", "role": "user", "text": "b"}', '{"turn": "x", "role": "user", "text": "c"}']
+    df = spark.createDataFrame([(1, r) for r in raw], "conv_id long, js string")
+    turns = chat.canonical_turns_json(df, "conv_id", "js")
+    assert {r["text"]: r["turn"] for r in turns.collect()} == {"a": 2, "z": 1, "b": 3, "c": None}
+    got = chat.read_back(chat.format_turns(turns)).first()
+    assert got["turns_sha256"] == hashlib.sha256(b"user\nc\nuser\nz\nassistant\na\nuser\nb\n").hexdigest()
+
+
 @pytest.mark.parametrize("text", ["", "\\### Assistant: </turn> ok", "\\", "a\\", "</turn>\n", "### User:\n", "é<#\\\\#"])
 def test_turns_round_trip(spark, text):
     df = spark.createDataFrame([(1, 0, "assistant", text), (1, 1, "we:ird\n#role", text), (1, 2, None, None)],
