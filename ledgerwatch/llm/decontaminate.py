@@ -27,7 +27,8 @@ each block is compared with all documents in one pass without a shuffle.
 
 Defined cases: text is compared by words of 0x20/0x09-0x0D separated bytes,
 A-Z lower-cased; null or word-free texts and items match nothing; an item of
-fewer than five words is one shingle; each (row, item) gives one row: the best
+fewer than five words is one shingle and matches only a text of exactly its
+words, never a part of a longer text; each (row, item) gives one row: the best
 and then leftmost window of the item's length, or of any length where none of
 the item's length reaches the threshold; repeated rows each match; an empty benchmark or
 table gives no match; extra columns are ignored by ``find_leaks`` and passed
