@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import chat, decontaminate, exact_dedup, mixing, near_dup, packing, quality, sharding, token_files, toxicity
+from ledgerwatch.llm import (chat, conversation_repair, decontaminate, exact_dedup, filter_audit, mixing, near_dup, oracles,
+                             packing, quality, sharding, token_files, toxicity)
 
 SHARDS = 40
 
@@ -70,6 +71,15 @@ def q_near(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def q_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def q_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_conversations(damaged).withColumnRenamed("id", "conv_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_format": q_chat,
     "op2_quality": q_quality,
@@ -81,6 +91,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_source_mix": q_mix,
     "op9_exact_dedup": q_exact,
     "op10_near_dup": q_near,
+    "op11_filter_audit": q_audit,
+    "op13_conversation_repair": q_repair,
 }
 
 WORDS_SQL = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
@@ -127,6 +139,8 @@ ORACLE: dict[str, str] = {
         select d.doc_id, g.keep_id, g.group_size, d.doc_id is not distinct from g.keep_id as kept,
                sha256(d.t) as text_sha256
         from d join g using (t)""",
+    "op11_filter_audit": oracles.FILTER_AUDIT,
+    "op13_conversation_repair": oracles.CONVERSATION_REPAIR,
 }
 
 
