@@ -34,6 +34,30 @@ FILTER_AUDIT = rf"""
           from c, s group by part, filter_order, step, bit)
     select * exclude (bit), (sum(removed) over (partition by part, bit))::bigint as shapley from t"""
 
+
+def set_links(shingle: int, percent: int, kept: bool = False) -> str:
+    """Components of documents whose distinct shingles are similar enough: all pairs of sets that share a shingle."""
+    more = ", coalesce(r.doc_id = coalesce(component_id, r.doc_id), true) as kept" if kept else ""
+    return rf"""
+    with recursive
+    d as (select doc_id, regexp_extract_all({LOWER.format("coalesce(text, '')")}, '{WORD}') as w from documents),
+    r as (select doc_id, list_sort(list_distinct(case when len(w) = 0 then []::varchar[]
+                 when len(w) < {shingle} then [array_to_string(w, ' ')]
+                 else list_transform(range(1, len(w) - {shingle} + 2), lambda i: array_to_string(w[i:i + {shingle - 1}], ' ')) end)) as g from d),
+    c as (select row_number() over () as node, g, len(g) as n, least
+          from (select g, min(doc_id) as least from r where len(g) > 0 and doc_id is not null group by g)),
+    u as (select node, n, unnest(g) as x from c),
+    e as (select a.node as a, b.node as b from u a join u b on a.x = b.x and a.node <> b.node
+          where 100 * least(a.n, b.n) >= {percent} * greatest(a.n, b.n)
+          group by a.node, a.n, b.node, b.n having 100 * count(*) >= {percent} * (a.n + b.n - count(*))),
+    reach as (select node, node as other from c union select reach.node, e.b from reach join e on reach.other = e.a),
+    k as (select reach.node, min(o.least) as component_id from reach join c o on reach.other = o.node group by reach.node),
+    f as (select c.g, k.component_id from c join k using (node))
+    select r.doc_id, len(r.g)::bigint as n_shingles,
+           case when r.doc_id is not null then coalesce(component_id, r.doc_id) end as component_id{more}
+    from r left join f on r.g = f.g"""
+
+
 _CRC = """(xor(list_reduce([4294967295::bigint] || flatten(list_transform(string_split({key}, ''),
         lambda c: [ord(c)::bigint, 0, 0, 0, 0, 0, 0, 0])),
         lambda a, x: xor(xor(a, x) >> 1, 3988292384 * (xor(a, x) & 1))), 4294967295))"""

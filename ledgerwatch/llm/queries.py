@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm import (chat, conversation_repair, decontaminate, exact_dedup, filter_audit, mixing, near_dup, oracles,
-                             packing, quality, sharding, token_files, toxicity)
+                             packing, quality, set_join, sharding, token_files, toxicity)
 
 SHARDS = 40
 
@@ -75,6 +75,10 @@ def q_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def q_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return set_join.join_sets(table(spark, sf_dir, "documents"), shingle=4, percent=85)
+
+
 def q_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
     return conversation_repair.repair_conversations(damaged).withColumnRenamed("id", "conv_id")
@@ -92,6 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_exact_dedup": q_exact,
     "op10_near_dup": q_near,
     "op11_filter_audit": q_audit,
+    "op12_ngram_join": q_sets,
     "op13_conversation_repair": q_repair,
 }
 
@@ -139,7 +144,9 @@ ORACLE: dict[str, str] = {
         select d.doc_id, g.keep_id, g.group_size, d.doc_id is not distinct from g.keep_id as kept,
                sha256(d.t) as text_sha256
         from d join g using (t)""",
+    "op10_near_dup": oracles.set_links(3, 85, kept=True),
     "op11_filter_audit": oracles.FILTER_AUDIT,
+    "op12_ngram_join": oracles.set_links(4, 85),
     "op13_conversation_repair": oracles.CONVERSATION_REPAIR,
 }
 

@@ -37,7 +37,6 @@ columns are read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import combinations
@@ -56,6 +55,7 @@ from ledgerwatch.llm.text import as_binary, blocks, mix
 PARTS = 2              # n2, second-level partitions
 DIRTY = 1              # k2, of which so many may differ
 SEEDS = 4
+RARELY = 1.3           # standard deviations: one set in ten has more sparse partitions than are spare
 COARSE = 4             # first-level partitions of the first links
 ID_SLOTS = 1 << 25     # 4 MB bitmap
 KEY_SLOTS = 1 << 27    # 16 MB bitmap
@@ -67,7 +67,7 @@ SET_ROWS = 128         # pairs of whole sets in an Arrow batch
 class Bands:
     """Size bands of a similarity bound with their partition counts."""
 
-    def __init__(self, percent: int, parts: int = PARTS, dirty: int = DIRTY, largest: int = 1 << 40):
+    def __init__(self, percent: int, parts: int = PARTS, dirty: int = DIRTY, largest: int = 1 << 31):
         self.percent, self.parts, self.dirty = percent, parts, dirty
         self.subsets = list(combinations(range(parts), parts - dirty))
         lows, low = [], 1
@@ -83,18 +83,13 @@ class Bands:
         self.first_level = need + self.spare
 
     def _spare(self, need: int, size: int) -> int:
-        """Least number of spare partitions for which sets of the least size rarely have more sparse ones."""
-        best, chosen = 2.0, 0
-        for spare in range(2 + need // 4):
-            n1 = need + spare
-            mean = n1 * min(1.0, len(self.subsets) * math.exp(-size * (self.parts - self.dirty) / (n1 * self.parts)))
-            deviation = math.sqrt(mean) or 1.0
-            miss = 0.5 * math.erfc((spare + 0.5 - mean) / deviation / math.sqrt(2))
-            if miss < best:
-                best, chosen = miss, spare
-            if miss <= 0.1:
-                break
-        return chosen
+        """Least number of spare partitions (of a grid of numbers) for which sets of the least size rarely have more sparse ones."""
+        spare = np.unique(np.concatenate(([0], np.geomspace(1, 2 + need // 4, 200).astype(np.int64))))
+        n1 = need + spare
+        mean = n1 * np.minimum(1.0, len(self.subsets) * np.exp(-size * (self.parts - self.dirty) / (n1 * self.parts)))
+        late = (spare + 0.5 - mean) / np.sqrt(np.maximum(mean, 1e-9))
+        enough = late >= RARELY
+        return int(spare[np.argmax(enough) if enough.any() else np.argmax(late)])
 
     def of(self, size: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.low, size, side="right") - 1
