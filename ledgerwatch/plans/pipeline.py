@@ -13,7 +13,9 @@ watermark and last load are before that date:
 Targets are gated one by one: a family that arrives after others of its date
 were committed is loaded by the next run. A file older than its own target's
 watermark is not loaded, as in the original; the result names it under
-``late`` and it stays in the landing folder.
+``late`` and it stays in the landing folder. So does a file that is delivered
+again with other content: only the very file that a load took, by length and
+checksum, is archived.
 
 Each input is parsed or read once into a staging folder (the original's
 ``*_tmp`` tables), so a live source is read exactly once per batch; outputs
@@ -53,8 +55,12 @@ class EmptySnapshotError(RuntimeError):
 
 
 def pending_batches(spark: SparkSession, landing: str) -> list[dict]:
-    """Batch dates of the landing folder with per-family availability."""
+    """Batch dates of the landing folder with per-family availability; a file whose name has an
+    impossible date stops the run, as in the original, instead of being passed over."""
     files = discovery.list_files(spark, landing)
+    undated = discovery.undated_files(files).orderBy("file_name").first()
+    if undated is not None:
+        raise ValueError(f"no date in the file name {undated['file_name']}")
     return [r.asDict() for r in discovery.discover_batches(files).collect()]
 
 
@@ -102,14 +108,16 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
         state.setdefault(t, (None, None))
     midnight = dt.datetime.combine(batch, dt.time())
     due = {t: _wm(state, t) < midnight and (state[t][1] is None or state[t][1] < batch) for t in TARGETS}
-    taken_before = {(r["target"], r["batch_dt"]) for r in wh.loads().where(F.col("batch_dt") == F.lit(batch)).collect()}
+    taken_before = {r["target"]: (r["file_length"], r["file_checksum"])
+                    for r in wh.loads().where(F.col("batch_dt") == F.lit(batch)).collect()}
     files = {t: f"{landing}/{prefix}_{batch:%d%m%Y}.{ext}" for t, (prefix, ext) in FILES.items()}
     files = {t: f for t, f in files.items() if wh.exists(f)}
-    late = sorted(f for t, f in files.items() if not due[t] and (t, batch) not in taken_before)
+    prints = {t: wh.fingerprint(f) for t, f in files.items() if due[t] or t in taken_before}
+    done = {t for t in files if not due[t] and t in taken_before and prints[t] == taken_before[t]}
+    late = sorted(f for t, f in files.items() if not due[t] and t not in done)
     if archive:   # files of a load that crashed between its commit and the archiving
-        for t, f in files.items():
-            if not due[t] and (t, batch) in taken_before:
-                wh.archive(f, f"{landing}/archive")
+        for t in done:
+            wh.archive(files[t], f"{landing}/archive")
     load = wh.begin()
     as_of = max([d for _, d in state.values() if d] + [batch])
 
@@ -159,7 +167,8 @@ def run_batch(spark: SparkSession, wh: Warehouse, landing: str, batch: dt.date,
         ran.append(REPORT)
 
     if ran:
-        taken = [(t, batch, files[t].rsplit("/", 1)[1] if t in files else None) for t in ran if t != REPORT]
+        taken = [(t, batch, files[t].rsplit("/", 1)[1], *prints[t]) if t in files else (t, batch, None, None, None)
+                 for t in ran if t != REPORT]
         wh.commit([(t, *v) for t, v in state.items()], taken, load)
         if archive:
             for t in ran:

@@ -34,7 +34,8 @@ META_STATE = T.StructType([T.StructField("schema_name", T.StringType(), True, {"
                            T.StructField("last_load_dt", T.DateType()),
                            T.StructField("processed_dt", T.TimestampType())])
 LOADS = T.StructType([T.StructField("target", T.StringType()), T.StructField("batch_dt", T.DateType()),
-                      T.StructField("file", T.StringType())])
+                      T.StructField("file", T.StringType()), T.StructField("file_length", T.LongType()),
+                      T.StructField("file_checksum", T.StringType())])
 FACTS = {"transactions": TRANSACTIONS, "passport_blacklist": BLACKLIST}
 EVENT_DAY = {"transactions": "trans_date"}   # facts stored by the day of this time
 SCHEMA_NAME = "ledgerwatch"
@@ -120,8 +121,14 @@ class Warehouse:
             return self.spark.createDataFrame([], META_STATE)
         return self.spark.read.schema(META_STATE).parquet(self.path("meta", f"load_id={n}"))
 
+    def fingerprint(self, path: str) -> tuple[int, str]:
+        """Length and checksum of a file: the sum of its line hashes, taken in tasks as the file may be large."""
+        size = self._fs(path).getFileStatus(self._Path(path)).getLen()
+        total = self.spark.read.text(path).agg(F.sum(F.xxhash64("value").cast("decimal(38,0)"))).first()[0]
+        return size, str(total)
+
     def loads(self) -> DataFrame:
-        """Target, batch date and file of everything that committed loads took."""
+        """Target, batch date and file (name, length, checksum) of everything that committed loads took."""
         df = self._read(self.path("loads"), LOADS, None)
         return self.spark.createDataFrame([], LOADS) if df is None else df
 

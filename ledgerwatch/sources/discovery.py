@@ -39,6 +39,13 @@ def parse_file_names(files: DataFrame, name_col: str = "file_name") -> DataFrame
                  .where((F.col("family") != "") & F.col("batch_dt").isNotNull()))
 
 
+def undated_files(files: DataFrame, name_col: str = "file_name") -> DataFrame:
+    """file_name of a family's files whose eight digits are no date; ``parse_file_names`` leaves them out."""
+    name = F.col(name_col)
+    day = parse_ddmmyyyy(F.regexp_extract(name, NAME_PATTERN, 2))
+    return files.select(name.alias("file_name")).where(name.rlike(NAME_PATTERN) & day.isNull())
+
+
 def discover_batches(files: DataFrame, name_col: str = "file_name") -> DataFrame:
     """One row per batch date, sorted by date, with a flag per family."""
     parsed = parse_file_names(files, name_col)

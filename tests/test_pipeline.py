@@ -393,3 +393,42 @@ def test_names_and_cells_without_a_date_are_errors(spark):
             raise
         except Exception as e:
             assert "not a date" in str(e) or "no date in file name" in str(e)
+
+
+def test_a_file_delivered_again_is_kept_unless_it_is_the_same(spark, tmp_dir):
+    landing, root = os.path.join(tmp_dir, "landing"), os.path.join(tmp_dir, "dwh")
+    os.makedirs(landing)
+    path = os.path.join(landing, "transactions_01012024.txt")
+
+    def put(ids):
+        with open(path, "w") as f:
+            f.write("id;date;amt;card;type;result;term\n")
+            f.writelines(f"{i};2024-01-01 10:00:00;1,50;c1;P;SUCCESS;T1\n" for i in ids)
+
+    put([1, 2])
+    assert "transactions" in pipeline.run_pending(spark, landing, root)[0]["ran"]
+    assert not os.path.exists(path)
+    put([1, 2, 3, 4])                                  # other content: reported and left alone, each time
+    for _ in range(2):
+        out = pipeline.run_pending(spark, landing, root)[0]
+        assert out["ran"] == [] and [p.rsplit("/", 1)[1] for p in out["late"]] == ["transactions_01012024.txt"]
+        assert len(open(path).readlines()) == 5
+    put([2, 9])                                        # other content of the same length
+    assert pipeline.run_pending(spark, landing, root)[0]["late"] and os.path.exists(path)
+    put([1, 2])                                        # the very file that was loaded
+    out = pipeline.run_pending(spark, landing, root)[0]
+    assert out["late"] == [] and out["ran"] == [] and not os.path.exists(path)
+    assert sorted(r.trans_id for r in Warehouse(spark, root).facts("transactions").collect()) == ["1", "2"]
+
+
+def test_a_name_with_an_impossible_date_stops_the_run(spark, tmp_dir):
+    for name in ("transactions_01032021.txt", "transactions_99999999.txt", "notes_99999999.txt"):
+        with open(os.path.join(tmp_dir, name), "w") as f:
+            f.write("x")
+    try:
+        pipeline.pending_batches(spark, tmp_dir)
+        raise AssertionError("expected ValueError")
+    except ValueError as e:
+        assert "transactions_99999999.txt" in str(e)
+    os.rename(os.path.join(tmp_dir, "transactions_99999999.txt"), os.path.join(tmp_dir, "other.txt"))
+    assert [b["batch_dt"] for b in pipeline.pending_batches(spark, tmp_dir)] == [dt.date(2021, 3, 1)]
