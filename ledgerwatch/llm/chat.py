@@ -114,13 +114,14 @@ def value_paths(value: object, at: str = "") -> set[str]:
 
 def layout_of(paths: list[str]) -> Layout | None:
     """The layout with this fingerprint, fields that no layout knows left out; failing that (fields of
-    several layouts at once), the largest layout all of whose fields are there."""
+    several layouts at once), the rows-by-turn layout if its fields are there, else the largest layout all
+    of whose fields are there."""
     known = [p for p in set(paths) if p in KNOWN_PATHS]
     exact = BY_FINGERPRINT.get(fingerprint(known))
     if exact:
         return exact
     fit = [x for x in LAYOUTS if set(x.paths) <= set(known)]
-    return max(fit, key=lambda x: (len(x.paths), x.name)) if fit else None
+    return max(fit, key=lambda x: (bool(x.row), len(x.paths), x.name)) if fit else None
 
 
 def _role(role: Column, rename: bool) -> Column:

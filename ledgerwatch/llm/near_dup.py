@@ -21,8 +21,9 @@ No bucket is capped and no pair within a component is put out needlessly.
 
 Defined cases: null and word-free texts have no shingles and stay alone; fewer
 words than a shingle form one shingle; rows with a null id get a null
-``component_id`` and stay; rows repeated under one id are one document; an
-empty table gives an empty result; only the named columns are read.
+``component_id`` and stay; rows of one id with different texts are documents of
+their own, each kept or dropped by its own text; an empty table gives an empty
+result; only the named columns are read.
 """
 
 from __future__ import annotations
@@ -33,6 +34,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerwatch.functions.bitmaps import slot_bitmap, with_slot_flag
 from ledgerwatch.llm.components import connected_components
@@ -199,9 +201,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return two.select("a", "b", "ma", "mb").mapInArrow(_verifier(percent), "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 30, rows: int = 4,
-                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id (least id reachable over links), kept."""
+def _decided(docs: DataFrame, shingle: int, percent: int, bands: int, rows: int, id_col: str, text_col: str) -> DataFrame:
+    """Per row: id, n, node (name of its set), component_id, kept."""
     text_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
@@ -264,12 +265,42 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     done = join_stats(sketched.select("id", "n", "node"), of_class, ["node"], "copies", sketched.count(),
                       F.xxhash64("id"))
     component = F.when(F.col("id").isNotNull(), F.coalesce("component_id", "id"))
-    return done.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"),
+    return done.select("id", "n", "node", component.alias("component_id"),
                        F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))
 
 
-def kept_documents(docs: DataFrame, **options) -> DataFrame:
-    """The documents without the rows that a smaller id of their component stands for."""
-    id_col = options.get("id_col", "doc_id")
-    gone = near_duplicates(docs, **options).where("not kept").select(F.col(id_col).alias("__gone")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 30, rows: int = 4,
+                    id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Per row: id, n_shingles, component_id (least id reachable over links), kept."""
+    done = _decided(docs, shingle, percent, bands, rows, id_col, text_col)
+    return done.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id", "kept")
+
+
+def _namer(k: int, text_at: int):
+    """The rows as they come, each with the name of its set."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo, hi, data, offsets in blocks(batch.column(text_at)):
+                names = set_names(*distinct_shingles(data, offsets, k))
+                yield pa.RecordBatch.from_arrays([*batch.slice(lo, hi - lo).columns, names], names=[*batch.schema.names, "__node"])
+    return run
+
+
+def kept_documents(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = 30, rows: int = 4,
+                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The documents without the rows that a smaller id of their component stands for.
+
+    Rows of one id fall together unless their texts differ; the few ids with rows of both fates are told apart by set."""
+    fates = cut(_decided(docs, shingle, percent, bands, rows, id_col, text_col).select(
+        F.col("id").alias("__gone"), F.col("node").alias("__set"), "kept"))
+    gone = fates.where("not kept").select("__gone").distinct()
+    stay = docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+    both = cut(fates.groupBy("__gone").agg(F.min("kept").alias("all"), F.max("kept").alias("any")).where("any and not all").select("__gone"))
+    if both.isEmpty():
+        return stay
+    spared = cut(fates.where("kept").join(both, "__gone", "left_semi").select("__gone", "__set").distinct())
+    mixed = docs.join(both, F.col(id_col) == F.col("__gone"), "left_semi").withColumn("__text", F.col(text_col).cast("string"))
+    schema = T.StructType([*mixed.schema.fields, T.StructField("__node", T.BinaryType())])
+    named = mixed.mapInArrow(_namer(shingle, len(docs.columns)), schema)
+    told = named.join(spared, (F.col(id_col) == F.col("__gone")) & (F.col("__node") == F.col("__set")), "left_semi")
+    return stay.unionByName(told.select(*docs.columns))

@@ -144,7 +144,15 @@ class Network:
         self.temperature = self._temperature(x[rest], y[rest]) if len(rest) else 1.0
 
     def _logits(self, x: np.ndarray) -> np.ndarray:
-        return np.tanh(x @ self.p[0] + self.p[1]) @ self.p[2] + self.p[3]
+        """Sums run feature by feature: a matrix product may sum a row in an order that depends on the other rows."""
+        hidden = np.tile(self.p[1], (len(x), 1))
+        for j in range(x.shape[1]):
+            hidden += x[:, j, None] * self.p[0][j]
+        hidden = np.tanh(hidden)
+        z = np.full(len(x), self.p[3][0])
+        for j in range(hidden.shape[1]):
+            z += hidden[:, j] * self.p[2][j]
+        return z
 
     def _temperature(self, x: np.ndarray, y: np.ndarray) -> float:
         z, grid = self._logits(x), np.exp(np.linspace(np.log(0.25), np.log(8), 61))
@@ -180,7 +188,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, label_col: str = "quality"
     pooled = cut(source.mapInArrow(_pooler(vectors), f"id {kind}, features binary"))
     wanted = training_labels(labels, label_col, limit=sample)  # bounded by the sample size
     train = pooled.join(F.broadcast(wanted), F.col("id") == F.col("train_id")).select("id", "features", "label") \
-        .dropDuplicates(["id"]).orderBy("id").toPandas()
+        .groupBy("id").agg(F.min("features").alias("features"), F.max("label").alias("label")).orderBy("id").toPandas()
     x = np.frombuffer(b"".join(bytes(f) for f in train["features"]), dtype=np.float32).reshape(-1, FEATURES)
     network = Network(x.astype(np.float64), (train["label"].to_numpy() > 0).astype(np.float64))
     return pooled.mapInArrow(_scorer(network), f"id {kind}, score double").select(
