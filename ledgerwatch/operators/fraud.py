@@ -21,6 +21,10 @@ and exact:
 * rule 4: the latest three rows before t are the latest row r with
   ``time <= t-1`` and its row predecessors; a running ``max(struct(time, id,
   lags...))`` picks r together with the lagged values the rule needs.
+
+What a row sees depends on its card and second alone. A window group with too
+many rows (a burst, however narrow) is therefore reduced to one summary per
+second, and the same carries run over the summaries (``_second_pass``).
 """
 
 from __future__ import annotations
@@ -31,13 +35,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.functions.columns import SUCCESS, epoch_seconds, full_name, true_or_false
-from ledgerwatch.operators.temporal import (BUCKET, CONTEXT, hot_bucket_splits, lookback_buckets, max_splits,
-                                            salt_null_key, valid_at_join)
+from ledgerwatch.operators.temporal import BUCKET, CONTEXT, hot_groups, lookback_buckets, salt_null_key, valid_at_join
 
 CITY_WINDOW = 3600      # rule 3 look-back, seconds
 GUESS_WINDOW = 1200     # rule 4 look-back, seconds
 GUESS_ATTEMPTS = 3      # rule 4 number of declined attempts
-HOT_ROWS = 2_000_000    # rows per (card, time bucket) window partition before a card is split finer
+HOT_ROWS = 2_000_000    # rows of a (card, time bucket) window partition before it is reduced to a summary per second
 DAY_BUCKET = 86400      # default time bucket of the rule 3/4 window partitions, seconds
 
 REPORT_COLS = ["event_dt", "passport", "fio", "phone", "event_type", "report_dt"]
@@ -59,9 +62,10 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     Output: trans_id, trans_date, card_num, amt, report_dt, city_hop, amount_guess.
     ``terminals`` (SCD2 history) is needed for rule 3; without it city_hop is
     false. ``rules`` selects the flags to compute (``()`` skips the window
-    pass). Window partitions are (card, time bucket); a bucket holding more
-    than ``hot_rows`` rows of one card is cut into sub-buckets (``None`` turns
-    the per-bucket statistics pass off). ``include_current`` also counts the
+    pass). Window partitions are (card, time bucket); one that would hold more
+    than ``hot_rows`` rows is reduced to a summary per second first, so that no
+    window sees more than ``max(hot_rows, bucket + look-back)`` rows of a group
+    (``None`` turns the counting pass off). ``include_current`` also counts the
     current operation's own city in rule 3 (the original leaves it out; off by
     default for parity). ``repeated_ids`` judges an id that several successful
     rows of a day share by the look-backs of all of them together (rows without
@@ -74,8 +78,8 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     if not (do3 or do4):
         return _candidates_only(tx, report_from, report_to)
     lookback = max(city_window if do3 else 0, guess_window if do4 else 0)
-    # one-day buckets by default: hot ones are split further (hot_rows), so a
-    # wide bucket keeps window groups few and the context copies at 4%
+    # one-day buckets by default: a wide bucket keeps window groups few and the
+    # context copies at 4%; hot ones are reduced per second (hot_rows)
     bucket = bucket or max(DAY_BUCKET, 6 * lookback)
     t = tx.select("trans_id", "trans_date", "card_num", "amt", "oper_result", "terminal")
     if report_from is not None:
@@ -85,13 +89,7 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
         t = t.where(F.col("trans_date") < _day_start(report_to) + F.expr("INTERVAL 1 DAY"))
     ok = true_or_false(F.col("oper_result") == SUCCESS)
     t = t.select("*", epoch_seconds("trans_date").alias("__sec"), ok.alias("__ok"))
-    valid = F.col("card_num").isNotNull() & F.col("__sec").isNotNull()
-    splits = None
-    if hot_rows:
-        # rows per (card, time bucket) from the card/time columns only, before the terminal join
-        splits = hot_bucket_splits(t.select("card_num", "__sec"), key="card_num", seconds="__sec",
-                                   bucket=bucket, hot_rows=hot_rows, max_splits=max_splits(lookback, bucket),
-                                   valid=valid)
+    base = t
     if do3:
         # every transaction looks up its terminal; Spark broadcasts the history if its bytes allow it
         t = valid_at_join(t, terminals, fact_key="terminal", dim_key="terminal_id",
@@ -99,11 +97,72 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
         city = F.when(F.col("__ok"), F.col("__city_raw"))
     else:
         city = F.lit(None).cast("string")
+    valid = F.col("card_num").isNotNull() & F.col("__sec").isNotNull()
     t = t.select(*[c for c in t.columns if c != "__city_raw"], city.alias("__city"), valid.alias("__valid"))
-    rows = t
-    t = lookback_buckets(t, key="card_num", seconds="__sec", lookback=lookback, bucket=bucket,
-                         valid=F.col("__valid"), splits=splits)
+    t = lookback_buckets(t, key="card_num", seconds="__sec", lookback=lookback, bucket=bucket, valid=F.col("__valid"))
+    near = do3 and (include_current or repeated_ids)
+    kw = dict(do3=do3, attempts=attempts if do4 else 0, near=near)
+    if hot_rows:
+        # counted from the card/time columns only, before the terminal join; bounded (see hot_groups)
+        hot = F.broadcast(hot_groups(base, key="card_num", seconds="__sec", lookback=lookback, bucket=bucket,
+                                     hot_rows=hot_rows))
+        group = ["card_num", BUCKET]
+        seen = _row_pass(t.join(hot, group, "left_anti"), **kw).unionByName(
+            _second_pass(t.join(hot, group, "left_semi"), **kw))
+    else:
+        seen = _row_pass(t, **kw)
+
+    city_hop, guess = "false", "false"
+    if do3:
+        city_hop = f"coalesce(__hop_since >= __sec - {city_window}, false)"
+        if near:
+            seen = seen.withColumn("__seen_city", F.expr(f"CASE WHEN __near.s >= __sec - {city_window} THEN __near.lo END"))
+        if include_current:
+            # one earlier city in the frame, or none, is left where city_hop is false
+            city_hop += " OR coalesce(__seen_city <> __city, false)"
+    if do4:
+        def inside(k):
+            return f"(__last.s{k} IS NOT NULL AND __last.s{k} >= __sec - {guess_window})"
+        bad = []
+        for k in range(attempts):
+            prev = f"coalesce(CASE WHEN {inside(k + 1)} THEN __last.a{k + 1} END, __last.a{k} + 1)"
+            bad += [f"coalesce(__last.o{k} = '{SUCCESS}', false)", f"coalesce({prev} - __last.a{k} <= 0, false)"]
+        least = ", ".join(f"__last.a{k}" for k in range(attempts))
+        guess = f"coalesce({inside(attempts - 1)} AND NOT ({' OR '.join(bad)}) AND least({least}) > amt, false)"
+
+    named = "__valid AND trans_id IS NOT NULL"
+    out = seen.withColumns({"report_dt": F.to_date("trans_date"), "city_hop": F.expr(f"{named} AND ({city_hop})"),
+                            "amount_guess": F.expr(f"{named} AND ({guess})")})
+    if report_from is not None:
+        out = out.where(F.col("report_dt") >= F.lit(report_from).cast("date"))
+    cols = ["trans_id", "trans_date", "card_num", "amt", "report_dt"]
+    if not repeated_ids:
+        return out.select(*cols, "city_hop", "amount_guess")
+    paid = base.where(F.col("__ok") & F.col("trans_date").isNotNull() & F.col("trans_id").isNotNull())
+    shared = paid.groupBy("trans_id", F.to_date("trans_date").alias("report_dt")).agg(
+        F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
+    merged = _shared_id_flags(out.where("__valid"), shared, do3, include_current,
+                              attempts if do4 else 0, guess_window)
+    return out.join(merged, ["trans_id", "report_dt"], "left").select(
+        *cols, F.coalesce("__hop", "city_hop").alias("city_hop"), F.coalesce("__guess", "amount_guess").alias("amount_guess"))
+
+
+CARRIED = ["trans_id", "trans_date", "card_num", "amt", "__sec", "__city", "__valid"]
+
+
+def _paid() -> Column:
+    """Candidates among the rows of the window groups: successful, with a time (a null time has no report day)."""
+    return ~F.col(CONTEXT) & F.col("__ok") & F.col("trans_date").isNotNull()
+
+
+def _row_pass(t: DataFrame, *, do3: bool, attempts: int, near: bool) -> DataFrame:
+    """The candidates with what their card did before, one window group per (card, bucket).
 
+    Adds, as asked for, ``__hop_since`` (time of the latest earlier change of
+    city), ``__near`` (the latest earlier second with a known city, with its
+    least and greatest city) and ``__last`` (the latest ``attempts + 1`` earlier
+    operations). "Earlier" is by at least one second.
+    """
     # One window spec, in SQL form: the expressions below are parsed once each
     # on the JVM. All share partitioning and order, so they run on one
     # exchange and one sort.
@@ -114,104 +173,104 @@ def flag_transactions(tx: DataFrame, terminals: DataFrame | None = None, *,
     lagw = f"OVER ({rows_order})"
     before = f"OVER ({part} ORDER BY __sec RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
 
-    step1 = []
-    if do4:   # rule 4: each row with its row predecessors 1..attempts
-        fields = ["'s0', __sec", "'id', trans_id", "'a0', amt", "'o0', oper_result"]
+    step1, after = [], []
+    if attempts:   # rule 4: each row with its row predecessors 1..attempts
+        fields = ["'s0', __sec", "'id0', trans_id", "'a0', amt", "'o0', oper_result"]
         for k in range(1, attempts + 1):
-            fields += [f"'s{k}', lag(__sec, {k}) {lagw}", f"'a{k}', lag(amt, {k}) {lagw}",
-                       f"'o{k}', lag(oper_result, {k}) {lagw}"]
+            fields += [f"'s{k}', lag(__sec, {k}) {lagw}", f"'id{k}', lag(trans_id, {k}) {lagw}",
+                       f"'a{k}', lag(amt, {k}) {lagw}", f"'o{k}', lag(oper_result, {k}) {lagw}"]
         step1.append(f"named_struct({', '.join(fields)}) AS __row")
+        after.append(f"max(__row) {before} AS __last")
     if do3:   # rule 3: latest earlier row with a different city, carried forward
         step1 += [f"last(__city, true) {prior} AS __pcity",
                   f"last(CASE WHEN __city IS NOT NULL THEN __sec END, true) {prior} AS __psec"]
     t = t.selectExpr("*", *step1)
-    after = []
     if do3:
         t = t.selectExpr("*", "last(CASE WHEN __city IS NOT NULL AND __pcity IS NOT NULL AND __city <> __pcity "
                               f"THEN __psec END, true) {upto} AS __diff")
         after.append(f"max(__diff) {before} AS __hop_since")
-        if include_current:
-            # latest earlier row with a known city, with its city and diff
-            after.append("max(CASE WHEN __city IS NOT NULL THEN named_struct('s', __sec, 'id', trans_id, "
-                         f"'c', __city, 'd', __diff) END) {before} AS __lastc")
-    if do4:
-        after.append(f"max(__row) {before} AS __last")
-    t = t.selectExpr("*", *after)
-    sec, city = F.col("__sec"), F.col("__city")
+    if near:
+        after.append("max(CASE WHEN __city IS NOT NULL THEN named_struct('s', __sec, 'id', trans_id, "
+                     f"'lo', __city, 'hi', __city) END) {before} AS __near")
+    t = t.selectExpr("*", *after).where(_paid())
+    if near:
+        t = t.withColumn("__near", F.expr("named_struct('s', __near.s, 'lo', __near.lo, 'hi', __near.hi)"))
+    return t.select(*CARRIED, *_carries(do3, attempts, near))
 
-    city_hop = F.lit(False)
-    if do3:
-        hop = f"coalesce(__hop_since >= __sec - {city_window}, false)"
-        if include_current:
-            # a prior in the frame with a city other than the current one: the
-            # latest known-city prior r if its city differs, else the latest row
-            # before r with another city (diff(r))
-            lo = f"__sec - {city_window}"
-            hop += (f" OR (__city IS NOT NULL AND coalesce((__lastc.c <> __city AND __lastc.s >= {lo}) "
-                    f"OR (__lastc.c = __city AND __lastc.d >= {lo}), false))")
-        city_hop = F.expr(hop)
-    guess = F.lit(False)
-    if do4:
-        def inside(k):
-            return f"(__last.s{k} IS NOT NULL AND __last.s{k} >= __sec - {guess_window})"
-        bad = []
-        for k in range(attempts):
-            prev = f"coalesce(CASE WHEN {inside(k + 1)} THEN __last.a{k + 1} END, __last.a{k} + 1)"
-            bad += [f"coalesce(__last.o{k} = '{SUCCESS}', false)", f"coalesce({prev} - __last.a{k} <= 0, false)"]
-        least = ", ".join(f"__last.a{k}" for k in range(attempts))
-        guess = F.expr(f"{inside(attempts - 1)} AND NOT ({' OR '.join(bad)}) "
-                       f"AND coalesce(least({least}) > amt, false)")
-
-    # candidates: successful, with a time (a null time has no report day)
-    named = F.col("__valid") & F.col("trans_id").isNotNull()
-    out = t.where(~F.col(CONTEXT) & F.col("__ok") & F.col("trans_date").isNotNull())
-    out = out.select("trans_id", "trans_date", "card_num", "amt",
-                     F.to_date("trans_date").alias("report_dt"),
-                     (named & city_hop).alias("city_hop"), (named & true_or_false(guess)).alias("amount_guess"))
-    if report_from is not None:
-        out = out.where(F.col("report_dt") >= F.lit(report_from).cast("date"))
-    if repeated_ids:
-        shared = _shared_id_flags(rows, city_window if do3 else 0, guess_window if do4 else 0, attempts, include_current)
-        out = out.join(shared, ["trans_id", "report_dt"], "left").select(
-            "trans_id", "trans_date", "card_num", "amt", "report_dt",
-            F.coalesce("__hop", "city_hop").alias("city_hop"), F.coalesce("__guess", "amount_guess").alias("amount_guess"))
-    return out
+
+def _carries(do3: bool, attempts: int, near: bool) -> list[str]:
+    return [*(["__hop_since"] if do3 else []), *(["__near"] if near else []), *(["__last"] if attempts else [])]
 
 
-def _shared_id_flags(rows: DataFrame, city_window: int, guess_window: int, attempts: int,
-                     include_current: bool) -> DataFrame:
-    """(trans_id, report_dt, __hop, __guess) of ids that several successful rows of a day share.
+def _second_pass(t: DataFrame, *, do3: bool, attempts: int, near: bool) -> DataFrame:
+    """As ``_row_pass``, for groups with any number of rows: all rows of one second see the same earlier
+    operations, so a second is reduced to its least and greatest city and its latest ``attempts + 1``
+    operations, the carry runs over these summaries, and the candidates take it by (card, bucket, second).
 
-    Only these rows meet their look-backs, by an equi join on card and time
-    bucket. Cities are reduced to their least and greatest; of the earlier
-    operations only the latest ``attempts + 1`` of an id matter, and the ranking
-    drops the others before its shuffle, so an id repeated very often is no hot group.
+    Both reductions start before their shuffle (partial aggregate, window group
+    limit), so a second that holds every row costs a few rows a task. A window
+    group has at most ``bucket + look-back`` summaries. The last join buffers
+    one summary a key; a second with very many candidates only streams, and AQE
+    splits it.
+    """
+    key = ["card_num", BUCKET, "__sec"]
+    if attempts:
+        latest = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in ("trans_id", "amt", "oper_result")])
+        tops = t.select(*key, "trans_id", "amt", "oper_result", F.row_number().over(latest).alias("__rank")) \
+            .where(F.col("__rank") <= attempts + 1)
+        at = tops.groupBy(*key).agg(F.sort_array(F.collect_list(F.expr(
+            "named_struct('rank', __rank, 's', __sec, 'id', trans_id, 'a', amt, 'o', oper_result)"))).alias("__ops"))
+        if do3:
+            cities = t.where("__city IS NOT NULL").groupBy(*key).agg(F.min("__city").alias("__lo"),
+                                                                     F.max("__city").alias("__hi"))
+            at = at.join(cities, key, "left")
+    else:
+        at = t.where("__ok").groupBy(*key).agg(F.min("__city").alias("__lo"), F.max("__city").alias("__hi"))
+    order = f"PARTITION BY card_num, {BUCKET} ORDER BY __sec"
+    prior = f"OVER ({order} ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"
+    if do3:
+        at = at.selectExpr("*", "last(CASE WHEN __lo IS NOT NULL THEN named_struct('s', __sec, 'lo', __lo, 'hi', __hi) "
+                                f"END, true) {prior} AS __near")
+        at = at.selectExpr("*", "CASE WHEN __lo < __hi THEN __sec WHEN __lo <> __near.lo OR __lo <> __near.hi "
+                                "THEN __near.s END AS __change")
+        at = at.selectExpr("*", f"last(__change, true) {prior} AS __hop_since")
+    if attempts:
+        lists = ", ".join(f"lag(__ops, {k}) OVER ({order})" for k in range(1, attempts + 2))
+        at = at.selectExpr("*", f"flatten(filter(array({lists}), x -> x IS NOT NULL)) AS __past")
+        fields = ", ".join(f"'{name}{k}', get(__past, {k}).{name}" for k in range(attempts + 1)
+                           for name in ("s", "id", "a", "o"))
+        at = at.withColumn("__last", F.expr(f"CASE WHEN size(__past) > 0 THEN named_struct({fields}) END"))
+    carries = _carries(do3, attempts, near)
+    return t.where(_paid()).join(at.select(*key, *carries), key).select(*CARRIED, *carries)
+
+
+def _shared_id_flags(seen: DataFrame, shared: DataFrame, do3: bool, include_current: bool, attempts: int,
+                     guess_window: int) -> DataFrame:
+    """(trans_id, report_dt, __hop, __guess) of the ids in ``shared``, from the look-back summaries of their rows.
+
+    The look-backs of an id together visit two cities if one of them does, or
+    if the cities last seen by two of them differ. Of the earlier operations
+    only the latest ``attempts + 1`` of an id matter; each row offers its own
+    latest, and the ranking drops the others before its shuffle, so an id
+    repeated very often is no hot group. No row is joined with its look-back.
+    Operations of one id and second, whose order the original leaves open, are
+    taken by amount, then result, greatest first and nulls last.
     """
-    day = F.to_date("trans_date").alias("report_dt")
-    paid = rows.where(F.col("__ok") & F.col("trans_date").isNotNull() & F.col("trans_id").isNotNull())
-    shared = paid.groupBy("trans_id", day).agg(F.count(F.lit(1)).alias("__n")).where("__n > 1").drop("__n")
-    look = max(city_window, guess_window)
-    own = paid.where("__valid").select("trans_id", day, "card_num", "amt", F.col("__sec").alias("__now"),
-                                       F.col("__city").alias("__own_city")).join(shared, ["trans_id", "report_dt"], "left_semi")
-    slot = F.floor(F.col("__now") / look)
-    own = own.withColumn("__slot", F.explode(F.array(slot - 1, slot)))
-    past = rows.where("__valid").select(
-        F.col("card_num").alias("__pc"), F.floor(F.col("__sec") / look).alias("__ps"), F.col("__sec").alias("sec"),
-        F.col("trans_id").alias("id"), F.col("amt").alias("pamt"), F.col("oper_result").alias("res"), "__city", "__ok")
-    back = F.col("__now") - F.col("sec")
-    pairs = own.join(past, (F.col("card_num") == F.col("__pc")) & (F.col("__slot") == F.col("__ps")) & back.between(1, look))
     key = ["trans_id", "report_dt"]
+    own = seen.join(shared, key, "left_semi")
     out = shared.withColumns({"__hop": F.lit(False), "__guess": F.lit(False)})
-    if city_window:
-        seen = pairs.where(F.col("__ok") & (back <= city_window)).select(*key, "__city")
-        if include_current:
-            seen = seen.unionByName(own.select(*key, F.col("__own_city").alias("__city")))
-        hops = seen.groupBy(*key).agg((F.min("__city") < F.max("__city")).alias("__h"))
+    if do3:
+        least, most = ("least(__seen_city, __city)", "greatest(__seen_city, __city)") if include_current \
+            else ("__seen_city", "__seen_city")
+        hops = own.groupBy(*key).agg(F.expr(f"bool_or(city_hop) OR coalesce(min({least}) < max({most}), false)").alias("__h"))
         out = out.join(hops, key, "left").withColumn("__hop", F.coalesce("__h", F.lit(False))).drop("__h")
-    if guess_window:
+    if attempts:
+        tries = ", ".join(f"named_struct('sec', __last.s{k}, 'id', __last.id{k}, 'pamt', __last.a{k}, 'res', __last.o{k})"
+                          for k in range(attempts + 1))
+        tops = own.select(*key, "amt", "__sec", F.expr(f"inline(array({tries}))")) \
+            .where(F.col("sec") >= F.col("__sec") - guess_window)
         latest = Window.partitionBy(*key).orderBy(*[F.col(c).desc() for c in ("sec", "id", "pamt", "res", "amt")])
-        tops = pairs.where(back <= guess_window).select(*key, "sec", "id", "pamt", "res", "amt",
-                                                        F.row_number().over(latest).alias("__rank")) \
+        tops = tops.select(*key, "sec", "id", "pamt", "res", "amt", F.row_number().over(latest).alias("__rank")) \
             .where(F.col("__rank") <= attempts + 1)
         listed = tops.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("__rank", "pamt", "res", "amt"))).alias("xs"))
         bad = (f"coalesce(y.res = '{SUCCESS}', false) OR coalesce(coalesce(get(xs, y.__rank).pamt, y.pamt + 1) - y.pamt <= 0, "

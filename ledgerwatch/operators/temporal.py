@@ -14,7 +14,10 @@ Scale notes
   ``(card, time bucket)``. Each row is also copied, as context, into the next
   bucket when it lies within N seconds of that bucket's start, so every frame
   is complete inside its bucket. A card that holds a third of all rows is thus
-  cut into many bounded partitions; the copy overhead is ``N / bucket``.
+  cut into many partitions; the copy overhead is ``N / bucket``.
+* ``hot_groups`` finds the (card, bucket) groups that hold too many rows all the
+  same, context included, however narrow the burst is. Callers reduce these to
+  one summary per second before any window runs over them.
 """
 
 from __future__ import annotations
@@ -79,91 +82,42 @@ def salt_null_key(df: DataFrame, key: str) -> Column:
 
 BUCKET = "__bucket"
 CONTEXT = "__ctx"
-
-
-SUB = 1024   # bucket id = time bucket * SUB + sub-bucket
-
-
-def hot_bucket_splits(df: DataFrame, *, key: str, seconds: str, bucket: int, hot_rows: int,
-                      max_splits: int, valid: Column) -> DataFrame:
-    """Sub-bucket count for every (key, time bucket) holding more than
-    ``hot_rows`` rows: ``ceil(rows / hot_rows)``, at most ``max_splits``.
-
-    Exact counts (a partial aggregation, so a hot key is pre-aggregated
-    map-side). Every entry stands for more than ``hot_rows`` rows, so the
-    result has at most ``rows / hot_rows`` entries: a proven bound for
-    broadcasting it. Counting per bucket, not per key, also catches bursts.
-    """
-    b = F.floor(F.col(seconds) / F.lit(bucket))
-    stats = df.where(valid).groupBy(F.col(key), b.alias(BUCKET)).agg(F.count(F.lit(1)).alias("__n"))
-    splits = F.least(F.ceil(F.col("__n") / F.lit(hot_rows)), F.lit(max_splits)).cast("long")
-    return stats.where(F.col("__n") > F.lit(hot_rows)).select(key, BUCKET, splits.alias("__splits"))
-
-
-def max_splits(lookback: int, bucket: int, max_copies: int = 32) -> int:
-    """Sub-buckets per bucket such that a sub-bucket stays at least
-    ``lookback / max_copies`` wide (bounding the context copies per row)."""
-    return max(1, min(SUB, bucket * max_copies // max(lookback, 1)))
+LONE = -(1 << 62)   # buckets of rows that see no other row start here, one bucket for each
 
 
 def lookback_buckets(df: DataFrame, *, key: str, seconds: str, lookback: int, bucket: int,
-                     valid: Column | None = None, spread: int = 4096, hot_rows: int | None = None,
-                     splits: DataFrame | None = None, max_copies: int = 32) -> DataFrame:
+                     valid: Column | None = None) -> DataFrame:
     """Assign ``(key, __bucket)`` window partitions with look-back context copies.
 
-    A row lives in time bucket ``b = floor(t / bucket)``; a bucket holding more
-    than ``hot_rows`` rows of one key is cut into ``s`` equal sub-buckets
-    (``splits`` may hold these counts precomputed by ``hot_bucket_splits``).
-    Each row is also copied (``__ctx``) into every later sub-bucket, of its own
-    bucket or of the next, that starts at most ``lookback`` seconds after it,
-    so every frame of ``lookback`` seconds is complete inside its sub-bucket.
-    Sub-bucket boundaries are integer: row t is in sub-bucket
-    ``floor((t - b*bucket) * s / bucket)``, which starts at
-    ``b*bucket + ceil(j * bucket / s)``.
-    Rows with ``valid`` false (null key or time) cannot see other rows: they are
-    spread over ``spread`` negative buckets by hash so they never pile up in one
-    partition, and callers must mask their results.
+    A row lives in time bucket ``floor(t / bucket)`` and is copied (``__ctx``)
+    into the next one if that starts at most ``lookback`` seconds after it, so
+    every frame of ``lookback`` seconds is complete inside its bucket.
+    Rows with ``valid`` false (null key or time) cannot see other rows: each
+    gets a negative bucket of its own, so any mass of them, equal rows too,
+    spreads evenly. Callers must mask their results.
     """
     if bucket < lookback:
         raise ValueError("bucket width must be at least the look-back")
-    sec = F.col(seconds)
     if valid is None:
-        valid = F.col(key).isNotNull() & sec.isNotNull()
-    salt = F.lit(-1) - F.pmod(F.xxhash64(*df.columns), F.lit(spread))
-    if hot_rows and splits is None:
-        splits = hot_bucket_splits(df, key=key, seconds=seconds, bucket=bucket, hot_rows=hot_rows,
-                                   max_splits=max_splits(lookback, bucket, max_copies), valid=valid)
-    W, L, M = F.lit(bucket), F.lit(lookback), F.lit(SUB)
-    b = F.floor(sec / W)
-    if splits is not None:
-        # bounded broadcast (see hot_bucket_splits): split count of own and next bucket
-        # one row per (key, bucket) with its own and its next bucket's split count
-        pair = F.explode(F.array(
-            F.struct(F.col(BUCKET).alias("b"), F.col("__splits").alias("s0"), F.lit(None).cast("long").alias("s1")),
-            F.struct((F.col(BUCKET) - 1).alias("b"), F.lit(None).cast("long").alias("s0"),
-                     F.col("__splits").alias("s1"))))
-        both = (splits.select(F.col(key).alias("__sk"), pair.alias("__p"))
-                      .groupBy("__sk", F.col("__p.b").alias("__sb"))
-                      .agg(F.max("__p.s0").alias("__s0"), F.max("__p.s1").alias("__s1")))
-        df = (df.join(F.broadcast(both), (F.col(key) == F.col("__sk")) & (b == F.col("__sb")), "left")
-                .drop("__sk", "__sb"))
-        s0, s1 = F.coalesce(F.col("__s0"), F.lit(1)), F.coalesce(F.col("__s1"), F.lit(1))
-    else:
-        s0 = s1 = F.lit(1)
-    off = sec - b * W
-    j = F.floor(off * s0 / W)
-    last_own = F.least(s0 - 1, F.floor((off + L) * s0 / W))
-    last_next = F.least(s1 - 1, F.floor((off + L - W) * s1 / W))
-
-    def entry(bb, jj, ctx):
-        return F.struct((bb * M + jj).alias(BUCKET), F.lit(ctx).alias(CONTEXT))
-
-    empty = F.array().cast(f"array<struct<{BUCKET}:bigint,{CONTEXT}:boolean>>")
-    later = F.when(last_own >= j + 1, F.transform(F.sequence(j + 1, last_own), lambda x: entry(b, x, True))
-                   ).otherwise(empty)
-    after = F.when(last_next >= 0, F.transform(F.sequence(F.lit(0).cast("long"), last_next),
-                                               lambda x: entry(b + 1, x, True))).otherwise(empty)
-    keep = F.concat(F.array(entry(b, j, False)), later, after)
-    spread_row = F.array(F.struct(salt.alias(BUCKET), F.lit(False).alias(CONTEXT)))
-    out = df.select("*", F.inline(F.when(valid, keep).otherwise(spread_row)))
-    return out.drop("__s0", "__s1") if splits is not None else out
+        valid = F.col(key).isNotNull() & F.col(seconds).isNotNull()
+    df = df.withColumns({"__v": valid, "__lone": F.monotonically_increasing_id()})
+    b = f"floor({seconds} / {bucket})"
+    groups = F.expr(
+        f"CASE WHEN NOT __v THEN array(named_struct('{BUCKET}', {LONE} + __lone, '{CONTEXT}', false)) "
+        f"WHEN {seconds} + {lookback} >= ({b} + 1) * {bucket} THEN "
+        f"array(named_struct('{BUCKET}', {b}, '{CONTEXT}', false), named_struct('{BUCKET}', {b} + 1, '{CONTEXT}', true)) "
+        f"ELSE array(named_struct('{BUCKET}', {b}, '{CONTEXT}', false)) END")
+    return df.select("*", F.inline(groups)).drop("__v", "__lone")
+
+
+def hot_groups(df: DataFrame, *, key: str, seconds: str, lookback: int, bucket: int, hot_rows: int) -> DataFrame:
+    """The ``(key, __bucket)`` groups of ``lookback_buckets`` with more than ``hot_rows`` rows, copies counted.
+
+    Exact counts (a partial aggregation, so a hot key is pre-aggregated
+    map-side). Each entry stands for more than ``hot_rows`` of the at most
+    ``2 * rows`` rows and copies: a proven bound for broadcasting the result.
+    """
+    known = df.where(F.col(key).isNotNull() & F.col(seconds).isNotNull()).select(key, seconds)
+    dealt = lookback_buckets(known, key=key, seconds=seconds, lookback=lookback, bucket=bucket)
+    return dealt.groupBy(key, BUCKET).agg(F.count(F.lit(1)).alias("__n")) \
+        .where(F.col("__n") > F.lit(hot_rows)).select(key, BUCKET)

@@ -73,6 +73,36 @@ def q_rule4_flagged(spark, sf):
     return flagged.where("amount_guess").select("trans_id")
 
 
+# Bursts: the events of the ten cards folded into one minute (rule 3), and into half a day (both rules).
+MINUTE, HALF_DAY = 60, 43200
+BURST = {"hot_rows": 100}
+
+
+def folded(tx: DataFrame, seconds: int) -> DataFrame:
+    at = F.expr(f"timestampadd(SECOND, cast(unix_seconds(cast(trans_date AS timestamp)) % {seconds} AS int), "
+                "timestamp_ntz'2024-03-01 11:59:30')")
+    return tx.withColumn("trans_date", at)
+
+
+def folded_sql(tx_sql: str, seconds: int) -> str:
+    return (f"select * replace (timestamp '2024-03-01 11:59:30' + to_seconds(cast(epoch(trans_date) as bigint) % {seconds}) "
+            f"as trans_date) from ({tx_sql})")
+
+
+def q_rule3_burst_minute(spark, sf):
+    """Rule 3, 2 s look-back, where all rows of a card lie inside one minute: every bucket is hot."""
+    tx = folded(fx.transactions(spark, sf, 1000), MINUTE)
+    flagged = fr.flag_transactions(tx, fx.terminals_static(spark, sf), rules=(3,), city_window=2, hot_rows=5)
+    return flagged.where("city_hop").select("trans_id")
+
+
+def q_rules34_burst_half_day(spark, sf):
+    """Both rules where all rows of a card lie inside one bucket of half a day; hot and cold buckets mix."""
+    tx = folded(fx.transactions(spark, sf, CARD_MOD_RULES34, PURCHASE_ONLY), HALF_DAY)
+    flagged = fr.flag_transactions(tx, fx.terminals_static(spark, sf), city_window=600, guess_window=1200, **BURST)
+    return flagged.where("city_hop OR amount_guess").select("trans_id", "city_hop", "amount_guess")
+
+
 def q_report(spark, sf):
     tx = fx.transactions(spark, sf)
     d = fx.static_dims(spark, sf)
@@ -266,6 +296,8 @@ QUERIES: dict[str, Query] = {
     "rule4_amount_guess_native": q_rule4_native,
     "rule3_flagged": q_rule3_flagged,
     "rule4_flagged": q_rule4_flagged,
+    "rule3_burst_minute": q_rule3_burst_minute,
+    "rules34_burst_half_day": q_rules34_burst_half_day,
     "fraud_report": q_report,
     "fraud_report_rules34": q_report_rules34,
     "scd2_new": q_scd2_new,
@@ -306,6 +338,15 @@ def _sql_fraud():
         "fraud_report_blacklist_repeats": orc.report_sql(blacklist_sql=BLACKLIST_REPEATS_SQL),
         "tx_typed": fx.transactions_sql(),
     }
+    minute = orc.fraud_ctes(card_mod=1000)
+    minute["tx"] = folded_sql(minute["tx"], MINUTE)
+    out["rule3_burst_minute"] = orc.with_ctes(minute, orc.flagged_ids_sql(orc.rule3_days_sql(2)))
+    half = orc.fraud_ctes(card_mod=CARD_MOD_RULES34, success_types=PURCHASE_ONLY)
+    half["tx"] = folded_sql(half["tx"], HALF_DAY)
+    half["hops"], half["guesses"] = orc.rule3_days_sql(600), orc.rule4_days_sql(1200)
+    out["rules34_burst_half_day"] = orc.with_ctes(half, """select trans_id, h.trans_id is not null as city_hop,
+        g.trans_id is not null as amount_guess
+      from (select distinct trans_id from hops) h full join (select distinct trans_id from guesses) g using (trans_id)""")
     repeated = orc.fraud_ctes(card_mod=CARD_MOD_RULES34)
     repeated["tx"] = repeated_ids_sql(repeated["tx"])
     repeated["cand"] = orc.CANDIDATES_SQL

@@ -131,8 +131,7 @@ def test_rules_match_literal_self_join(spark, seed, bucket):
 
 @pytest.mark.parametrize("seed,hot_rows", [(21, 5), (22, 20), (23, 1)])
 def test_hot_cards_split_finer(spark, seed, hot_rows):
-    # tiny hot_rows: every card is "hot" and gets buckets narrower than the
-    # look-back, so rows are copied into several following buckets
+    # tiny hot_rows: every card is "hot" and its seconds are reduced before the window
     rows = random_rows(seed, n=250, cards=3)
     r3, r4, out = spark_flags(spark, rows, hot_rows=hot_rows, bucket=7200)
     d3, d4 = duck_flags(rows)
@@ -140,6 +139,76 @@ def test_hot_cards_split_finer(spark, seed, hot_rows):
     assert out == sorted(r[0] for r in rows if r[4] == S and r[1] is not None)
 
 
+@pytest.mark.parametrize("seed", [41, 42, 43])
+def test_mixed_hot_and_cold_buckets(spark, seed):
+    # buckets of 2 h with about 40 rows: some hot, some not; both variants of rule 3
+    rows = random_rows(seed, n=300, cards=4, span=6 * 3600)
+    for current in (False, True):
+        r3, r4, out = spark_flags(spark, rows, hot_rows=30, bucket=7200, include_current=current,
+                                  city_window=900, guess_window=1800)
+        d3, d4 = duck_flags(rows, city_window=900, guess_window=1800, include_current=current)
+        assert (r3, r4) == (d3, d4)
+        assert out == sorted(r[0] for r in rows if r[4] == S and r[1] is not None)
+
+
+def burst_rows(seed, n=600, span=60):
+    """One card, all rows inside ``span`` seconds; few cities, long falling runs of amounts."""
+    rnd = random.Random(seed)
+    rows = []
+    for i in range(n):
+        sec = rnd.randrange(span)
+        amt = None if rnd.random() < 0.05 else 5 + 3 * (span - sec) + rnd.randrange(4)
+        rows.append(row(f"{rnd.randrange(10**6):06d}-{i}", sec, "A", amt, S if rnd.random() < 0.2 else R,
+                        rnd.choice(["t1", "t4", "t5", "t9"] if rnd.random() < 0.99 else ["t2"])))
+    return rows
+
+
+@pytest.mark.parametrize("seed,span", [(51, 60), (52, 8), (53, 1), (54, 300)])
+def test_one_card_in_one_minute(spark, seed, span):
+    rows = burst_rows(seed, span=span)
+    for kw in ({}, {"include_current": True}):
+        r3, r4, out = spark_flags(spark, rows, hot_rows=50, city_window=20, guess_window=30, **kw)
+        assert (r3, r4) == duck_flags(rows, city_window=20, guess_window=30, **kw)
+        assert len(out) == sum(r[4] == S for r in rows)
+
+
+@pytest.mark.parametrize("seed", [61, 62])
+def test_burst_of_shared_ids(spark, seed):
+    # every id of the burst is shared by about ten rows, one by a third of them; no null amounts, as the
+    # original leaves the order of operations of one id and second open
+    rows = [((f"i{k % 40}" if k % 3 else "hot"), *r[1:3], r[3] or Decimal(7), *r[4:])
+            for k, r in enumerate(burst_rows(seed, span=400))]
+    for kw in ({}, {"include_current": True}):
+        r3, r4, _ = spark_flags(spark, rows, hot_rows=50, repeated_ids=True, city_window=20, guess_window=30, **kw)
+        assert (r3, r4) == duck_flags(rows, city_window=20, guess_window=30, **kw)
+
+
+def test_burst_reaches_no_window_whole(spark):
+    # 20,000 rows of one card within 40 seconds: reduced before any shuffle, then one summary a second
+    tx = spark.range(0, 20000, 1, 8).selectExpr(
+        "cast(id as string) trans_id", "timestampadd(SECOND, cast(id % 40 as int), timestamp_ntz'2024-03-01 12:00:00') trans_date",
+        "'A' card_num", "cast(id % 97 as decimal(12,2)) amt", "if(id % 5 = 0, 'SUCCESS', 'REJECT') oper_result",
+        "concat('t', id % 4) terminal")
+    terms = spark.createDataFrame(terminals_rows(), TERM_SCHEMA)
+    out = fr.flag_transactions(tx, terms, hot_rows=1000)
+    assert out.count() == 4000
+    t = tx.selectExpr("*", "unix_seconds(cast(trans_date as timestamp)) as __sec", "oper_result = 'SUCCESS' as __ok",
+                      "terminal as __city", "true as __valid", "0L as __bucket", "false as __ctx")
+    got = fr._second_pass(t, do3=True, attempts=3, near=False)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "WindowGroupLimit" in plan and "Aggregate" in plan
+    # 4,000 candidates, in 8 of the 40 seconds, share the carries of their seconds
+    assert got.select("__sec", "__hop_since", "__last").distinct().count() == 8
+
+
+def test_shared_ids_meet_no_look_back_pairs(spark):
+    tx = spark.createDataFrame(random_rows(71), TX_SCHEMA)
+    terms = spark.createDataFrame(terminals_rows(), TERM_SCHEMA)
+    plan = _plan(fr.flag_transactions(tx, terms, repeated_ids=True))
+    joins = [line for line in plan.splitlines() if "Join" in line and "card_num" in line]
+    assert joins and all("__bucket" in line for line in joins)   # hot groups and seconds only, no own x past
+
+
 @pytest.mark.parametrize("seed", [11, 12])
 def test_rule4_wide_window(spark, seed):
     rows = random_rows(seed, n=300, cards=2)

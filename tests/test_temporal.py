@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions import columns as C
 from ledgerwatch.operators import scd2
-from ledgerwatch.operators.temporal import lookback_buckets, valid_at_join
+from ledgerwatch.operators.temporal import hot_groups, lookback_buckets, valid_at_join
 
 DIM = "k string, v string, effective_from timestamp_ntz, effective_to timestamp_ntz, deleted_flg string"
 OPEN = dt.datetime(9999, 12, 31)
@@ -71,30 +71,20 @@ def test_helpers(spark):
 
 def test_lookback_context_copies(spark):
     # width 100 s, look-back 30 s: rows in the last 30 s of a bucket are copied to the next
-    df = spark.createDataFrame([("c", 10), ("c", 75), ("c", 99), ("c", 100), (None, 5)], "k string, s long")
+    df = spark.createDataFrame([("c", 10), ("c", 75), ("c", 99), ("c", 100), (None, 5), (None, 5)], "k string, s long")
     out = lookback_buckets(df, key="k", seconds="s", lookback=30, bucket=100)
     got = sorted((r["s"], r["__bucket"], r["__ctx"]) for r in out.where("k is not null").collect())
-    # bucket id = time bucket * 1024 + sub-bucket
-    assert got == [(10, 0, False), (75, 0, False), (75, 1024, True), (99, 0, False), (99, 1024, True),
-                   (100, 1024, False)]
+    assert got == [(10, 0, False), (75, 0, False), (75, 1, True), (99, 0, False), (99, 1, True), (100, 1, False)]
     nulls = [r["__bucket"] for r in out.where("k is null").collect()]
-    assert len(nulls) == 1 and nulls[0] < 0                 # invalid rows go to a negative spread bucket
+    assert len(set(nulls)) == 2 and max(nulls) < 0          # invalid rows, equal ones too: a bucket each
 
 
-def test_hot_bucket_is_split_with_copies(spark):
-    # 12 rows of one key in bucket 0 (width 100, look-back 30), hot_rows 3 -> 4 sub-buckets
-    # of 25 s: [0,25) [25,50) [50,75) [75,100); a row is copied into later
-    # sub-buckets starting at most 30 s after it, including the next bucket's first
-    rows = [("c", t) for t in (0, 10, 20, 24, 30, 49, 55, 60, 74, 80, 90, 99)] + [("c", 100), ("d", 5)]
+def test_hot_groups_count_the_copies(spark):
+    # width 100 s, look-back 30 s; bucket 1 holds one row of its own and two copies
+    rows = [("c", 10), ("c", 75), ("c", 99), ("c", 100), ("d", 5), (None, 5), ("d", None)]
     df = spark.createDataFrame(rows, "k string, s long")
-    out = lookback_buckets(df, key="k", seconds="s", lookback=30, bucket=100, hot_rows=3)
-    got = {}
-    for r in out.collect():
-        got.setdefault((r["k"], r["s"]), []).append((r["__bucket"], r["__ctx"]))
-    assert sorted(got[("c", 0)]) == [(0, False), (1, True)]                   # start 25 <= 0 + 30
-    assert sorted(got[("c", 24)]) == [(0, False), (1, True), (2, True)]        # 25 and 50 <= 54
-    assert sorted(got[("c", 49)]) == [(1, False), (2, True), (3, True)]        # 50, 75 <= 79
-    assert sorted(got[("c", 74)]) == [(2, False), (3, True), (1024, True)]     # 75, 100 <= 104
-    assert sorted(got[("c", 99)]) == [(3, False), (1024, True)]
-    assert got[("c", 100)] == [(1024, False)]
-    assert got[("d", 5)] == [(0, False)]                                       # not hot: one bucket
+    def hot(n):
+        return {(r["k"], r["__bucket"]) for r in hot_groups(df, key="k", seconds="s", lookback=30, bucket=100, hot_rows=n).collect()}
+    assert hot(2) == {("c", 0), ("c", 1)}
+    assert hot(3) == set()
+    assert hot(0) == {("c", 0), ("c", 1), ("d", 0)}
