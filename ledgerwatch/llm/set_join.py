@@ -20,11 +20,17 @@ another seed, and only in the last one gives out empty signatures too.
 2. First links: the signatures of the first few partitions, every class against
    the class it shares most of them with; links are contracted to components.
 3. All signatures, with components for classes: only signatures that span two
-   components are open. Their members are compared, in lists or in pairs of
-   blocks, and only pairs of different components remain.
-4. Pairs are sifted by histograms of their members (the sum of differences is at
-   most the size of the difference of the sets), then confirmed on the full sets:
-   ``100 * |A & B| >= percent * |A | B|``.
+   components are open. Their members of different components are compared: short
+   lists pair by pair, longer ones in pairs of blocks, which put out no more pairs
+   than would join all components that look alike; these links are contracted too.
+4. Blocks that still hold members that look alike, but are of different components,
+   are finished on the full sets of these members and put out confirmed links, again
+   no more than join components. So the rows of a signature grow with its members,
+   not with their pairs.
+
+Sets look alike by their sketches, parities of the members in hashed bins: sketches
+differ in at most as many bins as the sets do in members. All links are confirmed
+on the full sets: ``100 * |A & B| >= percent * |A | B|``.
 
 No signature is capped. Texts are not shuffled.
 
@@ -48,7 +54,7 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.functions.bitmaps import slot_bitmap, with_slot_flag
 from ledgerwatch.llm.components import connected_components
-from ledgerwatch.llm.near_dup import distinct_shingles, set_names
+from ledgerwatch.llm.near_dup import CHUNK_SHINGLES, _chunk_linker, distinct_shingles, set_names
 from ledgerwatch.llm.spread import arrow_batches, cut, join_stats, text_batches
 from ledgerwatch.llm.text import as_binary, blocks, mix
 
@@ -160,18 +166,18 @@ def signatures(h: np.ndarray, first: np.ndarray, bands: Bands, most: int | None
     return row[order], key[order].view(np.int64)
 
 
-def histograms(h: np.ndarray, first: np.ndarray) -> pa.Array:
-    """One byte string per set: members by hashed bin (counts end at 255), with a power of two of bins."""
+def sketches(h: np.ndarray, first: np.ndarray) -> pa.Array:
+    """One bit string per set: parities of its members by hashed bin, with a power of two of bins, two to four a member."""
     size = np.diff(first)
-    bins = 1 << np.maximum(5, np.ceil(np.log2(np.maximum(size, 1) / 4)).astype(np.int64))
+    bins = 1 << np.maximum(6, np.ceil(np.log2(np.maximum(size, 1) * 2)).astype(np.int64))
     base = np.concatenate(([0], np.cumsum(bins)))
     row = np.repeat(np.arange(len(size)), size)
     cell = base[row] + (mix(h, 303) & (bins[row] - 1).astype(np.uint64)).astype(np.int64)
-    return as_binary(np.minimum(np.bincount(cell, minlength=base[-1]), 255).astype(np.uint8), base)
+    return as_binary(np.packbits((np.bincount(cell, minlength=base[-1]) & 1).astype(np.uint8)), base // 8)
 
 
-def _folded(histogram: np.ndarray, bins: int) -> np.ndarray:
-    return histogram.astype(np.int32).reshape(-1, bins).sum(axis=0)
+def _folded(bits: np.ndarray, length: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(bits.reshape(-1, length), axis=0)
 
 
 def _allowed(n_a, n_b, percent: int):
@@ -189,8 +195,8 @@ def _sketcher(k: int, percent: int):
                 h, first = distinct_shingles(data, offsets, k)
                 row, key = signatures(h, first, bands_of(percent), COARSE)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(first)), set_names(h, first), histograms(h, first),
-                     _list(row, key, hi - lo)], names=["id", "n", "node", "histogram", "keys"])
+                    [batch.column(0).slice(lo, hi - lo), pa.array(np.diff(first)), set_names(h, first), sketches(h, first),
+                     _list(row, key, hi - lo)], names=["id", "n", "node", "bits", "keys"])
     return run
 
 
@@ -214,41 +220,64 @@ def _setter(k: int):
 
 
 def _sifter(percent: int):
-    """Pairs (a, b, na, nb, ha, hb) whose histograms differ by no more than linked sets may."""
+    """Pairs (a, b, na, nb, ha, hb) whose sketches differ by no more than linked sets may."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             allowed = _allowed(batch.column(2).to_numpy(), batch.column(3).to_numpy(), percent)
             good = np.zeros(batch.num_rows, dtype=bool)
             for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5), strict=True)):
-                x, y = np.frombuffer(x.as_buffer(), dtype=np.uint8), np.frombuffer(y.as_buffer(), dtype=np.uint8)
-                bins = min(len(x), len(y))
-                good[i] = np.abs(_folded(x, bins) - _folded(y, bins)).sum() <= allowed[i]
+                x, y = np.frombuffer(x.as_buffer(), dtype=np.uint64), np.frombuffer(y.as_buffer(), dtype=np.uint64)
+                length = min(len(x), len(y))
+                good[i] = np.bitwise_count(_folded(x, length) ^ _folded(y, length)).sum(dtype=np.int64) <= allowed[i]
             yield batch.select([0, 1]).filter(pa.array(good))
     return run
 
 
-def _block_sifter(percent: int):
-    """Pairs of different components in a pair of blocks whose histograms differ little enough."""
+def _alike(table: pa.Table, root: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Each row of a pair of blocks with the later ones of another root that look like it, nearest first.
+    ``root`` may change in between."""
+    own, size = np.array(table.column("own").to_pylist()), np.array(table.column("n").to_pylist(), dtype=np.int64)
+    raw = [np.frombuffer(x, dtype=np.uint64) for x in table.column("bits").to_pylist()]
+    length = min(len(x) for x in raw)
+    grid = np.stack([_folded(x, length) for x in raw])
+    inner = len(set(own.tolist())) == 1
+    for i in range(len(raw) - 1):
+        later = np.flatnonzero((root[i + 1:] != root[i]) & (inner | (own[i + 1:] != own[i]))) + i + 1
+        far = np.bitwise_count(grid[later] ^ grid[i]).sum(axis=1, dtype=np.int64)
+        near = far <= _allowed(size[i], size[later], percent)
+        if near.any():
+            yield i, later[near][np.argsort(far[near], kind="stable")]
+
+
+def _labels(table: pa.Table) -> np.ndarray:
+    return np.unique(np.array([x.hex() for x in table.column("label").to_pylist()]), return_inverse=True)[1]
+
+
+def _block_joiner(percent: int):
+    """Pairs of members of a pair of blocks that look alike, as many as join the components that they are of."""
     def run(table: pa.Table) -> pa.Table:
-        nodes, own = table.column("node").to_pylist(), np.array(table.column("own").to_pylist())
-        label = np.unique(np.array([x.hex() for x in table.column("label").to_pylist()]), return_inverse=True)[1]
-        size = np.array(table.column("n").to_pylist(), dtype=np.int64)
-        raw = [np.frombuffer(x, dtype=np.uint8) for x in table.column("histogram").to_pylist()]
-        bins = min(len(x) for x in raw)
-        grid = np.stack([_folded(x, bins) for x in raw])
-        inner = len(set(own.tolist())) == 1
+        table = table.sort_by("node")  # other signatures with these members then put out the same pairs
+        nodes, root = table.column("node").to_pylist(), _labels(table)
         a, b = [], []
-        for i in range(len(nodes) - 1):
-            far = np.abs(grid[i + 1:] - grid[i]).sum(axis=1)
-            hit = (far <= _allowed(size[i], size[i + 1:], percent)) & (label[i + 1:] != label[i]) & (inner | (own[i + 1:] != own[i]))
-            for j in np.flatnonzero(hit) + i + 1:
-                x, y = sorted((nodes[i], nodes[j]))
-                a.append(x)
-                b.append(y)
+        for i, near in _alike(table, root, percent):
+            new, at = np.unique(root[near], return_index=True)
+            a += [nodes[i]] * len(at)
+            b += [nodes[j] for j in near[at]]
+            root[np.isin(root, new)] = root[i]
         return pa.table({"a": pa.array(a, pa.binary()), "b": pa.array(b, pa.binary())})
     return run
 
 
+def _block_sifter(percent: int):
+    """The members of a pair of blocks that look like one of another component."""
+    def run(table: pa.Table) -> pa.Table:
+        wanted = np.zeros(table.num_rows, dtype=bool)
+        for i, near in _alike(table, _labels(table), percent):
+            wanted[i] = wanted[near] = True
+        return table.select(["key", "c1", "c2", "node", "label"]).filter(pa.array(wanted))
+    return run
+
+
 def _confirmer(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -261,20 +290,25 @@ def _confirmer(percent: int):
     return run
 
 
+def _sets(nodes: DataFrame, classes: DataFrame, source: DataFrame, shingle: int) -> DataFrame:
+    """(node, members) of the classes named by ``nodes``, whose names are distinct."""
+    slot = F.pmod(F.xxhash64("id"), F.lit(ID_SLOTS))
+    wanted = nodes.join(classes.select("node", "least"), "node").select(F.pmod(F.xxhash64("least"), F.lit(ID_SLOTS)).alias("slot"))
+    sets = with_slot_flag(source.where("id is not null").withColumn("slot", slot), "slot", slot_bitmap(wanted, "slot"), "wanted") \
+        .where("wanted").select("text").mapInArrow(_setter(shingle), "node binary, members binary")
+    return sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+
+
 def _confirmed(pairs: DataFrame, classes: DataFrame, source: DataFrame, shingle: int, percent: int) -> DataFrame:
-    """The links among candidate pairs (a, b): sifted by histograms, then confirmed on full sets."""
+    """The links among candidate pairs (a, b): sifted by sketches, then confirmed on full sets."""
     spark = pairs.sparkSession
-    side = classes.select("node", "n", "histogram", "least")
-    wide = pairs.join(side.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("histogram").alias("ha")), "a") \
-        .join(side.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("histogram").alias("hb")), "b") \
+    side = classes.select("node", "n", "bits")
+    wide = pairs.join(side.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ha")), "a") \
+        .join(side.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("hb")), "b") \
         .where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * percent)
     likely = cut(wide.select("a", "b", "na", "nb", "ha", "hb").mapInArrow(_sifter(percent), "a binary, b binary"))
     nodes = likely.select(F.col("a").alias("node")).unionByName(likely.select(F.col("b").alias("node"))).distinct()
-    slot = F.pmod(F.xxhash64("id"), F.lit(ID_SLOTS))
-    wanted = nodes.join(side, "node").select(F.pmod(F.xxhash64("least"), F.lit(ID_SLOTS)).alias("slot"))
-    sets = with_slot_flag(source.where("id is not null").withColumn("slot", slot), "slot", slot_bitmap(wanted, "slot"), "wanted") \
-        .where("wanted").select("text").mapInArrow(_setter(shingle), "node binary, members binary")
-    sets = sets.join(nodes, "node", "left_semi").dropDuplicates(["node"])
+    sets = _sets(nodes, classes, source, shingle)
     full = likely.join(sets.select(F.col("node").alias("b"), F.col("members").alias("mb")), "b") \
         .join(sets.select(F.col("node").alias("a"), F.col("members").alias("ma")), "a")
     with arrow_batches(spark, SET_ROWS):
@@ -289,55 +323,83 @@ def _first_pairs(classes: DataFrame) -> DataFrame:
     return met.groupBy("node").agg(F.max_by("hub", F.struct("times", "hub")).alias("a")).select("a", F.col("node").alias("b"))
 
 
-def _open_pairs(signed: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs (a, b) of different components that share a signature; ``signed``: node, n, label, histogram, keys."""
+def _spanning(members: DataFrame) -> DataFrame:
+    """The keys whose members are of two components or more."""
+    return members.select("key", F.xxhash64("label").alias("mark")).groupBy("key") \
+        .agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo <> hi").select("key")
+
+
+def _open_members(signed: DataFrame) -> DataFrame:
+    """(key, node, n, label, s, weight) of the signatures that span components, with their members and the sum of sizes;
+    ``signed``: node, n, label, keys."""
     spot = F.pmod(F.col("key"), F.lit(KEY_SLOTS))
-    open_keys = cut(signed.select(F.explode("keys").alias("key"), F.xxhash64("label").alias("mark")).groupBy("key")
-                    .agg(F.min("mark").alias("lo"), F.max("mark").alias("hi")).where("lo <> hi").select("key"))
+    every = signed.select("node", "n", "label", F.explode("keys").alias("key"))
+    open_keys = cut(_spanning(every))
     bitmap = slot_bitmap(open_keys.select(spot.alias("slot")), "slot")
-    every = signed.select("node", "n", "label", "histogram", F.explode("keys").alias("key"))
-    members = cut(with_slot_flag(every.drop("histogram").withColumn("slot", spot), "slot", bitmap, "wanted").where("wanted")
+    members = cut(with_slot_flag(every.withColumn("slot", spot), "slot", bitmap, "wanted").where("wanted")
                   .select("key", "node", "n", "label").join(open_keys, "key"))
-    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("s"))
-    counted = members.join(sizes, "key")
+    sizes = members.groupBy("key").agg(F.count(F.lit(1)).alias("s"), F.sum("n").alias("weight"))
+    return cut(members.join(sizes, "key"))
 
+
+def _dealt(members: DataFrame, classes: DataFrame) -> DataFrame:
+    """The members of long signatures, once for each pair of blocks (c1, c2) that they take part in."""
+    m = F.greatest(F.ceil(F.col("s") / BLOCK_ROWS), F.ceil(F.col("weight") / CHUNK_SHINGLES)).cast("int")
+    own = F.pmod(F.xxhash64("node"), F.col("m")).cast("int")
+    return members.where(F.col("s") > LIST_ROWS).withColumn("m", m).withColumn("own", own) \
+        .join(classes.select("node", "bits"), "node") \
+        .select("key", "node", "n", "label", "bits", "own", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("other")) \
+        .select("key", "node", "n", "label", "bits", "own", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"))
+
+
+def _open_pairs(members: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """Candidate pairs (a, b) of different components: all of short lists, of longer ones those that join what looks alike."""
     item = F.struct("node", "n", "label")
-    lists = counted.where(F.col("s") <= LIST_ROWS).groupBy("key").agg(F.sort_array(F.collect_list(item)).alias("xs"))
+    lists = members.where(F.col("s") <= LIST_ROWS).groupBy("key").agg(F.sort_array(F.collect_list(item)).alias("xs"))
     few = lists.select(F.explode(F.flatten(F.transform("xs", lambda x: F.transform(
         F.filter("xs", lambda y: (y["node"] > x["node"]) & (y["label"] != x["label"])
                  & (x["n"] * 100 >= y["n"] * percent) & (y["n"] * 100 >= x["n"] * percent)),
         lambda y: F.struct(x["node"].alias("a"), y["node"].alias("b")))))).alias("p")).select("p.a", "p.b")
-
-    m = F.ceil(F.col("s") / BLOCK_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("node", "key"), F.col("m")).cast("int")
-    dealt = counted.where(F.col("s") > LIST_ROWS).withColumn("m", m).withColumn("own", own) \
-        .join(signed.select("node", "histogram"), "node") \
-        .select("key", "node", "n", "label", "histogram", "own", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("other")) \
-        .select("key", "node", "n", "label", "histogram", "own", F.least("own", "other").alias("c1"), F.greatest("own", "other").alias("c2"))
-    many = dealt.groupBy("key", "c1", "c2").applyInArrow(_block_sifter(percent), "a binary, b binary")
+    many = _dealt(members, classes).groupBy("key", "c1", "c2").applyInArrow(_block_joiner(percent), "a binary, b binary")
     return few.unionByName(many).distinct()
 
 
+def _block_links(members: DataFrame, found: DataFrame, classes: DataFrame, source: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """The links that long signatures still lack, as many as join components; ``found`` holds the labels by now."""
+    named = cut(members.where(F.col("s") > LIST_ROWS).drop("label").join(found, "node", "left")
+                .withColumn("label", F.coalesce("label", "node")))
+    dealt = _dealt(named.join(_spanning(named), "key", "left_semi"), classes)
+    alike = cut(dealt.groupBy("key", "c1", "c2").applyInArrow(
+        _block_sifter(percent), "key long, c1 int, c2 int, node binary, label binary"))
+    sets = _sets(alike.select("node").distinct(), classes, source, shingle)
+    return cut(alike.join(sets, "node").groupBy("key", "c1", "c2").applyInArrow(_chunk_linker(percent), "a binary, b binary").distinct())
+
+
 def join_sets(docs: DataFrame, shingle: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, n_shingles, component_id (least id reachable over links)."""
     text_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
     kind = source.schema["id"].dataType.simpleString()
     sketched = cut(source.mapInArrow(_sketcher(shingle, percent),
-                                     f"id {kind}, n long, node binary, histogram binary, keys array<long>"))
+                                     f"id {kind}, n long, node binary, bits binary, keys array<long>"))
     classes = cut(sketched.where("n > 0 and id is not null").groupBy("node", "n")
                   .agg(F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"),
-                       F.first("histogram").alias("histogram"), F.first("keys").alias("keys")))
+                       F.first("bits").alias("bits"), F.first("keys").alias("keys")))
 
     links = _confirmed(_first_pairs(classes), classes, source, shingle, percent)
     found = connected_components(links)
 
-    labelled = classes.join(found, "node", "left").select("node", "n", "histogram", F.coalesce("label", "node").alias("label"))
+    labelled = classes.join(found, "node", "left").select("node", "n", F.coalesce("label", "node").alias("label"))
     signed = cut(source.where("id is not null").select("text").mapInArrow(_signer(shingle, percent), "node binary, keys array<long>")
                  .groupBy("node").agg(F.first("keys").alias("keys")).join(labelled, "node"))
-    late = _confirmed(_open_pairs(signed, percent), classes, source, shingle, percent)
+    members = _open_members(signed)
+    late = _confirmed(_open_pairs(members, classes, percent), classes, source, shingle, percent)
     if not late.isEmpty():
-        found = connected_components(links.unionByName(late))
+        links = links.unionByName(late)
+        found = connected_components(links)
+    last = _block_links(members, found, classes, source, shingle, percent)
+    if not last.isEmpty():
+        found = connected_components(links.unionByName(last))
 
     linked = found.join(classes, "node")
     least = linked.groupBy("label").agg(F.min("least").alias("component_id"))

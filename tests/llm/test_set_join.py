@@ -132,6 +132,54 @@ def test_links_are_found_without_the_first_pairs(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == _brute(rows)
 
 
+def test_pairs_of_a_group_grow_with_its_members(spark, monkeypatch):
+    """All texts of a group are linked; the rows compared are no multiple of all their pairs."""
+    counts, confirmed = [], set_join._confirmed
+
+    def counting(pairs, *rest):
+        counts.append(pairs.count())
+        return confirmed(pairs, *rest)
+
+    monkeypatch.setattr(set_join, "_confirmed", counting)
+    monkeypatch.setattr(set_join, "_first_pairs", lambda classes: classes.select(
+        classes["node"].alias("a"), classes["node"].alias("b")).where("false"))
+    rng, size = random.Random(5), 120
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(size):
+        words = list(base)
+        words[rng.randrange(200)] = f"neu{i}"
+        rows.append((i, " ".join(words)))
+    got = set_join.join_sets(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r["component_id"] for r in got.collect()} == {0}
+    assert 0 < sum(counts) < size * (size - 1) / 2 / 3
+
+
+@pytest.mark.parametrize("block_rows", [512, 5])
+def test_blocks_of_full_sets_alone_find_every_link(spark, monkeypatch, block_rows):
+    """The finish on full sets needs none of the pairs before it."""
+    monkeypatch.setattr(set_join, "LIST_ROWS", 1)
+    monkeypatch.setattr(set_join, "BLOCK_ROWS", block_rows)
+    none = lambda df, *_: df.select(df["node"].alias("a"), df["node"].alias("b")).where("false")
+    monkeypatch.setattr(set_join, "_first_pairs", none)
+    monkeypatch.setattr(set_join, "_open_pairs", none)
+    rows = _rows()
+    got = set_join.join_sets(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(tuple(r) for r in got.collect()) == _brute(rows)
+
+
+def test_sketches_differ_by_no_more_than_the_sets():
+    rng = np.random.default_rng(8)
+    for size in (1, 7, 60, 900):
+        base = rng.integers(0, 1 << 63, size, dtype=np.uint64)
+        other = np.concatenate([base[size // 9:], rng.integers(0, 1 << 63, size // 5, dtype=np.uint64)])
+        bits = [np.frombuffer(x.as_py(), dtype=np.uint64) for x in set_join.sketches(*_flat([base, other]))]
+        length = min(len(x) for x in bits)
+        far = int(np.bitwise_count(set_join._folded(bits[0], length) ^ set_join._folded(bits[1], length)).sum())
+        exact = len(np.setxor1d(base, other))
+        assert exact / 2 <= far <= exact
+
+
 def test_set_join_edges(spark):
     base = " ".join(f"wort{i}" for i in range(60))
     rows = [(1, None), (2, ""), (3, " \t\n\x0b"), (4, "eins ZWEI"), (5, "Eins zwei"), (6, "eins  zwei\n"), (7, "Éins zwei"),
